@@ -17,13 +17,25 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+# Shapes that a cast can read. A failing cast builds an exception, some twenty times the
+# cost of looking first; in a column full of sentinels that would set the pace.
+WHOLE = r"^\s*+[+-]?+[0-9]++\s*+$"
+NUMBER = (
+    r"^\s*+[+-]?+(?:(?:[0-9]++\.?+[0-9]*+|\.[0-9]++)(?:[eE][+-]?+[0-9]++)?+[dDfF]?+"
+    r"|(?i:nan|inf(?:inity)?+))\s*+$"
+)
+
+
 def to_int(value: Column) -> Column:
     """Text or number to int; anything unreadable ("-", "..", "") becomes null.
 
     A decimal text such as "46595.0" is truncated: a file whose column held one decimal
     would have been read as double before the cast to int.
     """
-    return F.coalesce(value.try_cast("int"), value.try_cast("double").try_cast("int"))
+    text = value.cast("string")
+    return F.when(text.rlike(WHOLE), text.try_cast("int")).when(
+        text.rlike(NUMBER), text.try_cast("double").try_cast("int")
+    )
 
 
 def to_double(value: Column) -> Column:
@@ -31,7 +43,8 @@ def to_double(value: Column) -> Column:
 
     Double rather than float, so 64.7 stays 64.7 in every copy of the table.
     """
-    return value.try_cast("double")
+    text = value.cast("string")
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def hyphens_to_spaces(value: Column) -> Column:

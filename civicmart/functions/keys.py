@@ -2,18 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import random
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+# A Mersenne prime; products of two remainders stay below 2**62.
+PRIME = 2_147_483_647
+
+
+def hash_coefficients(count: int, salt: str | int) -> tuple[list[int], int]:
+    """One multiplier per key and an offset, drawn from the salt alone."""
+    rng = random.Random(f"bucket/{salt}")
+    return [rng.randrange(1, PRIME) for _ in range(count)], rng.randrange(PRIME)
 
 
-def hash_bucket(keys: list[Column | str], buckets: int, salt: str | int = "") -> Column:
-    """Bucket 0..buckets-1 from the key values and a salt.
+def hash_bucket(df: DataFrame, keys: Sequence[str], buckets: int, salt: str | int = "") -> Column:
+    """Bucket 0..buckets-1 of each row of ``df`` by its key values.
 
-    The same row lands in the same bucket for any partitioning, retry or file order,
-    which ``rand`` and ``randomSplit`` do not promise. The digest (rather than sums of
-    key values) keeps buckets independent of patterns inside the keys.
+    A universal hash, ((a1*k1 + a2*k2 + ... + b) mod p) mod buckets, with coefficients
+    drawn from the salt. The same row lands in the same bucket for any partitioning, retry
+    or file order, which ``rand`` and ``randomSplit`` do not promise. Integer keys enter
+    as they are, other types through ``xxhash64``; a null key counts as -1.
     """
-    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
-    text = F.concat_ws("|", F.lit(str(salt)), *[c.cast("string") for c in columns])
-    digits = F.substring(F.md5(text), 1, 8)
-    return F.conv(digits, 16, 10).cast("bigint") % F.lit(buckets)
+    multipliers, offset = hash_coefficients(len(keys), salt)
+    total = F.lit(offset).cast("bigint")
+    for name, multiplier in zip(keys, multipliers):
+        key = F.col(name)
+        if not isinstance(df.schema[name].dataType, IntegralType):
+            key = F.when(key.isNotNull(), F.xxhash64(key))
+        remainder = F.pmod(F.coalesce(key.cast("bigint"), F.lit(-1)), F.lit(PRIME))
+        total = total + remainder * multiplier % PRIME
+    return total % PRIME % buckets

@@ -9,15 +9,18 @@ ledger names, so a run that dies in between leaves an unused folder, not duplica
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections import defaultdict
+from collections.abc import Iterable, Sequence
 from datetime import datetime, timezone
-from urllib.parse import unquote, urlparse
+from functools import reduce
+from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..session import in_parallel
 from ..sources.readers import (
     TEXT_OPTIONS,
     read_csv,
@@ -47,10 +50,7 @@ def list_files(spark: SparkSession, category: str, folder: str) -> DataFrame:
     uris = spark.read.format("binaryFile").load(folder).inputFiles()
     rows = []
     for uri in uris:
-        scheme = urlparse(uri).scheme
         path = unquote(uri)
-        if scheme == "file":
-            path = re.sub(r"^file:/+", "file:/", path)
         rows.append((category, path.rsplit("/", 1)[-1], path))
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
@@ -75,8 +75,12 @@ def read_ledger(spark: SparkSession, landing: str) -> DataFrame:
         return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
-def append_ledger(entries: DataFrame, landing: str) -> None:
-    entries.select(*LEDGER_SCHEMA.names).coalesce(1).write.mode("append").parquet(f"{landing}/_ledger")
+def append_ledger(entries: DataFrame, landing: str, category: str) -> None:
+    """Append one category's rows. Each category has its own folder, as two jobs must not
+    append to one folder at the same time."""
+    rows = entries.select(*[name for name in LEDGER_SCHEMA.names if name != "category"])
+    folder = quote(category, safe=" ")
+    rows.coalesce(1).write.mode("append").parquet(f"{landing}/_ledger/category={folder}")
 
 
 def file_format(name: str) -> str | None:
@@ -89,51 +93,76 @@ def escape_glob(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def collect_category(
+def collect(
     spark: SparkSession,
-    category: str,
+    specs: Iterable[SourceSpec],
     source: str,
     landing: str,
-    spec: SourceSpec | None = None,
     batch_id: str | None = None,
-) -> str | None:
-    """Copy the files the ledger does not know; returns the batch id, or None if none.
+) -> dict[str, str | None]:
+    """Copy the files the ledger does not know, from ``<source>/<category>`` for each spec.
+
+    Returns category -> batch id, None where nothing was new. One listing and one
+    anti-join serve all categories; the categories are then copied at the same time, and
+    each is committed to the ledger when its own data is complete.
+    """
+    specs = list(specs)
+    listing = reduce(
+        DataFrame.union,
+        [list_files(spark, spec.category, f"{source}/{spec.category}") for spec in specs],
+    )
+    fresh = new_files(listing, read_ledger(spark, landing), ["category", "file_name"])
+    # File names only; Spark's file index holds the same names on the driver.
+    found: dict[str, list[tuple[str, str]]] = defaultdict(list)
+    for row in fresh.collect():
+        found[row.category].append((row.file_name, row.path))
+    batch_id = batch_id or new_batch_id()
+
+    def copy(spec: SourceSpec) -> str | None:
+        if not found[spec.category]:
+            return None
+        copy_files(spark, spec, found[spec.category], landing, batch_id)
+        return batch_id
+
+    return dict(zip([spec.category for spec in specs], in_parallel(copy, specs)))
+
+
+def copy_files(
+    spark: SparkSession,
+    spec: SourceSpec,
+    files: Sequence[tuple[str, str]],
+    landing: str,
+    batch_id: str,
+) -> None:
+    """Copy (name, path) files of one category into a batch, then commit it.
 
     One scan and one write per format, whatever the number of files. Rows stay in the
     tasks that read them: the write is partitioned by file name without a shuffle, so a
     file holding most of the rows is still written by all the tasks that scan it.
     Files of other types are entered in the ledger as rejected and not copied.
     """
-    listing = list_files(spark, category, source)
-    fresh = new_files(listing, read_ledger(spark, landing), ["category", "file_name"])
-    # File names only; Spark's file index holds the same names on the driver.
-    found = [(row.file_name, row.path) for row in fresh.toLocalIterator()]
-    if not found:
-        return None
-    batch_id = batch_id or new_batch_id()
     entries = []
     for fmt in FORMATS:
-        members = [(name, path) for name, path in found if file_format(name) == fmt]
+        members = [(name, path) for name, path in files if file_format(name) == fmt]
         if members:
-            paths = [escape_glob(path) for _, path in members]
-            write_batch(
-                with_file_name(read_raw(spark, paths, fmt, spec)), fmt, batch_path(landing, category, fmt, batch_id)
-            )
-            entries += [(category, name, fmt, batch_id, COLLECTED) for name, _ in members]
+            raw = read_raw(spark, [escape_glob(path) for _, path in members], fmt, spec)
+            write_batch(with_file_name(raw), fmt, batch_path(landing, spec.category, fmt, batch_id))
+            entries += [(spec.category, name, fmt, batch_id, COLLECTED) for name, _ in members]
     entries += [
-        (category, name, None, batch_id, REJECTED) for name, _ in found if file_format(name) is None
+        (spec.category, name, None, batch_id, REJECTED)
+        for name, _ in files
+        if file_format(name) is None
     ]
-    append_ledger(spark.createDataFrame(entries, LEDGER_SCHEMA), landing)
-    return batch_id
+    append_ledger(spark.createDataFrame(entries, LEDGER_SCHEMA), landing, spec.category)
 
 
-def read_raw(
-    spark: SparkSession, paths: Sequence[str], fmt: str, spec: SourceSpec | None
-) -> DataFrame:
-    declared = spec.raw_schema if spec is not None and spec.file_format == fmt else None
+def read_raw(spark: SparkSession, paths: Sequence[str], fmt: str, spec: SourceSpec) -> DataFrame:
+    """Raw files with the declared fields, or with the fields found in them if the spec
+    declares none or another format."""
+    declared = spec.raw_schema if spec.file_format == fmt else None
     if fmt == "csv":
         return read_csv(spark, paths, declared)
-    if spec is not None and not spec.multi_line:
+    if not spec.multi_line:
         return read_json_lines(spark, paths, declared)
     return read_json_documents(spark, paths, declared)
 
@@ -163,7 +192,7 @@ def committed_batches(spark: SparkSession, landing: str, category: str, fmt: str
         .select("batch_id")
         .distinct()
     )
-    return sorted(row.batch_id for row in rows.toLocalIterator())
+    return sorted(row.batch_id for row in rows.collect())
 
 
 def read_landing(

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..functions.keys import hash_bucket
 
@@ -24,12 +26,31 @@ def hash_split(
     Membership depends on the key values only. Copies of a row stay on one side, so a
     repeated row cannot be both learned from and tested on.
     """
-    first = in_first_part(keys, tenths, salt)
+    first = in_first_part(df, keys, tenths, salt)
     return df.filter(first), df.filter(~first)
 
 
-def in_first_part(keys: Sequence[str], tenths: int, salt: str | int) -> Column:
-    return hash_bucket(list(keys), 10, salt) < tenths
+def in_first_part(df: DataFrame, keys: Sequence[str], tenths: int, salt: str | int) -> Column:
+    return hash_bucket(df, keys, 10, salt) < tenths
+
+
+@contextmanager
+def kept_rows(df: DataFrame) -> Iterator[DataFrame]:
+    """Rows for a fit, which reads them once per tree level or iteration.
+
+    Kept in executor memory, then disk; lost blocks are recomputed. Input cut into fewer
+    parts than there are cores is dealt out first, else those few tasks set the pace of
+    every pass. Input of a large table has more parts than that and is not shuffled.
+    ``df`` is expected to be a scan with narrow steps, for which counting parts is free.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
 
 
 def feature_stages(features: Sequence[str]) -> list:

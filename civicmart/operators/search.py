@@ -5,18 +5,18 @@ from __future__ import annotations
 import math
 import random
 from collections.abc import Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.storagelevel import StorageLevel
 
+from ..session import in_parallel
 from .regression import (
     FEATURES,
-    PREDICTION,
     feature_stages,
     hash_split,
+    kept_rows,
     make_model,
     model_chain,
     regression_metrics,
@@ -81,27 +81,23 @@ def search(
     jobs at the same time, so the tail of one fit does not leave the cluster idle.
     """
     fit_part, check_part = hash_split(train, keys, 7, "validation")
-    scaling = Pipeline(stages=feature_stages(features)).fit(fit_part)
-
-    def scaled(part: DataFrame) -> DataFrame:
-        ready = scaling.transform(part).select(label, FEATURES)
-        return ready.persist(StorageLevel.MEMORY_AND_DISK)
-
-    fit_rows, check_rows = scaled(fit_part), scaled(check_part)
-
-    def attempt(params: Mapping[str, object]) -> float:
-        model = make_model(params, label).fit(fit_rows)
-        return regression_metrics(model.transform(check_rows), label, PREDICTION).first()["rmse"]
-
-    try:
-        drawn = [space.draw(trial, seed) for trial in range(trials)]
-        with ThreadPoolExecutor(parallelism) as pool:
-            scores = list(pool.map(attempt, drawn))
-    finally:
-        fit_rows.unpersist()
-        check_rows.unpersist()
+    drawn = [space.draw(trial, seed) for trial in range(trials)]
+    with ExitStack() as kept:
+        fit_rows = kept.enter_context(kept_rows(fit_part.select(label, *features)))
+        scaling = Pipeline(stages=feature_stages(features)).fit(fit_rows)
+        scaled = [
+            kept.enter_context(kept_rows(scaling.transform(part).select(label, FEATURES)))
+            for part in (fit_rows, check_part)
+        ]
+
+        def attempt(params: Mapping[str, object]) -> float | None:
+            model = make_model(params, label).fit(scaled[0])
+            return regression_metrics(model.transform(scaled[1]), label).first()["rmse"]
+
+        scores = in_parallel(attempt, drawn, parallelism)
     if None in scores:
         raise ValueError("the validation part is empty; too few distinct keys to split")
     best_params, best_rmse = min(zip(drawn, scores), key=lambda pair: pair[1])
-    model = model_chain(best_params, features, label).fit(train)
+    with kept_rows(train.select(label, *features)) as rows:
+        model = model_chain(best_params, features, label).fit(rows)
     return SearchResult(best_params, best_rmse, model, list(zip(drawn, scores)))

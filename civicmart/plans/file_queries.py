@@ -6,6 +6,7 @@ scratch path and returns what the library reads back.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 from ..functions.cleaning import ColumnRule, apply_rules
-from ..operators.ingest import batch_path, collect_category, read_landing, write_batch
+from ..operators.ingest import batch_path, collect, read_landing, write_batch
 from ..operators.sinks import write_csv, write_formatted, write_json, write_table
 from ..session import materialise, scratch_path
 from ..sources.catalog import DENSITY, IMMIGRANTS, INCOME, UNEMPLOYMENT
@@ -163,9 +164,12 @@ def coalesce_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENT_FIELDS = text_fields("event_id", "event_type", "value", "props")
 CSV_EVENTS = SourceSpec("csv_events", "csv_events", "csv", EVENT_FIELDS)
 JSON_EVENTS = SourceSpec("json_events", "json_events", "json", EVENT_FIELDS, multi_line=False)
+EVENT_SPECS = (CSV_EVENTS, JSON_EVENTS)
 
 
-def collected_events(spark: SparkSession, sf_dir: str, collect) -> DataFrame:
+def collected_events(
+    spark: SparkSession, sf_dir: str, collect_new: Callable[[str, str], None]
+) -> DataFrame:
     """Drop event files in two rounds, collect after each and once more, read it all back."""
     events = load(spark, sf_dir, "events").select(*EVENT_FIELDS.names)
     as_csv = F.col("event_type").isin("view", "click")
@@ -176,11 +180,10 @@ def collected_events(spark: SparkSession, sf_dir: str, collect) -> DataFrame:
         if drop is not None:
             drop.filter(as_csv).write.mode("append").csv(f"{root}/csv_events", header=True)
             drop.filter(~as_csv).write.mode("append").json(f"{root}/json_events")
-        for spec in (CSV_EVENTS, JSON_EVENTS):
-            collect(spec, f"{root}/{spec.category}", landing)
+        collect_new(root, landing)
     landed = [
         read_landing(spark, landing, spec.category, spec.file_format, EVENT_FIELDS)
-        for spec in (CSV_EVENTS, JSON_EVENTS)
+        for spec in EVENT_SPECS
     ]
     return landed[0].unionByName(landed[1]).select(
         F.col("event_id").cast("bigint").alias("event_id"),
@@ -197,21 +200,27 @@ COLLECTED_SQL = "select event_id, event_type, value, props from events"
 def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated runs land every file once."""
 
-    def collect(spec: SourceSpec, source: str, landing: str) -> None:
-        collect_category(spark, spec.category, source, landing, spec)
+    def collect_new(source: str, landing: str) -> None:
+        collect(spark, EVENT_SPECS, source, landing)
 
-    return collected_events(spark, sf_dir, collect)
+    return collected_events(spark, sf_dir, collect_new)
 
 
 @query(COLLECTED_SQL)
 def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S8 with the file stream source: its checkpoint, not the ledger, finds new files."""
 
-    def collect(spec: SourceSpec, source: str, landing: str) -> None:
-        checkpoint = f"{landing}/_checkpoints/{spec.category}"
-        collect_stream(spark, spec, source, landing, checkpoint).awaitTermination()
-
-    return collected_events(spark, sf_dir, collect)
+    def collect_new(source: str, landing: str) -> None:
+        running = [
+            collect_stream(
+                spark, spec, f"{source}/{spec.category}", landing, f"{landing}/_checkpoints/{spec.category}"
+            )
+            for spec in EVENT_SPECS
+        ]
+        for stream in running:
+            stream.awaitTermination()
+
+    return collected_events(spark, sf_dir, collect_new)
 
 
 @query("""

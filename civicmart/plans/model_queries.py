@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.regression import hash_split, model_chain
+from ..operators.regression import hash_split, kept_rows, model_chain
 from ..operators.search import SearchSpace
 from ..operators.sinks import write_predictions
 from ..session import scratch_path
@@ -20,7 +20,8 @@ from .zones import train_stage
 def scored_holdout(spark: SparkSession, sf_dir: str, params: dict[str, object]) -> DataFrame:
     """Fit on 80 %, score the rest, write the predictions and read them back."""
     train, test = hash_split(labelled_lines(spark, sf_dir), LINE_KEYS, 8, "holdout")
-    model = model_chain(params, MODEL_INPUTS, LABEL).fit(train)
+    with kept_rows(train.select(LABEL, *MODEL_INPUTS)) as rows:
+        model = model_chain(params, MODEL_INPUTS, LABEL).fit(rows)
     scored = model.transform(test).select(*LINE_KEYS, LABEL, "prediction")
     path = scratch_path(spark, "predictions")
     write_predictions(scored, path)

@@ -18,6 +18,7 @@ from ..functions.cleaning import (
     to_double,
     to_int,
 )
+from ..functions.keys import PRIME, hash_coefficients
 from ..operators import features as ops
 from ..operators.ingest import new_files
 from ..operators.regression import (
@@ -339,8 +340,9 @@ def labelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bucket_sql(salt: str) -> str:
-    text = f"concat_ws('|', '{salt}', l_orderkey, l_linenumber, l_partkey)"
-    return f"(cast(concat('0x', substr(md5({text}), 1, 8)) as bigint) % 10)"
+    multipliers, offset = hash_coefficients(len(LINE_KEYS), salt)
+    terms = [f"cast({k} as bigint) % {PRIME} * {m} % {PRIME}" for k, m in zip(LINE_KEYS, multipliers)]
+    return f"(({' + '.join(terms)} + {offset}) % {PRIME} % 10)"
 
 
 @query(f"""
@@ -351,10 +353,11 @@ from lineitem
 """)
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3, M4: 80/20 hold-out, then 70/30 inside the training part, by key values."""
-    learning = in_first_part(LINE_KEYS, 8, "holdout")
-    fitting = in_first_part(LINE_KEYS, 7, "validation")
+    lines = load(spark, sf_dir, "lineitem")
+    learning = in_first_part(lines, LINE_KEYS, 8, "holdout")
+    fitting = in_first_part(lines, LINE_KEYS, 7, "validation")
     part = F.when(~learning, "test").when(fitting, "train").otherwise("validation")
-    return load(spark, sf_dir, "lineitem").select(*LINE_KEYS, part.alias("part"))
+    return lines.select(*LINE_KEYS, part.alias("part"))
 
 
 @query("""

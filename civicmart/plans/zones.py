@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import apply_rules, rejected_counts
 from ..operators.features import drop_incomplete
-from ..operators.ingest import collect_category, new_batch_id, read_landing
+from ..operators.ingest import collect, read_landing
 from ..operators.regression import hash_split, regression_metrics
 from ..operators.search import SearchResult, SearchSpace, search
 from ..operators.sinks import (
@@ -25,6 +25,7 @@ from ..operators.sinks import (
     write_predictions,
     write_table,
 )
+from ..session import in_parallel
 from ..sources.catalog import CATALOG
 from ..sources.readers import explode_records, read_named_file, read_table, skip_marked
 from ..sources.spec import SourceSpec
@@ -55,13 +56,7 @@ def collect_stage(
     spark: SparkSession, zones: Zones, specs: Iterable[SourceSpec] = CATALOG
 ) -> dict[str, str | None]:
     """Copy new files of every category; returns category -> batch id, None if nothing new."""
-    batch_id = new_batch_id()
-    return {
-        spec.category: collect_category(
-            spark, spec.category, f"{zones.source}/{spec.category}", zones.landing, spec, batch_id
-        )
-        for spec in specs
-    }
+    return collect(spark, specs, zones.source, zones.landing)
 
 
 def formatted_frame(
@@ -90,13 +85,15 @@ def format_stage(
     Returns, per table, the row count and the unreadable values per numeric column,
     observed during the write.
     """
-    report = {}
-    for spec in specs:
+
+    def rebuild(spec: SourceSpec) -> dict[str, int]:
         quality = Observation(spec.table)
         frame = formatted_frame(spark, spec, zones.landing, quality)
         write_formatted(frame, zones.table(spec.table), zones.json_copy(spec.table))
-        report[spec.table] = quality.get
-    return report
+        return quality.get
+
+    specs = list(specs)
+    return dict(zip([spec.table for spec in specs], in_parallel(rebuild, specs)))
 
 
 def mart_frame(

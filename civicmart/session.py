@@ -4,9 +4,16 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+Item = TypeVar("Item")
+Result = TypeVar("Result")
+
 # What a cluster submit should carry. Sessions handed in by a caller are never changed.
 CLUSTER_CONF = {
     # AQE picks the partition count, turns small shuffled sides into broadcasts from
@@ -41,6 +48,15 @@ def local_session(
     return session
 
 
+def in_parallel(
+    function: Callable[[Item], Result], items: Iterable[Item], threads: int = 4
+) -> list[Result]:
+    """Results in order. The calls submit independent Spark jobs at the same time, so the
+    last tasks of one do not leave the cluster idle; the rows stay on the executors."""
+    with ThreadPoolExecutor(threads) as pool:
+        return list(pool.map(inheritable_thread_target(function), items))
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 

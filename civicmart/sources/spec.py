@@ -23,6 +23,7 @@ class SourceSpec:
     ``table``        name of the formatted table.
     ``file_format``  "csv" or "json".
     ``raw_schema``   superset of the fields seen over the years; missing ones are null.
+                     None: collect whatever fields the files have.
     ``rules``        raw fields to formatted columns.
     ``records``      path of an array to turn into rows, if the file is an envelope.
     ``marker``       field whose presence means "do not use this file".
@@ -35,7 +36,7 @@ class SourceSpec:
     category: str
     table: str
     file_format: str
-    raw_schema: StructType
+    raw_schema: StructType | None = None
     rules: tuple[ColumnRule, ...] = ()
     records: str | None = None
     marker: str | None = None

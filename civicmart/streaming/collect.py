@@ -59,7 +59,8 @@ def collect_stream(
                 LEDGER_SCHEMA,
             )
             keys = ["category", "file_name", "batch_id"]
-            append_ledger(new_files(entries, read_ledger(session, landing), keys), landing)
+            fresh = new_files(entries, read_ledger(session, landing), keys)
+            append_ledger(fresh, landing, spec.category)
 
     return (
         with_file_name(raw)
