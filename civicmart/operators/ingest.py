@@ -10,9 +10,8 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timezone
-from functools import reduce
 from urllib.parse import quote, unquote
 
 from pyspark.errors import AnalysisException
@@ -41,17 +40,17 @@ def new_batch_id() -> str:
     return datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
 
 
-def list_files(spark: SparkSession, category: str, folder: str) -> DataFrame:
-    """(category, file_name, path) of the visible files directly in ``folder``.
+def list_files(spark: SparkSession, folders: Mapping[str, str]) -> DataFrame:
+    """(category, file_name, path) of the visible files directly in each category's folder.
 
     Uses Spark's own file index, which works on every Hadoop file system and lists large
     folders in parallel; no file is opened. Names starting with "_" or "." are hidden.
     """
-    uris = spark.read.format("binaryFile").load(folder).inputFiles()
     rows = []
-    for uri in uris:
-        path = unquote(uri)
-        rows.append((category, path.rsplit("/", 1)[-1], path))
+    for category, folder in folders.items():
+        for uri in spark.read.format("binaryFile").load(folder).inputFiles():
+            path = unquote(uri)
+            rows.append((category, path.rsplit("/", 1)[-1], path))
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
@@ -107,10 +106,7 @@ def collect(
     each is committed to the ledger when its own data is complete.
     """
     specs = list(specs)
-    listing = reduce(
-        DataFrame.union,
-        [list_files(spark, spec.category, f"{source}/{spec.category}") for spec in specs],
-    )
+    listing = list_files(spark, {spec.category: f"{source}/{spec.category}" for spec in specs})
     fresh = new_files(listing, read_ledger(spark, landing), ["category", "file_name"])
     # File names only; Spark's file index holds the same names on the driver.
     found: dict[str, list[tuple[str, str]]] = defaultdict(list)

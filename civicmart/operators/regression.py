@@ -87,21 +87,19 @@ def model_chain(params: Mapping[str, object], features: Sequence[str], label: st
     return Pipeline(stages=[*feature_stages(features), make_model(params, label)])
 
 
-def regression_metrics(
-    scored: DataFrame, label: str, prediction: str = PREDICTION
-) -> DataFrame:
-    """One row (rows, rmse, r2, nrmse) in a single pass.
-
-    NRMSE is RMSE over the label's range, infinite for a constant label. An empty input
-    gives 0 rows and null metrics.
-    """
+def metric_sums(label: str, prediction: str = PREDICTION) -> list[Column]:
+    """What the measures need of the scored rows, for ``agg`` or ``observe``."""
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
-    sums = scored.agg(
+    return [
         F.count(F.lit(1)).alias("rows"),
         F.sum((y - p) * (y - p)).alias("sse"),
         F.var_pop(y).alias("variance"),
         (F.max(y) - F.min(y)).alias("spread"),
-    )
+    ]
+
+
+def measures(sums: DataFrame) -> DataFrame:
+    """(rows, rmse, r2, nrmse) from the row of ``metric_sums``."""
     rmse = F.sqrt(F.col("sse") / F.when(F.col("rows") > 0, F.col("rows")))
     spread = F.col("spread")
     return sums.select(
@@ -112,3 +110,14 @@ def regression_metrics(
         .when(spread == 0, F.lit(float("inf")))
         .alias("nrmse"),
     )
+
+
+def regression_metrics(
+    scored: DataFrame, label: str, prediction: str = PREDICTION
+) -> DataFrame:
+    """One row (rows, rmse, r2, nrmse) in a single pass.
+
+    NRMSE is RMSE over the label's range, infinite for a constant label. An empty input
+    gives 0 rows and null metrics.
+    """
+    return measures(scored.agg(*metric_sums(label, prediction)))

@@ -82,17 +82,16 @@ def search(
     """
     fit_part, check_part = hash_split(train, keys, 7, "validation")
     drawn = [space.draw(trial, seed) for trial in range(trials)]
+    scaling = Pipeline(stages=feature_stages(features)).fit(fit_part)
     with ExitStack() as kept:
-        fit_rows = kept.enter_context(kept_rows(fit_part.select(label, *features)))
-        scaling = Pipeline(stages=feature_stages(features)).fit(fit_rows)
-        scaled = [
+        fit_rows, check_rows = [
             kept.enter_context(kept_rows(scaling.transform(part).select(label, FEATURES)))
-            for part in (fit_rows, check_part)
+            for part in (fit_part, check_part)
         ]
 
         def attempt(params: Mapping[str, object]) -> float | None:
-            model = make_model(params, label).fit(scaled[0])
-            return regression_metrics(model.transform(scaled[1]), label).first()["rmse"]
+            model = make_model(params, label).fit(fit_rows)
+            return regression_metrics(model.transform(check_rows), label).first()["rmse"]
 
         scores = in_parallel(attempt, drawn, parallelism)
     if None in scores:

@@ -17,9 +17,8 @@ from pyspark.sql.types import (
     StructField,
     StructType,
 )
-from pyspark.storagelevel import StorageLevel
 
-from ..sources.readers import TEXT_OPTIONS
+from ..sources.readers import TEXT_OPTIONS, read_table
 
 RUNS_SCHEMA = StructType(
     [
@@ -48,18 +47,16 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", **options) -> No
     df.write.format(fmt).mode("overwrite").options(**options).save(path)
 
 
-def write_formatted(df: DataFrame, table_path: str, json_path: str, fmt: str = "parquet", **options) -> None:
-    """One frame to two sinks: the formatted table and its JSON copy.
+def write_formatted(
+    df: DataFrame, table_path: str, json_path: str, fmt: str = "parquet", **options
+) -> None:
+    """One frame to two sinks: the formatted table, then its JSON copy.
 
-    Persisted for the second write (memory, then disk), so the raw files are scanned
-    and parsed once; blocks lost with an executor are recomputed.
+    The copy is made from the written table, so raw files are scanned and parsed once,
+    nothing is held in executor memory, and the two cannot differ.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_table(kept, table_path, fmt, **options)
-        write_json(kept, json_path)
-    finally:
-        kept.unpersist()
+    write_table(df, table_path, fmt, **options)
+    write_json(read_table(df.sparkSession, table_path, fmt, **options), json_path)
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:

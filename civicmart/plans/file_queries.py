@@ -83,8 +83,8 @@ def exploded_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(explode_records(lines, "result.records"), RECORD_RULES, "record")
 
 
-# Records per one-document file; the only bound a document's size has.
-DOCUMENT_ROWS = 10_000
+# Ids per one-document file.
+DOCUMENT_IDS = 10_000
 
 
 @query("""
@@ -94,11 +94,12 @@ from events where event_type <> 'error'
 def skip_error_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One multi-line document per file, some of them error envelopes.
 
-    A document holds the events of one type and one range of ids, so its size stays the
-    same at any scale and the number of files grows instead.
+    A document holds the events of one type and one range of ids that one scan task read.
+    Its size is bounded by both at any scale, copies of an event included, and the number
+    of files grows instead.
     """
-    events = load(spark, sf_dir, "events")
-    chunk = F.floor(F.col("event_id") / DOCUMENT_ROWS)
+    events = load(spark, sf_dir, "events").withColumn("task", F.spark_partition_id())
+    chunk = F.floor(F.col("event_id") / DOCUMENT_IDS)
     records = F.collect_list(
         F.struct(
             F.col("event_id").cast("string").alias("event_id"),
@@ -106,7 +107,8 @@ def skip_error_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("value").cast("string").alias("amount"),
         )
     )
-    grouped = events.groupBy(chunk.alias("chunk"), "event_type").agg(records.alias("records"))
+    keys = ["task", "chunk", "event_type"]
+    grouped = events.withColumn("chunk", chunk).groupBy(*keys).agg(records.alias("records"))
     failed = F.col("event_type") == "error"
     document = F.to_json(
         F.struct(
@@ -116,9 +118,8 @@ def skip_error_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"pretty": "true"},
     )
     path = scratch_path(spark, "documents")
-    grouped.select("chunk", "event_type", document.alias("document")).write.partitionBy(
-        "chunk", "event_type"
-    ).text(path)
+    documents = grouped.select(*keys, document.alias("document"))
+    documents.write.partitionBy(*keys).text(path)
     documents = read_json_documents(spark, path, ENVELOPE, recursiveFileLookup=True)
     rows = explode_records(skip_marked(documents, "error"), "result.records")
     return apply_rules(rows, RECORD_RULES, "record")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import apply_rules, rejected_counts
 from ..operators.features import drop_incomplete
 from ..operators.ingest import collect, read_landing
-from ..operators.regression import hash_split, regression_metrics
+from ..operators.regression import hash_split, measures, metric_sums
 from ..operators.search import SearchResult, SearchSpace, search
 from ..operators.sinks import (
     append_runs,
@@ -122,6 +122,9 @@ def transform_stage(
 MODEL_FEATURES = ("net_density", "ratio_immigrants", "population", "ratio_unemployed")
 
 
+SUMS_SCHEMA = "rows bigint, sse double, variance double, spread double"
+
+
 @dataclass
 class TrainingReport:
     run_id: str
@@ -143,18 +146,17 @@ def train_stage(
     """Search on 80 % of the rows, test on the rest; write predictions, model and run log.
 
     Under ``output``: ``predictions`` (CSV), ``model`` (a fitted pipeline) and ``runs``
-    (one row per trial, and trial -1 for the final test).
+    (one row per trial, and trial -1 for the final test). The test's sums are observed
+    while the predictions are written, so the hold-out is scored once.
     """
     spark = data.sparkSession
     clean = drop_incomplete(data, [label, *features])
     train, test = hash_split(clean, keys, 8, "holdout")
     result = search(train, features, label, keys, space, trials, seed, parallelism)
-    scored = result.model.transform(test).persist()
-    try:
-        write_predictions(scored, f"{output}/predictions")
-        final = regression_metrics(scored, label).first()
-    finally:
-        scored.unpersist()
+    sums = Observation("scored")
+    scored = result.model.transform(test).observe(sums, *metric_sums(label))
+    write_predictions(scored, f"{output}/predictions")
+    final = measures(spark.createDataFrame([sums.get], SUMS_SCHEMA)).first()
     metrics = {
         f"test_{name}": final[name] for name in ("rmse", "r2", "nrmse") if final[name] is not None
     }

@@ -60,13 +60,15 @@ def in_parallel(
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only when that is unset (plain
-    local runs) is a temporary folder made and remembered for the session.
+    The cluster names it in ``spark.checkpoint.dir``. Only when that is unset in a local
+    session is a temporary folder made, and remembered for the session.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.conf.get("civicmart.scratch.dir", None)
         if not root:
+            if not spark.sparkContext.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
             root = tempfile.mkdtemp(prefix="civicmart-")
             spark.conf.set("civicmart.scratch.dir", root)
             spark.sparkContext.setCheckpointDir(root)

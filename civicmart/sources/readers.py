@@ -116,17 +116,25 @@ def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+# Up to this many marked files are named in a filter; beyond, an anti-join finds them.
+NAMED_FILES = 10_000
+
+
 def skip_marked(df: DataFrame, marker: str, file_column: str | None = None) -> DataFrame:
     """Leave out what carries ``marker`` (an "error" or "info" field).
 
     With one document per file the marked row is the file, and a filter is enough. With
-    ``file_column`` all rows of a marked file go: the marked names are few after the
-    distinct, so the anti-join's right side is broadcast by its measured size.
+    ``file_column`` all rows of a marked file go. Its names are looked up first, reading
+    the marker only: named in a filter on the partition column they prune the files,
+    where a join would shuffle all rows by a column one file may dominate.
     """
     if file_column is None:
         return df.filter(quoted(marker).isNull())
     marked = df.filter(quoted(marker).isNotNull()).select(file_column).distinct()
-    return df.join(marked, file_column, "left_anti")
+    names = [row[0] for row in marked.limit(NAMED_FILES + 1).collect()]
+    if len(names) > NAMED_FILES:
+        return df.join(marked, file_column, "left_anti")
+    return df.filter(~F.col(file_column).isin(names)) if names else df
 
 
 def explode_records(df: DataFrame, path: str, alias: str = "record") -> DataFrame:
