@@ -23,6 +23,7 @@ from ..session import in_parallel
 from ..sources.readers import (
     TEXT_OPTIONS,
     read_csv,
+    read_csv_by_name,
     read_json_documents,
     read_json_lines,
     with_file_name,
@@ -120,7 +121,7 @@ def collect(
         copy_files(spark, spec, found[spec.category], landing, batch_id)
         return batch_id
 
-    return dict(zip([spec.category for spec in specs], in_parallel(copy, specs)))
+    return dict(zip([spec.category for spec in specs], in_parallel(spark, copy, specs)))
 
 
 def copy_files(
@@ -142,7 +143,7 @@ def copy_files(
         members = [(name, path) for name, path in files if file_format(name) == fmt]
         if members:
             raw = read_raw(spark, [escape_glob(path) for _, path in members], fmt, spec)
-            write_batch(with_file_name(raw), fmt, batch_path(landing, spec.category, fmt, batch_id))
+            write_batch(raw, fmt, batch_path(landing, spec.category, fmt, batch_id))
             entries += [(spec.category, name, fmt, batch_id, COLLECTED) for name, _ in members]
     entries += [
         (spec.category, name, None, batch_id, REJECTED)
@@ -154,13 +155,12 @@ def copy_files(
 
 def read_raw(spark: SparkSession, paths: Sequence[str], fmt: str, spec: SourceSpec) -> DataFrame:
     """Raw files with the declared fields, or with the fields found in them if the spec
-    declares none or another format."""
+    declares none or another format; and ``file_name``."""
     declared = spec.raw_schema if spec.file_format == fmt else None
     if fmt == "csv":
-        return read_csv(spark, paths, declared)
-    if not spec.multi_line:
-        return read_json_lines(spark, paths, declared)
-    return read_json_documents(spark, paths, declared)
+        return read_csv_by_name(spark, paths, declared, file_names=True)
+    read = read_json_documents if spec.multi_line else read_json_lines
+    return with_file_name(read(spark, paths, declared))
 
 
 def batch_path(landing: str, category: str, fmt: str, batch_id: str) -> str:

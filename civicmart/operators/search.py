@@ -93,7 +93,7 @@ def search(
             model = make_model(params, label).fit(fit_rows)
             return regression_metrics(model.transform(check_rows), label).first()["rmse"]
 
-        scores = in_parallel(attempt, drawn, parallelism)
+        scores = in_parallel(train.sparkSession, attempt, drawn, parallelism)
     if None in scores:
         raise ValueError("the validation part is empty; too few distinct keys to split")
     best_params, best_rmse = min(zip(drawn, scores), key=lambda pair: pair[1])

@@ -16,7 +16,7 @@ from pyspark.sql.types import ArrayType, StructField, StructType
 from ..functions.cleaning import ColumnRule, apply_rules
 from ..operators.ingest import batch_path, collect, read_landing, write_batch
 from ..operators.sinks import write_csv, write_formatted, write_json, write_table
-from ..session import materialise, scratch_path
+from ..session import in_parallel, materialise, scratch_path
 from ..sources.catalog import DENSITY, IMMIGRANTS, INCOME, UNEMPLOYMENT
 from ..sources.readers import (
     explode_records,
@@ -349,7 +349,6 @@ def write_raw_files(spark: SparkSession, sf_dir: str, source: str) -> None:
         F.lit("-").alias("Índex RFD Barcelona = 100"),
     )
     raw_income = income.unionByName(unplaced)
-    raw_income.write.csv(f"{source}/income", header=True)
 
     density = located.select(
         year,
@@ -357,13 +356,11 @@ def write_raw_files(spark: SparkSession, sf_dir: str, source: str) -> None:
         text(F.col("quantity"), "-").alias("Densitat (hab/ha)"),
         text(F.try_divide("quantity", "lines"), "-").alias("Densitat neta (hab/ha)"),
     )
-    density.write.json(f"{source}/density")
 
     by_customer = facts.join(places, "area")
     immigrants = by_customer.select(
         year, *place, text(F.col("returned"), "..").alias("Valor")
     )
-    immigrants.write.json(f"{source}/immigrants")
 
     late = F.col("year") >= 1998
     record_of = lambda label, count: F.struct(
@@ -382,7 +379,15 @@ def write_raw_files(spark: SparkSession, sf_dir: str, source: str) -> None:
     )
     good = by_customer.select(F.lit(None).cast("struct<message:string>").alias("error"), envelope.alias("result"))
     bad = cell_rows.select(F.struct(F.lit("Not found").alias("message")).alias("error"))
-    good.unionByName(bad, allowMissingColumns=True).write.json(f"{source}/unemployment")
+    unemployment = good.unionByName(bad, allowMissingColumns=True)
+
+    writes = [
+        lambda: raw_income.write.csv(f"{source}/income", header=True),
+        lambda: density.write.json(f"{source}/density"),
+        lambda: immigrants.write.json(f"{source}/immigrants"),
+        lambda: unemployment.write.json(f"{source}/unemployment"),
+    ]
+    in_parallel(spark, lambda write: write(), writes)
 
 
 # The catalog's specs, for files of one JSON document per line.

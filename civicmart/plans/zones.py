@@ -93,7 +93,7 @@ def format_stage(
         return quality.get
 
     specs = list(specs)
-    return dict(zip([spec.table for spec in specs], in_parallel(rebuild, specs)))
+    return dict(zip([spec.table for spec in specs], in_parallel(spark, rebuild, specs)))
 
 
 def mart_frame(

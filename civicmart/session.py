@@ -49,12 +49,19 @@ def local_session(
 
 
 def in_parallel(
-    function: Callable[[Item], Result], items: Iterable[Item], threads: int = 4
+    spark: SparkSession,
+    function: Callable[[Item], Result],
+    items: Iterable[Item],
+    threads: int = 4,
 ) -> list[Result]:
     """Results in order. The calls submit independent Spark jobs at the same time, so the
-    last tasks of one do not leave the cluster idle; the rows stay on the executors."""
+    last tasks of one do not leave the cluster idle; the rows stay on the executors. All
+    calls run to their end, then the first failure is raised."""
     with ThreadPoolExecutor(threads) as pool:
-        return list(pool.map(inheritable_thread_target(function), items))
+        # Wrapped once per call: each wrapping holds one copy of the local properties, which
+        # two running threads must not share.
+        calls = [pool.submit(inheritable_thread_target(spark)(function), item) for item in items]
+    return [call.result() for call in calls]
 
 
 def scratch_root(spark: SparkSession) -> str:

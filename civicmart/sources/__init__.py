@@ -4,6 +4,7 @@ from .catalog import CATALOG
 from .readers import (
     explode_records,
     read_csv,
+    read_csv_by_name,
     read_json_documents,
     read_json_lines,
     read_named_file,
@@ -19,6 +20,7 @@ __all__ = [
     "SourceSpec",
     "explode_records",
     "read_csv",
+    "read_csv_by_name",
     "read_json_documents",
     "read_json_lines",
     "read_named_file",

@@ -5,7 +5,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.cleaning import quoted
+from ..session import in_parallel
 from .spec import text_fields
 
 # Doubles keep their shortest exact text; timestamps need the microseconds spelled out.
@@ -27,38 +27,61 @@ def as_list(paths: str | Sequence[str]) -> list[str]:
 
 
 def read_csv(
-    spark: SparkSession, paths: str | Sequence[str], schema: StructType | None = None, **options
+    spark: SparkSession, paths: str | Sequence[str], schema: StructType | str, **options
 ) -> DataFrame:
-    """CSV files with a header line, every column as the schema says.
+    """CSV files with a header line that all have the columns of ``schema``, in its order.
 
-    With a schema the header is checked against it in the tasks, so a reordered file
-    fails instead of filling the wrong columns. Without one, files are grouped by their
-    header and the groups are united by name, all columns text.
+    The header is checked in the tasks: a file with other columns fails the read instead
+    of filling the wrong ones.
     """
-    if schema is not None:
-        return (
-            spark.read.schema(schema)
-            .options(header=True, enforceSchema=False, **TEXT_OPTIONS)
-            .options(**options)
-            .csv(as_list(paths))
-        )
-    groups = csv_paths_by_header(spark, as_list(paths))
-    return union_by_name(
-        [read_csv(spark, members, text_fields(*header), **options) for header, members in groups.items()]
+    return (
+        spark.read.schema(schema)
+        .options(header=True, enforceSchema=False, **TEXT_OPTIONS)
+        .options(**options)
+        .csv(as_list(paths))
     )
 
 
+def read_csv_by_name(
+    spark: SparkSession,
+    paths: Sequence[str],
+    schema: StructType | None = None,
+    file_names: bool = False,
+) -> DataFrame:
+    """CSV files whose headers may differ in order or columns, united by name, all text.
+
+    One scan per distinct header, so a single one where nothing drifted. With a schema
+    the result has its columns: those a file lacks are null, others are left out.
+    ``file_names`` adds the file name, which is out of reach behind a union.
+    """
+    groups = csv_paths_by_header(spark, paths) or {tuple(schema.names if schema else ()): paths}
+    frames = []
+    for header, members in groups.items():
+        frame = read_csv(spark, members, text_fields(*header))
+        if file_names:
+            frame = with_file_name(frame)
+        if schema is not None:
+            kept = schema.names + ["file_name"] * file_names
+            absent = {name: F.lit(None).cast("string") for name in kept if name not in frame.columns}
+            frame = frame.withColumns(absent).select(*map(quoted, kept))
+        frames.append(frame)
+    return union_by_name(frames)
+
+
 def csv_paths_by_header(
     spark: SparkSession, paths: Sequence[str]
 ) -> dict[tuple[str, ...], list[str]]:
-    """Paths grouped by header line. Reads one line per file, several files at a time."""
+    """Paths grouped by header line; files without any line are left out.
+
+    Reads one line per file, several files at a time: small next to reading the files.
+    """
 
     def header(path: str) -> tuple[str, ...]:
         return tuple(spark.read.option("header", True).csv(path).columns)
 
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    with ThreadPoolExecutor(16) as pool:
-        for path, columns in zip(paths, pool.map(header, paths)):
+    for path, columns in zip(paths, in_parallel(spark, header, paths, threads=16)):
+        if columns:
             groups[columns].append(path)
     return groups
 
