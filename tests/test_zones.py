@@ -109,7 +109,7 @@ def write_sources(zones):
     put(zones, "unemployment", "2015.json", {"success": False, "error": {"message": "m", "__type": "t"}})
     put(zones, "unemployment", "2019.json", unemployed("Demanda_ocupacio", "Atur Registrat", (2019, 1, 1, "60")))
     put(zones, "lookup_tables", "income_opendatabcn_extended.csv", LOOKUP + "Ciutat Vella,el Raval,C,ciutat vella,Q1,R,el raval,Q2\n")
-    put(zones, "lookup_tables", "idealista_extended.csv", LOOKUP + "other,other,o,o,Q3,o,o,Q4\n")
+    put(zones, "lookup_tables", "other.csv", LOOKUP + "other,other,o,o,Q3,o,o,Q4\n")
 
 
 @pytest.fixture
