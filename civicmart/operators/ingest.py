@@ -12,7 +12,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timezone
-from urllib.parse import quote, unquote
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -64,23 +64,25 @@ def new_files(listing: DataFrame, ledger: DataFrame, keys: Sequence[str]) -> Dat
     return listing.join(ledger.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def read_ledger(spark: SparkSession, landing: str) -> DataFrame:
-    """The ledger, empty before the first run. An unreadable ledger raises: taking it for
-    empty would collect everything twice."""
+def read_ledger(spark: SparkSession, landing: str, category: str | None = None) -> DataFrame:
+    """The ledger, or one category's part of it; empty before the first run. An unreadable
+    ledger raises: taking it for empty would collect everything twice."""
+    path = f"{landing}/_ledger" if category is None else ledger_path(landing, category)
     try:
-        return spark.read.schema(LEDGER_SCHEMA).parquet(f"{landing}/_ledger")
+        return spark.read.schema(LEDGER_SCHEMA).option("recursiveFileLookup", True).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], LEDGER_SCHEMA)
 
 
+def ledger_path(landing: str, category: str) -> str:
+    """Each category has its own folder, as two jobs must not append to one at a time."""
+    return f"{landing}/_ledger/{category}"
+
+
 def append_ledger(entries: DataFrame, landing: str, category: str) -> None:
-    """Append one category's rows. Each category has its own folder, as two jobs must not
-    append to one folder at the same time."""
-    rows = entries.select(*[name for name in LEDGER_SCHEMA.names if name != "category"])
-    folder = quote(category, safe=" ")
-    rows.coalesce(1).write.mode("append").parquet(f"{landing}/_ledger/category={folder}")
+    entries.coalesce(1).write.mode("append").parquet(ledger_path(landing, category))
 
 
 def file_format(name: str) -> str | None:
@@ -179,12 +181,8 @@ def write_batch(df: DataFrame, fmt: str, path: str) -> None:
 def committed_batches(spark: SparkSession, landing: str, category: str, fmt: str) -> list[str]:
     """Batch ids the ledger names for a category: one per run that found new files."""
     rows = (
-        read_ledger(spark, landing)
-        .filter(
-            (F.col("category") == category)
-            & (F.col("file_format") == fmt)
-            & (F.col("status") == COLLECTED)
-        )
+        read_ledger(spark, landing, category)
+        .filter((F.col("file_format") == fmt) & (F.col("status") == COLLECTED))
         .select("batch_id")
         .distinct()
     )

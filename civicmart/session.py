@@ -14,20 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 Item = TypeVar("Item")
 Result = TypeVar("Result")
 
-# What a cluster submit should carry. Sessions handed in by a caller are never changed.
-CLUSTER_CONF = {
-    # AQE picks the partition count, turns small shuffled sides into broadcasts from
-    # their measured size, and splits skewed join partitions.
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
-    # Upper bound before coalescing: 100 TB shuffled / ~5 GB would still be 20,000.
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
-    "spark.sql.files.maxPartitionBytes": "256m",
-}
-
-
 def local_session(
     app: str = "civicmart", cpus: int | str = "*", conf: dict[str, str] | None = None
 ) -> SparkSession:

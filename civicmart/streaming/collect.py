@@ -59,7 +59,8 @@ def collect_stream(
                 LEDGER_SCHEMA,
             )
             keys = ["category", "file_name", "batch_id"]
-            fresh = new_files(entries, read_ledger(session, landing), keys)
+            known = read_ledger(session, landing, spec.category)
+            fresh = new_files(entries, known, keys)
             append_ledger(fresh, landing, spec.category)
 
     return (

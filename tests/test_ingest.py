@@ -137,7 +137,7 @@ def test_missing_folder_and_unreadable_ledger_raise(spark, tmp_path):
         collect(spark, [CSV], str(tmp_path / "nowhere"), str(tmp_path / "landing"))
     drop(tmp_path, CSV, "one.csv", "a,b\n1,x\n")
     run(spark, tmp_path, (CSV,))
-    ledger = tmp_path / "landing" / "_ledger" / "category=sheets"
+    ledger = tmp_path / "landing" / "_ledger" / "sheets"
     shutil.rmtree(ledger)
     ledger.mkdir()
     (ledger / "part-0.parquet").write_text("not parquet")
