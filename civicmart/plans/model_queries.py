@@ -5,15 +5,19 @@ They have no SQL counterpart: tree building depends on seeds and partitions.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.features import drop_incomplete
 from ..operators.regression import hash_split, kept_rows, model_chain
 from ..operators.search import SearchSpace
-from ..operators.sinks import write_predictions
+from ..operators.sinks import write_predictions, write_table
 from ..session import scratch_path
 from ..sources.readers import read_csv, read_table
+from .mart import build_mart
 from .registry import query
-from .table_queries import LABEL, LINE_KEYS, MODEL_INPUTS, labelled_lines
+from .table_queries import LABEL, LINE_KEYS, MODEL_INPUTS, TRADE_COLUMNS, labelled_lines
+from .trade import mart_inputs
 from .zones import train_stage
 
 
@@ -54,3 +58,17 @@ def model_search(spark: SparkSession, sf_dir: str) -> DataFrame:
         labelled_lines(spark, sf_dir), output, MODEL_INPUTS, LABEL, LINE_KEYS, QUICK_SPACE, trials=4
     )
     return read_table(spark, f"{output}/runs").select("trial", "params", "metrics")
+
+
+@query()
+def mart_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stages 3 and 4 together, K8, M9: train on the feature table, then load the saved
+    model and score every cell with it."""
+    output = scratch_path(spark, "mart_training")
+    write_table(build_mart(*mart_inputs(spark, sf_dir), TRADE_COLUMNS), f"{output}/mart")
+    mart = read_table(spark, f"{output}/mart")
+    inputs = ["density", "ratio_a", "population", "ratio_b"]
+    keys = list(TRADE_COLUMNS.keys)
+    train_stage(mart, output, inputs, "target_index", keys, QUICK_SPACE, trials=3)
+    model = PipelineModel.load(f"{output}/model")
+    return model.transform(drop_incomplete(mart, inputs)).select(*keys, "target_index", "prediction")
