@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -56,6 +57,7 @@ def left_chain(
     ``salts`` above 1 is for a base in which single keys hold a large share of the rows
     while the sides, at one row per key, are too big to broadcast: base rows of a key are
     dealt over that many tasks, and each side row is repeated for each of them.
+    ``salts_for`` counts how many are needed.
     """
     on = list(keys)
     if salts > 1:
@@ -71,6 +73,22 @@ def left_chain(
     return joined.drop(SALT)
 
 
+# Rows of one key that a single task still joins without holding up its stage.
+ROWS_PER_TASK = 1_000_000
+
+
+def salts_for(base: DataFrame, keys: Sequence[str]) -> int:
+    """Salts that bring the largest key of ``base`` down to what one task should take.
+
+    Costs one pass over the key columns, summed per key on the map side. 1 for a table
+    with a row per key.
+    """
+    sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
+    largest = sizes.agg(F.max("size")).first()[0] or 0
+    tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(tasks, math.ceil(largest / ROWS_PER_TASK)))
+
+
 def with_ratios(df: DataFrame, ratios: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Add ``{alias: (numerator, denominator)}`` as null-safe double ratios."""
     return df.withColumns(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 from ..functions.cleaning import ColumnRule, apply_rules
-from ..operators.features import left_chain, present
+from ..operators.features import left_chain, present, salts_for
 from ..operators.ingest import batch_path, collect, read_landing, write_batch
 from ..operators.sinks import write_csv, write_formatted, write_json, write_table
 from ..session import in_parallel, materialise, scratch_path
@@ -30,9 +30,9 @@ from ..sources.readers import (
 )
 from ..sources.spec import SourceSpec, text_fields
 from ..streaming import collect_stream
+from .mart import build_mart
 from .registry import load, query
 from .table_queries import MART_SQL, TRADE_COLUMNS
-from .mart import build_mart
 from .trade import cells, customer_year_facts, mart_inputs, target_index
 from .zones import Zones, collect_stage, format_stage, transform_stage
 
@@ -359,7 +359,8 @@ def write_raw_files(spark: SparkSession, sf_dir: str, source: str) -> None:
     )
 
     # A nation may hold a third of the customers: its rows are dealt over several tasks.
-    by_customer = present(left_chain(facts, [places], ["area"], salts=16), "Codi_Barri")
+    salts = salts_for(facts, ["area"])
+    by_customer = present(left_chain(facts, [places], ["area"], salts), "Codi_Barri")
     immigrants = by_customer.select(
         year, *place, text(F.col("returned"), "..").alias("Valor")
     )
@@ -379,7 +380,8 @@ def write_raw_files(spark: SparkSession, sf_dir: str, source: str) -> None:
             record_of(F.lit("Demanda no aturats"), F.col("orders") - F.col("finished")),
         ).alias("records")
     )
-    good = by_customer.select(F.lit(None).cast("struct<message:string>").alias("error"), envelope.alias("result"))
+    no_error = F.lit(None).cast("struct<message:string>")
+    good = by_customer.select(no_error.alias("error"), envelope.alias("result"))
     bad = cell_rows.select(F.struct(F.lit("Not found").alias("message")).alias("error"))
     unemployment = good.unionByName(bad, allowMissingColumns=True)
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import apply_rules, rejected_counts
-from ..operators.features import drop_incomplete
+from ..operators.features import drop_incomplete, salts_for
 from ..operators.ingest import collect, read_landing
 from ..operators.regression import hash_split, measures, metric_sums
 from ..operators.search import SearchResult, SearchSpace, search
@@ -96,32 +96,24 @@ def format_stage(
     return dict(zip([spec.table for spec in specs], in_parallel(spark, rebuild, specs)))
 
 
-def mart_frame(
-    spark: SparkSession, zones: Zones, columns: MartColumns = MartColumns(), salts: int = 1
-) -> DataFrame:
-    tables = [
-        read_table(spark, zones.table(name))
-        for name in ("income", "density", "immigrants", "unemployment")
-    ]
-    return build_mart(*tables, columns, salts)
-
-
 def transform_stage(
-    spark: SparkSession, zones: Zones, columns: MartColumns = MartColumns(), salts: int = 1
+    spark: SparkSession, zones: Zones, columns: MartColumns = MartColumns()
 ) -> int:
     """Rebuild the feature table; returns its row count, observed during the write."""
+    income, density, immigrants, unemployment = [
+        read_table(spark, zones.table(name))
+        for name in ("income", "density", "immigrants", "unemployment")
+    ]
+    salts = salts_for(income, columns.keys)
+    mart = build_mart(income, density, immigrants, unemployment, columns, salts)
     counted = Observation("mart")
-    frame = mart_frame(spark, zones, columns, salts).observe(
-        counted, F.count(F.lit(1)).alias("rows")
-    )
-    write_table(frame, zones.mart)
+    write_table(mart.observe(counted, F.count(F.lit(1)).alias("rows")), zones.mart)
     return counted.get["rows"]
 
 
 # Model inputs of the built-in feature table.
 MODEL_FEATURES = ("net_density", "ratio_immigrants", "population", "ratio_unemployed")
 
-
 SUMS_SCHEMA = "rows bigint, sse double, variance double, spread double"
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 Item = TypeVar("Item")
 Result = TypeVar("Result")
 
+
 def local_session(
     app: str = "civicmart", cpus: int | str = "*", conf: dict[str, str] | None = None
 ) -> SparkSession:

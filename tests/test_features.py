@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from civicmart.operators import features
 from civicmart.operators.features import (
     SALT,
     drop_incomplete,
@@ -14,6 +15,7 @@ from civicmart.operators.features import (
     left_chain,
     present,
     row_count,
+    salts_for,
     value_range,
     with_ratios,
 )
@@ -93,6 +95,16 @@ def test_salts_deal_a_hot_key_over_tasks(spark):
             spark.conf.set(key, value)
 
 
+def test_salts_follow_the_largest_key(spark, monkeypatch):
+    rows_ = spark.range(100).select(F.when(F.col("id") < 60, 0).otherwise(F.col("id")).alias("k"))
+    assert salts_for(rows_, ["k"]) == 1
+    monkeypatch.setattr(features, "ROWS_PER_TASK", 25)
+    assert salts_for(rows_, ["k"]) == 3
+    monkeypatch.setattr(features, "ROWS_PER_TASK", 1)
+    assert salts_for(rows_, ["k"]) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert salts_for(rows_.limit(0), ["k"]) == 1
+
+
 def test_present_and_incomplete(spark):
     df = spark.createDataFrame([(1, 1.0), (2, None), (None, 3.0), (4, float("nan"))], "a int, b double")
     assert rows(present(df, "a", "b").select("a")) == [(1,), (4,)]
