@@ -3,6 +3,7 @@
 from .cleaning import (
     ColumnRule,
     apply_rules,
+    apply_rules_beside_raw,
     fill_zero,
     hyphens_to_spaces,
     rejected_counts,
@@ -16,6 +17,7 @@ from .keys import hash_bucket
 __all__ = [
     "ColumnRule",
     "apply_rules",
+    "apply_rules_beside_raw",
     "fill_zero",
     "hash_bucket",
     "hyphens_to_spaces",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # Fixed value: the label the open-data portal uses for an unknown place name.
 UNKNOWN_PLACE = "No consta"
 
+# Prefix of the columns that carry raw text beside a formatted one.
+RAW = "_raw_"
+
 
 def quoted(name: str) -> Column:
     """Column by its literal name, dots, spaces, accents and parentheses included."""
@@ -108,15 +111,24 @@ def apply_rules(
     return df.select(*[rule.column(parent) for rule in rules])
 
 
-def rejected_counts(rules: Sequence[ColumnRule], parent: str | None = None) -> list[Column]:
-    """Per numeric column: rows whose raw text is present but unreadable.
+def apply_rules_beside_raw(
+    df: DataFrame, rules: Iterable[ColumnRule], parent: str | None = None
+) -> DataFrame:
+    """``apply_rules``, and for each numeric column the raw text it was read from."""
+    rules = list(rules)
+    raw = [rule.source(parent).alias(RAW + rule.target) for rule in rules if rule.kind != "string"]
+    return df.select(*[rule.column(parent) for rule in rules], *raw)
+
+
+def rejected_counts(rules: Iterable[ColumnRule]) -> list[Column]:
+    """Row count and, per numeric column, the rows whose raw text is present but unreadable.
 
-    Meant for ``DataFrame.observe`` on the raw frame, so that sentinels turned into
-    null stay visible without another pass.
+    For ``agg`` or ``observe`` over ``apply_rules_beside_raw``: sentinels turned into null
+    stay visible without another pass, and no text is parsed twice.
     """
     counts = [F.count(F.lit(1)).alias("rows")]
     for rule in rules:
         if rule.kind != "string":
-            lost = rule.source(parent).isNotNull() & rule.column(parent).isNull()
+            lost = quoted(RAW + rule.target).isNotNull() & quoted(rule.target).isNull()
             counts.append(F.count_if(lost).alias(f"rejected_{rule.target}"))
     return counts

@@ -213,12 +213,10 @@ def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S8 with the file stream source: its checkpoint, not the ledger, finds new files."""
 
     def collect_new(source: str, landing: str) -> None:
-        running = [
-            collect_stream(
-                spark, spec, f"{source}/{spec.category}", landing, f"{landing}/_checkpoints/{spec.category}"
-            )
-            for spec in EVENT_SPECS
-        ]
+        running = []
+        for spec in EVENT_SPECS:
+            folder, memory = f"{source}/{spec.category}", f"{landing}/_checkpoints/{spec.category}"
+            running.append(collect_stream(spark, spec, folder, landing, memory))
         for stream in running:
             stream.awaitTermination()
 

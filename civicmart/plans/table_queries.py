@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import (
     ColumnRule,
     apply_rules,
+    apply_rules_beside_raw,
     rejected_counts,
     hyphens_to_spaces,
     safe_ratio,
@@ -253,7 +254,8 @@ def rejected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         ColumnRule(("o_orderpriority",), "priority", "int"),
         ColumnRule(("price",), "price", "double"),
     ]
-    return raw.withColumn("price", price).agg(*rejected_counts(rules))
+    both = apply_rules_beside_raw(raw.withColumn("price", price), rules)
+    return both.agg(*rejected_counts(rules))
 
 
 @query("""

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.cleaning import apply_rules, rejected_counts
+from ..functions.cleaning import apply_rules, apply_rules_beside_raw, rejected_counts
 from ..operators.features import drop_incomplete, salts_for
 from ..operators.ingest import collect, read_landing
 from ..operators.regression import hash_split, measures, metric_sums
@@ -72,9 +72,11 @@ def formatted_frame(
     if spec.records is not None:
         parent = "record"
         rows = explode_records(rows, spec.records, parent)
-    if quality is not None:
-        rows = rows.observe(quality, *rejected_counts(spec.rules, parent))
-    return apply_rules(rows, spec.rules, parent)
+    if quality is None:
+        return apply_rules(rows, spec.rules, parent)
+    both = apply_rules_beside_raw(rows, spec.rules, parent)
+    counted = both.observe(quality, *rejected_counts(spec.rules))
+    return counted.select(*[rule.target for rule in spec.rules])
 
 
 def format_stage(
