@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
@@ -17,6 +18,9 @@ from ..functions.keys import hash_bucket
 UNSCALED, FEATURES, PREDICTION = "unscaled_features", "features", "prediction"
 MODEL_SEED = 42
 
+# Rows that make a further task worth starting in every pass of a fit.
+ROWS_PER_PART = 20_000
+
 
 def hash_split(
     df: DataFrame, keys: Sequence[str], tenths: int, salt: str | int
@@ -39,13 +43,17 @@ def kept_rows(df: DataFrame) -> Iterator[DataFrame]:
     """Rows for a fit, which reads them once per tree level or iteration.
 
     Kept in executor memory, then disk; lost blocks are recomputed. Input cut into fewer
-    parts than there are cores is dealt out first, else those few tasks set the pace of
-    every pass. Input of a large table has more parts than that and is not shuffled.
+    parts than there are cores is counted, and dealt out if it has the rows for it, else
+    those few tasks set the pace of every pass. Input of a large table has more parts than
+    that and is not shuffled, and a few hundred rows stay in one task on any cluster.
     ``df`` is expected to be a scan with narrow steps, for which counting parts is free.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
+    parts = df.rdd.getNumPartitions()
+    if parts < cores:
+        wanted = min(cores, math.ceil(df.count() / ROWS_PER_PART))
+        if wanted > parts:
+            df = df.repartition(wanted)
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept

@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from civicmart.functions.keys import PRIME, hash_bucket, hash_coefficients
+from civicmart.operators import regression
 from civicmart.operators.regression import (
     feature_stages,
     hash_split,
@@ -121,11 +122,12 @@ def test_tree_models_learn(data, params):
     assert regression_metrics(model.transform(test), "y").first().r2 > 0.8
 
 
-def test_kept_rows_are_all_rows_and_released(spark):
-    df = spark.range(100).coalesce(1)
-    with kept_rows(df) as kept:
+@pytest.mark.parametrize("rows_per_part, parts", [(20_000, 1), (60, 2), (1, 4)])
+def test_kept_rows_are_all_rows_and_released(spark, monkeypatch, rows_per_part, parts):
+    monkeypatch.setattr(regression, "ROWS_PER_PART", rows_per_part)
+    with kept_rows(spark.range(100).coalesce(1)) as kept:
         assert kept.count() == 100 and kept.is_cached
-        assert kept.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+        assert kept.rdd.getNumPartitions() == parts
     assert not kept.is_cached
 
 
