@@ -9,17 +9,19 @@ import pytest
 from oracle import differences
 
 import __spark_entry__ as contract
+from civicmart.plans.registry import ORACLES, QUERIES
 
 TABLES = os.environ.get("CIVICMART_TABLES", "/root/testdata/sf0.001")
-ORACLES = contract.oracle_sql()
 WITHOUT_SQL = {"score_rf", "score_gbt", "model_search", "mart_training"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(TABLES), reason="tables not present")
 
 
 def test_every_query_but_the_models_has_sql():
-    assert set(contract.queries()) - set(ORACLES) == WITHOUT_SQL
-    assert set(ORACLES) <= set(contract.queries())
+    assert set(QUERIES) - set(ORACLES) == WITHOUT_SQL
+    assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -78,7 +80,7 @@ def test_skewed_tables_give_the_same_as_sql(spark, skewed, name):
     assert differences(spark, contract.queries()[name], ORACLES[name], skewed) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(contract.queries()) - {"model_search"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"model_search"}))
 def test_no_python_workers_in_plans(spark, name):
     plan = contract.queries()[name](spark, TABLES)._jdf.queryExecution().executedPlan().toString()
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "CartesianProduct"):
