@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+
 from civicmart.llm import (
     chat,
     decontaminate,
+    embedding_dedup,
     mixing,
+    secrets,
     sharding,
+    token_planes,
 )
 from civicmart.plans.registry import Builder, load
 
@@ -14,6 +19,7 @@ QUERIES: dict[str, Builder] = {
     "op1_decontaminate": lambda spark, sf: decontaminate.contamination_report(
         load(spark, sf, "documents"), load(spark, sf, "benchmark")
     ),
+    "op2_embedding_dedup": lambda spark, sf: embedding_dedup.near_vectors(load(spark, sf, "embeddings")),
     "op4_chat_format": lambda spark, sf: chat.chat_report(
         load(spark, sf, "conversations")
         .select("conv_id", "turn", "role", "text")
@@ -24,8 +30,12 @@ QUERIES: dict[str, Builder] = {
             )
         )
     ),
+    "op5_secrets": lambda spark, sf: secrets.secret_report(load(spark, sf, "documents")),
     "op7_mix": lambda spark, sf: mixing.mix_report(load(spark, sf, "documents")),
     "op8_shard": lambda spark, sf: sharding.shard_report(load(spark, sf, "documents")),
+    "op9_token_planes": lambda spark, sf: token_planes.token_report(
+        load(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    ),
 }
 
 ORACLES: dict[str, str] = {
@@ -59,6 +69,25 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit,
   coalesce(n_items, 0)::bigint as n_items, sha256(coalesce(items, '')) as items_sha256,
   coalesce(n_hit, 0) > 0 as contaminated
 from words left join covered using (doc_id) left join found using (doc_id)
+""",
+    "op2_embedding_dedup": r"""
+with recursive usable as (
+  select vec_id, label, embedding::double[] as v from embeddings
+  where label is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (
+  select a.vec_id as a, b.vec_id as b from usable a join usable b
+  on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+  where list_cosine_similarity(a.v, b.v) >= 0.98),
+reach(a, b) as (
+  select vec_id, vec_id from embeddings
+  union
+  select r.a, l.b from reach r join links l on l.a = r.b),
+roots as (select a, min(b) as component_id from reach group by a),
+counts as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0)::bigint as n_links, component_id, vec_id = component_id as kept
+from embeddings e join roots r on r.a = e.vec_id left join counts c on c.a = e.vec_id
 """,
     "op4_chat_format": r"""
 with rows as (
