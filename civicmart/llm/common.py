@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import string
+import tempfile
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A word: digits, ASCII letters (upper case is lowered first) and every character past ASCII.
@@ -14,6 +17,24 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BROADCAST_ROWS = 1_000_000
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's sources to the executors, once per application, so that functions
+    run in tasks find it there whether or not it is installed."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="civicmart-")) / "civicmart_sources.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def words(text: Column) -> Column:
     """Words of a text with A-Z lowered and nothing else; a null text has none."""
     lowered = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)

@@ -3,23 +3,38 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
 from civicmart.llm import (
     chat,
     decontaminate,
     embedding_dedup,
     mixing,
+    quality,
     secrets,
     sharding,
     token_planes,
 )
+from civicmart.llm.common import ship_package
 from civicmart.plans.registry import Builder, load
 
+
+def _shipping(builder: Builder) -> Builder:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return builder(spark, sf_dir)
+
+    return build
+
+
 QUERIES: dict[str, Builder] = {
     "op1_decontaminate": lambda spark, sf: decontaminate.contamination_report(
         load(spark, sf, "documents"), load(spark, sf, "benchmark")
     ),
     "op2_embedding_dedup": lambda spark, sf: embedding_dedup.near_vectors(load(spark, sf, "embeddings")),
+    "op3_quality": lambda spark, sf: quality.quality_report(
+        load(spark, sf, "documents"), load(spark, sf, "labels")
+    ),
     "op4_chat_format": lambda spark, sf: chat.chat_report(
         load(spark, sf, "conversations")
         .select("conv_id", "turn", "role", "text")
@@ -37,6 +52,7 @@ QUERIES: dict[str, Builder] = {
         load(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json")
     ),
 }
+QUERIES = {name: _shipping(builder) for name, builder in QUERIES.items()}
 
 ORACLES: dict[str, str] = {
     "op1_decontaminate": r"""
