@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from civicmart.llm import (
+    bagminhash,
     chat,
     decontaminate,
     embedding_dedup,
@@ -46,6 +47,7 @@ QUERIES: dict[str, Builder] = {
         )
     ),
     "op5_secrets": lambda spark, sf: secrets.secret_report(load(spark, sf, "documents")),
+    "op6_bagminhash": lambda spark, sf: bagminhash.near_copy_report(load(spark, sf, "documents")),
     "op7_mix": lambda spark, sf: mixing.mix_report(load(spark, sf, "documents")),
     "op8_shard": lambda spark, sf: sharding.shard_report(load(spark, sf, "documents")),
     "op9_token_planes": lambda spark, sf: token_planes.token_report(
@@ -120,6 +122,32 @@ select conv_id, count(*) as n_turns,
   sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
   sum(n_text + case when before is not distinct from role then 5 else n_role + 20 end)::bigint as formatted_chars
 from marked group by conv_id
+""",
+    "op6_bagminhash": r"""
+with recursive words as (
+  select doc_id, md5(text) as same, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents where text is not null),
+runs as (
+  select doc_id, w, least(len(w), 5) as n, unnest(range(1, len(w) - least(len(w), 5) + 2)) as i
+  from words where len(w) > 0),
+bags as (
+  select doc_id, array_to_string(w[i:i + n - 1], ' ') as shingle, count(*) as weight from runs group by 1, 2),
+sizes as (select doc_id, sum(weight) as size from bags group by doc_id),
+shared as (
+  select a.doc_id as a, b.doc_id as b, sum(least(a.weight, b.weight)) as common
+  from bags a join bags b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2),
+links as (
+  select a, b from shared s join sizes x on x.doc_id = s.a join sizes y on y.doc_id = s.b
+  where common * 5 >= 4 * (x.size + y.size - common)
+  union
+  select a.doc_id, b.doc_id from words a join words b on a.same = b.same and a.doc_id < b.doc_id),
+ways as (select a, b from links union select b, a from links),
+reach(a, b) as (
+  select doc_id, doc_id from documents
+  union
+  select r.a, w.b from reach r join ways w on w.a = r.b)
+select a as doc_id, min(b) as component_id, a = min(b) as kept from reach group by a
 """,
     "op7_mix": r"""
 with sized as (

@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from civicmart.llm import decontaminate, mixing, sharding
+from civicmart.llm import bagminhash, decontaminate, mixing, quality, sharding
+from civicmart.llm.common import ship_package
 from civicmart.plans.registry import load
 from civicmart.session import materialise
 
 
+def accept(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier accepts."""
+    ship_package(spark)
+    return quality.accept(docs, load(spark, sf_dir, "labels"))
+
+
+def dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    ship_package(spark)
+    return bagminhash.drop_near_copies(docs)
+
+
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of the benchmark occurs."""
     return decontaminate.remove_documents(docs, load(spark, sf_dir, "benchmark"))
@@ -25,6 +38,8 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", accept),
+    ("near_dedup", dedup),
     ("decontaminate", clean),
     ("mix", mix),
     ("shard", shard),
