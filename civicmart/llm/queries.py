@@ -14,6 +14,7 @@ from civicmart.llm import (
     quality,
     secrets,
     sharding,
+    substrings,
     token_planes,
 )
 from civicmart.llm.common import ship_package
@@ -53,6 +54,7 @@ QUERIES: dict[str, Builder] = {
     "op9_token_planes": lambda spark, sf: token_planes.token_report(
         load(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json")
     ),
+    "op10_substrings": lambda spark, sf: substrings.repeat_report(load(spark, sf, "documents")),
 }
 QUERIES = {name: _shipping(builder) for name, builder in QUERIES.items()}
 
