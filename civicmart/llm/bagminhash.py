@@ -82,10 +82,10 @@ def signatures(text: np.ndarray, shingles: np.ndarray, weights: np.ndarray, n: i
     limit = m * (np.log(m) + 5) / np.maximum(total, 1e-9)
     live = np.arange(len(text))
     while len(live):
-        time, turn = np.zeros(len(text)), np.uint64(0)
+        time, turn = np.zeros(len(text)), np.zeros(1, dtype=np.uint64)
         while len(live):
-            turn += np.uint64(1)
-            draw = mix(seed[live] + turn * _GOLD)
+            turn += _GOLD
+            draw = mix(seed[live] + turn)
             time[live] -= np.log(_uniform(draw)) / width[live]
             early = time[live] <= limit[text[live]]
             live, draw = live[early], draw[early]

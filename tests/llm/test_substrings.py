@@ -1,0 +1,99 @@
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm_fixtures import awkward, documents, rows, shipped  # noqa: F401
+
+from civicmart.llm import substrings as sub
+
+
+def brute(pairs):
+    data = [(i, (t or "").encode()) for i, t in pairs]
+    seen = Counter(b[k : k + 200] for _, b in data for k in range(len(b) - 199))
+    out = []
+    for i, b in data:
+        gone = np.zeros(len(b) + 1, dtype=bool)
+        for k in range(len(b) - 199):
+            if seen[b[k : k + 200]] > 1:
+                gone[k : k + 200] = True
+        gone = gone[: len(b)]
+        runs = int(np.count_nonzero(gone & ~np.concatenate([[False], gone[:-1]])))
+        kept = bytes(x for x, g in zip(b, gone) if not g)
+        out.append((i, len(b), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=repr)
+
+
+def corpus(seed):
+    """Passages of many lengths around 200 bytes, put into texts at random, some periodic."""
+    rng = random.Random(seed)
+    noise = lambda n: "".join(rng.choices("abcdefgh éü\n", k=n))
+    shared = [noise(n) for n in (120, 198, 199, 200, 201, 230, 400, 1500)] + ["ab" * 300, "x" * 450, "line of text\n" * 40]
+    pairs = []
+    for i in range(70):
+        text = "".join(rng.choice([noise(rng.randint(0, 300)), rng.choice(shared), rng.choice(shared)[rng.randint(0, 60) :]]) for _ in range(rng.randint(0, 6)))
+        pairs.append((i, text))
+    return pairs + [(100 + i, pairs[3][1]) for i in range(20)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_report_equals_brute_force(documents, seed):
+    pairs = corpus(seed)
+    assert rows(sub.repeat_report(documents(pairs))) == brute(pairs)
+
+
+def test_awkward_rows(awkward):
+    assert rows(sub.repeat_report(awkward)) == brute([(r.doc_id, r.text) for r in awkward.collect()])
+
+
+def test_repeats_within_one_text(documents):
+    once = "".join(random.Random(4).choices("abcdefghijkl", k=260))
+    pairs = [(1, once + "--" + once), (2, "y" * 200), (3, "z" * 201), (4, "short")]
+    assert rows(sub.repeat_report(documents(pairs))) == brute(pairs)
+
+
+def test_empty_table(documents):
+    assert sub.repeat_report(documents([(1, "a")]).limit(0)).count() == 0
+
+
+def test_texts_lose_their_repeats(documents):
+    rng = random.Random(9)
+    passage = "".join(rng.choices("abcdefgh ", k=300))
+    docs = documents([(1, "one " + passage), (2, passage + " two"), (3, None), (4, "clean")])
+    out = sub.remove_repeats(docs)
+    assert out.columns == docs.columns
+    assert {r.doc_id: r.text for r in out.collect()} == {1: "one ", 2: " two", 3: None, 4: "clean"}
+
+
+def found(texts):
+    """Anchors with the positions they stand for, from a batch."""
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(range(len(texts)), pa.int64()), pa.array([0] * len(texts), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text_hash", "text"]
+    )
+    return [r for b in sub._find_anchors(iter([batch])) for r in b.to_pylist()]
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.text(alphabet="abé", min_size=0, max_size=700), max_size=4))
+def test_every_position_has_one_anchor_of_its_own_bytes(texts):
+    positions = Counter()
+    for r in found(texts):
+        for a in range(r["low"], r["high"] + 1):
+            assert 0 <= a < sub.WINDOW
+            positions[r["doc_id"], r["p"] - a] += 1
+    wanted = {(i, k) for i, t in enumerate(texts) for k in range(len(t.encode()) - 199)}
+    assert set(positions) == wanted and set(positions.values()) <= {1}
+
+
+def test_long_texts_are_cut_without_losing_positions(monkeypatch):
+    text = "".join(random.Random(1).choices("abcdef", k=9000))
+    whole = {(r["p"], r["gram"]) for r in found([text, text[:500]]) if r["doc_id"] == 0}
+    monkeypatch.setattr(sub, "SLICE", 700)
+    cut = found([text, text[:500]])
+    assert {(r["p"], r["gram"]) for r in cut if r["doc_id"] == 0} == whole
+    positions = Counter(r["p"] - a for r in cut if r["doc_id"] == 0 for a in range(r["low"], r["high"] + 1))
+    assert positions == Counter(range(len(text) - 199))
