@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cleaning import fill_zero, safe_ratio
 
-SALT = "_salt"
+SALT, PARTS = "_salt", "_parts"
 
 
 def grouped_total(df: DataFrame, keys: Sequence[str], value: str, total: str) -> DataFrame:
@@ -45,7 +44,10 @@ def _all(conditions) -> Column:
 
 
 def left_chain(
-    base: DataFrame, sides: Sequence[DataFrame], keys: Sequence[str], salts: int = 1
+    base: DataFrame,
+    sides: Sequence[DataFrame],
+    keys: Sequence[str],
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Left equi-joins of ``base`` with each side in turn on the same keys.
 
@@ -54,39 +56,45 @@ def left_chain(
     key set, hence one partitioning; sides that were grouped by the keys come already
     partitioned. No join strategy is forced: AQE broadcasts a side only after measuring it.
 
-    ``salts`` above 1 is for a base in which single keys hold a large share of the rows
-    while the sides, at one row per key, are too big to broadcast: base rows of a key are
-    dealt over that many tasks, and each side row is repeated for each of them.
-    ``salts_for`` counts how many are needed.
+    ``heavy``, from ``heavy_keys``, names the keys whose rows one task should not get
+    alone. Rows of such a key are dealt over its ``parts`` by a hash of the row, and the
+    sides' rows of that key, but no others, are repeated as often.
     """
     on = list(keys)
-    if salts > 1:
-        base = base.withColumn(SALT, F.pmod(F.monotonically_increasing_id(), F.lit(salts)))
+    if heavy is not None:
+        row_hash = F.xxhash64(*base.columns)
+        base = _with_parts(base, heavy, keys).withColumn(SALT, F.pmod(row_hash, PARTS)).drop(PARTS)
         on.append(SALT)
     joined = base
     for side in sides:
         side = side.drop(*[c for c in side.columns if c in joined.columns and c not in keys])
-        if salts > 1:
-            copies = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-            side = side.withColumn(SALT, F.explode(copies))
+        if heavy is not None:
+            parts = F.sequence(F.lit(0).cast("bigint"), F.col(PARTS) - 1)
+            side = _with_parts(side, heavy, keys).withColumn(SALT, F.explode(parts)).drop(PARTS)
         joined = joined.join(side, on, "left")
     return joined.drop(SALT)
 
 
-# Rows of one key that a single task still joins without holding up its stage.
-ROWS_PER_TASK = 1_000_000
+def _with_parts(df: DataFrame, heavy: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df`` with the number of parts of each row's key: 1 unless it is a heavy one."""
+    named = heavy.select(*[F.col(k).alias(f"_heavy_{k}") for k in keys], F.col("parts").alias("_n"))
+    same = _all(df[k].eqNullSafe(named[f"_heavy_{k}"]) for k in keys)
+    # heavy_keys gives fewer rows than ``parts``.
+    joined = df.join(F.broadcast(named), same, "left")
+    return joined.select(*[df[c] for c in df.columns], F.coalesce("_n", F.lit(1)).alias(PARTS))
 
 
-def salts_for(base: DataFrame, keys: Sequence[str]) -> int:
-    """Salts that bring the largest key of ``base`` down to what one task should take.
+def heavy_keys(base: DataFrame, keys: Sequence[str], parts: int = 200) -> DataFrame:
+    """(keys, parts) of every key with more than 1/``parts`` of the rows, null keys too: how
+    many such shares it holds, rounded up.
 
-    Costs one pass over the key columns, summed per key on the map side. 1 for a table
-    with a row per key.
+    Costs one pass over the key columns, summed per key on the map side. There can be fewer
+    than ``parts`` of them at any size, and the shares follow the rows alone.
     """
     sizes = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("size"))
-    largest = sizes.agg(F.max("size")).first()[0] or 0
-    tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(tasks, math.ceil(largest / ROWS_PER_TASK)))
+    total = base.agg(F.count(F.lit(1)).alias("total")).scalar()
+    shares = F.ceil(F.col("size") * parts / total)
+    return sizes.filter(F.col("size") * parts > total).select(*keys, shares.alias("parts"))
 
 
 def with_ratios(df: DataFrame, ratios: Mapping[str, tuple[str, str]]) -> DataFrame:

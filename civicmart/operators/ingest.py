@@ -8,7 +8,6 @@ ledger names, so a run that dies in between leaves an unused folder, not duplica
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime, timezone
@@ -19,13 +18,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..functions.cleaning import quoted
 from ..session import in_parallel
 from ..sources.readers import (
+    OWN_CSV_WRITE,
     TEXT_OPTIONS,
-    read_csv,
+    csv_paths_by_header,
+    escape_glob,
     read_csv_by_name,
     read_json_documents,
     read_json_lines,
+    read_own_csv,
+    union_by_name,
     with_file_name,
 )
 from ..sources.spec import SourceSpec, text_fields
@@ -90,11 +94,6 @@ def file_format(name: str) -> str | None:
     return next((fmt for fmt in FORMATS if name.endswith(f".{fmt}")), None)
 
 
-def escape_glob(path: str) -> str:
-    """Reader paths are globs; file names are not."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
-
-
 def collect(
     spark: SparkSession,
     specs: Iterable[SourceSpec],
@@ -156,13 +155,15 @@ def copy_files(
 
 
 def read_raw(spark: SparkSession, paths: Sequence[str], fmt: str, spec: SourceSpec) -> DataFrame:
-    """Raw files with the declared fields, or with the fields found in them if the spec
-    declares none or another format; and ``file_name``."""
+    """Raw files with all the fields found in them, those the spec declares (for this format)
+    first, and ``file_name``. Fields nobody declared are landed too, so that a later spec can
+    use them: a file is collected only once."""
     declared = spec.raw_schema if spec.file_format == fmt else None
     if fmt == "csv":
-        return read_csv_by_name(spark, paths, declared, file_names=True)
+        lines = {"multiLine": True} if spec.quoted_lines else {}
+        return read_csv_by_name(spark, paths, declared, file_names=True, keep_all=True, **lines)
     read = read_json_documents if spec.multi_line else read_json_lines
-    return with_file_name(read(spark, paths, declared))
+    return with_file_name(read(spark, paths))
 
 
 def batch_path(landing: str, category: str, fmt: str, batch_id: str) -> str:
@@ -171,11 +172,11 @@ def batch_path(landing: str, category: str, fmt: str, batch_id: str) -> str:
 
 def write_batch(df: DataFrame, fmt: str, path: str) -> None:
     """Overwrites its own batch folder only, so repeating a batch replaces it."""
-    writer = df.write.mode("overwrite").partitionBy("file_name").options(**TEXT_OPTIONS)
+    writer = df.write.mode("overwrite").partitionBy("file_name")
     if fmt == "csv":
-        writer.options(header=True).csv(path)
+        writer.options(**OWN_CSV_WRITE).csv(path)
     else:
-        writer.json(path)
+        writer.options(**TEXT_OPTIONS).json(path)
 
 
 def committed_batches(spark: SparkSession, landing: str, category: str, fmt: str) -> list[str]:
@@ -200,5 +201,43 @@ def read_landing(
     if not batches:
         return spark.createDataFrame([], full)
     paths = [batch_path(landing, category, fmt, batch) for batch in batches]
-    read = read_csv if fmt == "csv" else read_json_lines
-    return read(spark, paths, full, basePath=f"{landing}/{category}/{fmt}")
+    base = f"{landing}/{category}/{fmt}"
+    if fmt == "json":
+        rows = read_json_lines(spark, paths, full, basePath=base)
+    else:
+        rows = _landed_csv(spark, paths, schema, names, base)
+    return _first_landing(rows, spark, landing, category, fmt)
+
+
+def _landed_csv(
+    spark: SparkSession, paths: Sequence[str], schema: StructType, names: list[StructField], base: str
+) -> DataFrame:
+    """Landed CSV by name: a batch has the declared columns and whatever its files had beside."""
+    lookup = {"recursiveFileLookup": True}
+    groups: dict[tuple[str, ...], list[str]] = csv_paths_by_header(spark, paths, **lookup)
+    frames = []
+    for header, files in groups.items():
+        full = StructType(text_fields(*header).fields + names)
+        frame = read_own_csv(spark, files, full, basePath=base)
+        absent = {f.name: F.lit(None).cast("string") for f in schema.fields if f.name not in header}
+        frame = frame.withColumns(absent)
+        columns = [quoted(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
+        frames.append(frame.select(*columns, "batch_id", "file_name"))
+    if not frames:
+        return spark.createDataFrame([], StructType(schema.fields + names))
+    return union_by_name(frames)
+
+
+def _first_landing(
+    rows: DataFrame, spark: SparkSession, landing: str, category: str, fmt: str
+) -> DataFrame:
+    """Rows of each file's first batch only: runs that overlapped may have landed a file twice."""
+    ledger = read_ledger(spark, landing, category)
+    ledger = ledger.filter((F.col("file_format") == fmt) & (F.col("status") == COLLECTED))
+    first = ledger.groupBy("file_name").agg(
+        F.min("batch_id").alias("first"), F.max("batch_id").alias("last")
+    )
+    again = ledger.join(first.filter("first != last"), "file_name").filter("batch_id != first")
+    again = again.select(F.col("batch_id").alias("_batch"), F.col("file_name").alias("_file")).distinct()
+    same = (rows["batch_id"] == again["_batch"]) & (rows["file_name"] == again["_file"])
+    return rows.join(again, same, "left_anti")

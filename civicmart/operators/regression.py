@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
@@ -18,8 +17,8 @@ from ..functions.keys import hash_bucket
 UNSCALED, FEATURES, PREDICTION = "unscaled_features", "features", "prediction"
 MODEL_SEED = 42
 
-# Rows that make a further task worth starting in every pass of a fit.
-ROWS_PER_PART = 20_000
+# Parts that training rows are dealt into, unless the caller says otherwise.
+PARTITIONS = 8
 
 
 def hash_split(
@@ -38,22 +37,27 @@ def in_first_part(df: DataFrame, keys: Sequence[str], tenths: int, salt: str | i
     return hash_bucket(df, keys, 10, salt) < tenths
 
 
-@contextmanager
-def kept_rows(df: DataFrame) -> Iterator[DataFrame]:
-    """Rows for a fit, which reads them once per tree level or iteration.
+def dealt_rows(df: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
+    """The rows of ``df`` in a layout that follows from their values alone.
 
-    Kept in executor memory, then disk; lost blocks are recomputed. Input cut into fewer
-    parts than there are cores is counted, and dealt out if it has the rows for it, else
-    those few tasks set the pace of every pass. Input of a large table has more parts than
-    that and is not shuffled, and a few hundred rows stay in one task on any cluster.
-    ``df`` is expected to be a scan with narrow steps, for which counting parts is free.
+    Tree building samples by part and order, so the same rows must lie in the same parts in the
+    same order on every cluster. Equal rows are counted first, on the map side, and told apart
+    by a running number: a row repeated without end is dealt over all parts like any other.
+    ``partitions`` is the parallelism of every pass of a fit and part of a model's definition;
+    give it a few times the cores that large training data should use.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = df.rdd.getNumPartitions()
-    if parts < cores:
-        wanted = min(cores, math.ceil(df.count() / ROWS_PER_PART))
-        if wanted > parts:
-            df = df.repartition(wanted)
+    columns = list(df.columns)
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    copies = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
+    copies = copies.withColumn("_place", F.xxhash64(*columns, "_copy"))
+    dealt = copies.repartition(partitions, "_place").sortWithinPartitions("_place", *columns)
+    return dealt.select(*columns)
+
+
+@contextmanager
+def kept_rows(df: DataFrame) -> Iterator[DataFrame]:
+    """Rows for a fit, which reads them once per tree level or iteration: kept in executor
+    memory, then disk; lost blocks are recomputed."""
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield kept
@@ -79,7 +83,11 @@ def make_model(params: Mapping[str, object], label: str, features: str = FEATURE
         )
     if kind == "rf":
         return RandomForestRegressor(
-            numTrees=params["rf_numTrees"], maxDepth=params["rf_maxDepth"], seed=MODEL_SEED, **common
+            numTrees=params["rf_numTrees"],
+            maxDepth=params["rf_maxDepth"],
+            bootstrap=params.get("rf_bootstrap", True),
+            seed=MODEL_SEED,
+            **common,
         )
     if kind == "gbt":
         # Boosting chains many jobs on one cached frame; the session's checkpoint folder,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from contextlib import ExitStack
 from dataclasses import dataclass, field
 
@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from ..session import in_parallel
 from .regression import (
     FEATURES,
+    PARTITIONS,
+    dealt_rows,
     feature_stages,
     hash_split,
     kept_rows,
@@ -71,6 +73,8 @@ def search(
     trials: int = 20,
     seed: int = 42,
     parallelism: int = 4,
+    partitions: int = PARTITIONS,
+    log: Callable[[int, Mapping[str, object], float | None], None] | None = None,
 ) -> SearchResult:
     """Fit ``trials`` parameter sets on 70 % of ``train``, keep the lowest RMSE on the
     other 30 %, and refit that set on all of it.
@@ -79,24 +83,33 @@ def search(
     it: the assembler and scaler run once, and the trials read label and feature vector
     only, from executor storage that spills to disk. ``parallelism`` trials submit their
     jobs at the same time, so the tail of one fit does not leave the cluster idle.
+    ``log`` is called with each trial as it ends, from the thread that ran it. A trial whose
+    error is not a finite number cannot win.
     """
     fit_part, check_part = hash_split(train, keys, 7, "validation")
     drawn = [space.draw(trial, seed) for trial in range(trials)]
     scaling = Pipeline(stages=feature_stages(features)).fit(fit_part)
     with ExitStack() as kept:
         fit_rows, check_rows = [
-            kept.enter_context(kept_rows(scaling.transform(part).select(label, FEATURES)))
-            for part in (fit_part, check_part)
+            kept.enter_context(kept_rows(scaling.transform(rows).select(label, FEATURES)))
+            for rows in (dealt_rows(fit_part.select(label, *features), partitions), check_part)
         ]
 
-        def attempt(params: Mapping[str, object]) -> float | None:
+        def attempt(numbered: tuple[int, Mapping[str, object]]) -> float | None:
+            trial, params = numbered
             model = make_model(params, label).fit(fit_rows)
-            return regression_metrics(model.transform(check_rows), label).first()["rmse"]
+            rmse = regression_metrics(model.transform(check_rows), label).first()["rmse"]
+            if log is not None:
+                log(trial, params, rmse)
+            return rmse
 
-        scores = in_parallel(train.sparkSession, attempt, drawn, parallelism)
+        scores = in_parallel(train.sparkSession, attempt, enumerate(drawn), parallelism)
     if None in scores:
         raise ValueError("the validation part is empty; too few distinct keys to split")
-    best_params, best_rmse = min(zip(drawn, scores), key=lambda pair: pair[1])
-    with kept_rows(train.select(label, *features)) as rows:
+    finite = [(params, rmse) for params, rmse in zip(drawn, scores) if math.isfinite(rmse)]
+    if not finite:
+        raise ValueError("no trial gave a finite error")
+    best_params, best_rmse = min(finite, key=lambda pair: pair[1])
+    with kept_rows(dealt_rows(train.select(label, *features), partitions)) as rows:
         model = model_chain(best_params, features, label).fit(rows)
     return SearchResult(best_params, best_rmse, model, list(zip(drawn, scores)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.ml import PipelineModel
@@ -18,7 +19,8 @@ from pyspark.sql.types import (
     StructType,
 )
 
-from ..sources.readers import TEXT_OPTIONS, read_table
+from ..session import hadoop_path
+from ..sources.readers import OWN_CSV_WRITE, TEXT_OPTIONS, read_table
 
 RUNS_SCHEMA = StructType(
     [
@@ -31,20 +33,42 @@ RUNS_SCHEMA = StructType(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(header=True, **TEXT_OPTIONS).csv(path)
+    """CSV part files that ``read_own_csv`` gives back to the letter: white space, empty text,
+    nulls, quotes and line breaks."""
+    df.write.mode("overwrite").options(**OWN_CSV_WRITE).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**TEXT_OPTIONS).json(path)
 
 
+FILE_FORMATS = ("parquet", "orc", "json")
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
     """Replace a table, schema included.
 
-    A plan must not read the path it overwrites; the stages each read the zone before
-    theirs. For "delta", where the package is installed, pass ``overwriteSchema=True``.
+    Files are written to a folder beside the table, which takes its place by renaming when it
+    is complete: a write that fails leaves the former rows. Other formats, such as "delta"
+    (pass ``overwriteSchema=True``) or a database, replace in their own way.
     """
-    df.write.format(fmt).mode("overwrite").options(**options).save(path)
+    if fmt not in FILE_FORMATS:
+        df.write.format(fmt).mode("overwrite").options(**options).save(path)
+        return
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    table, new, old = (hadoop_path(spark, p) for p in (path, f"{path}.new-{mark}", f"{path}.old-{mark}"))
+    store = table.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        df.write.format(fmt).options(**options).save(f"{path}.new-{mark}")
+    except Exception:
+        store.delete(new, True)
+        raise
+    if store.exists(table) and not store.rename(table, old):
+        raise OSError(f"{path} cannot be moved away")
+    if not store.rename(new, table):
+        store.rename(old, table)
+        raise OSError(f"{path} cannot be replaced")
+    store.delete(old, True)
 
 
 def write_formatted(
@@ -79,9 +103,15 @@ def append_runs(
     path: str,
     rows: Iterable[tuple[str, int, Mapping[str, object], Mapping[str, float]]],
 ) -> None:
-    """Append (run_id, trial, params, metrics) rows to the run log table."""
+    """Append (run_id, trial, params, metrics) rows to the run log table. Each call writes a
+    folder of its own, so trials that end at the same time can be logged at the same time."""
     entries = [
         (run_id, trial, {k: str(v) for k, v in params.items()}, dict(metrics))
         for run_id, trial, params, metrics in rows
     ]
-    spark.createDataFrame(entries, RUNS_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    folder = f"{path}/entry-{uuid.uuid4().hex}"
+    spark.createDataFrame(entries, RUNS_SCHEMA).coalesce(1).write.parquet(folder)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(RUNS_SCHEMA).option("recursiveFileLookup", True).parquet(path)

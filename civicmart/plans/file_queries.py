@@ -11,20 +11,20 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StructField, StructType
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from ..functions.cleaning import ColumnRule, apply_rules
-from ..operators.features import left_chain, present, salts_for
+from ..operators.features import heavy_keys, left_chain, present
 from ..operators.ingest import batch_path, collect, read_landing, write_batch
 from ..operators.sinks import write_csv, write_formatted, write_json, write_table
 from ..session import in_parallel, materialise, scratch_path
 from ..sources.catalog import DENSITY, IMMIGRANTS, INCOME, UNEMPLOYMENT
 from ..sources.readers import (
     explode_records,
-    read_csv,
     read_json_documents,
     read_json_lines,
     read_named_file,
+    read_own_csv,
     read_table,
     skip_marked,
 )
@@ -41,7 +41,8 @@ from .zones import Zones, collect_stage, format_stage, transform_stage
 RECORD_FIELDS = text_fields("event_id", "kind", "amount")
 ENVELOPE = StructType(
     [
-        StructField("error", text_fields("message")),
+        # As text: an error may be a structure or a sentence.
+        StructField("error", StringType()),
         StructField("result", StructType([StructField("records", ArrayType(RECORD_FIELDS))])),
     ]
 )
@@ -84,23 +85,27 @@ def exploded_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(explode_records(lines, "result.records"), RECORD_RULES, "record")
 
 
-# Ids per one-document file.
-DOCUMENT_IDS = 10_000
+# Events of a scan task per document.
+DOCUMENT_ROWS = 10_000
 
 
 @query("""
 select cast(event_id as int) as event_id, event_type as kind, value as amount
-from events where event_type <> 'error'
+from events where event_type <> 'error' and event_type <> 'signup'
 """)
 def skip_error_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One multi-line document per file, some of them error envelopes.
 
-    A document holds the events of one type and one range of ids that one scan task read.
-    Its size is bounded by both at any scale, copies of an event included, and the number
-    of files grows instead.
+    A scan task's events of a type are cut into documents of equal length by their place in the
+    task's own order, so documents are bounded, copies of an event included, and their number
+    follows the rows and the tasks, whatever the ids. Error envelopes carry a structure, a text
+    (signup events) or, where there is no error, a null.
     """
-    events = load(spark, sf_dir, "events").withColumn("task", F.spark_partition_id())
-    chunk = F.floor(F.col("event_id") / DOCUMENT_IDS)
+    events = load(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    events = events.withColumn("row", F.monotonically_increasing_id())
+    # The row's task is in the upper bits, and the place within the task in the lower 33.
+    chunk = F.floor(F.col("row") / DOCUMENT_ROWS)
+    task = F.shiftright("row", 33)
     records = F.collect_list(
         F.struct(
             F.col("event_id").cast("string").alias("event_id"),
@@ -108,38 +113,45 @@ def skip_error_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("value").cast("string").alias("amount"),
         )
     )
-    keys = ["task", "chunk", "event_type"]
-    grouped = events.withColumn("chunk", chunk).groupBy(*keys).agg(records.alias("records"))
-    failed = F.col("event_type") == "error"
-    document = F.to_json(
-        F.struct(
-            F.when(failed, F.struct(F.lit("not found").alias("message"))).alias("error"),
-            F.when(~failed, F.struct("records")).alias("result"),
-        ),
-        {"pretty": "true"},
+    grouped = events.groupBy(task.alias("task"), chunk.alias("chunk"), "event_type")
+    grouped = grouped.agg(records.alias("records"))
+    kind = F.col("event_type")
+    result = F.to_json(F.struct("records"), {"pretty": "true"})
+    document = (
+        F.when(kind == "error", F.lit('{"success": false,\n "error": {"message": "not found"}}'))
+        .when(kind == "signup", F.lit('{"success": false,\n "error": "not found"}'))
+        .otherwise(F.concat(F.lit('{"error": null,\n "result": '), result, F.lit("}")))
     )
     path = scratch_path(spark, "documents")
-    documents = grouped.select(*keys, document.alias("document"))
-    documents.write.partitionBy(*keys).text(path)
-    documents = read_json_documents(spark, path, ENVELOPE, recursiveFileLookup=True)
-    rows = explode_records(skip_marked(documents, "error"), "result.records")
+    # One document per file: a writer of one record a file, not a folder for each.
+    documents = grouped.select(document.alias("document"))
+    documents.write.option("maxRecordsPerFile", 1).text(path)
+    rows = explode_records(skip_marked(read_json_documents(spark, path, ENVELOPE), "error"), "result.records")
     return apply_rules(rows, RECORD_RULES, "record")
 
 
 @query("""
-select event_id, event_type, value from events
-where event_type not in (
-  select event_type from events where event_type = 'signup' and value > 50)
+with named as (
+  select event_id, event_type, value,
+         case when event_type <> 'error' then event_type end as file_name,
+         coalesce(event_type = 'signup' and value > 50 or event_type = 'error' and value > 90, false)
+           as marked
+  from events)
+select event_id, event_type, value from named
+where not exists (
+  select 1 from named m where m.marked and m.file_name is not distinct from named.file_name)
 """)
 def skip_marked_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One marked row takes its whole file out; files are folders of the landing zone."""
-    marked = (F.col("event_type") == "signup") & (F.col("value") > 50)
+    """One marked row takes its whole file out; files are folders of the landing zone,
+    and rows without a file name are a file of their own."""
+    kind = F.col("event_type")
+    marked = (kind == "signup") & (F.col("value") > 50) | (kind == "error") & (F.col("value") > 90)
     events = load(spark, sf_dir, "events").select(
         "event_id",
         "event_type",
         "value",
         F.when(marked, "nested").alias("info"),
-        F.concat("event_type", F.lit(".json")).alias("file_name"),
+        F.when(kind != "error", F.concat(kind, F.lit(".json"))).alias("file_name"),
     )
     path = scratch_path(spark, "marked")
     write_batch(events, "json", path)
@@ -210,15 +222,23 @@ def ingest_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(COLLECTED_SQL)
 def ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S8 with the file stream source: its checkpoint, not the ledger, finds new files."""
+    """S8 with the file stream source, mixed with listings: a listing after the first drop,
+    streams that have lost their checkpoints after the second and third, and a listing again.
+    The ledger keeps every file to one landing."""
+    rounds = iter(("listing", "first", "second"))
 
     def collect_new(source: str, landing: str) -> None:
-        running = []
-        for spec in EVENT_SPECS:
-            folder, memory = f"{source}/{spec.category}", f"{landing}/_checkpoints/{spec.category}"
-            running.append(collect_stream(spark, spec, folder, landing, memory))
-        for stream in running:
-            stream.awaitTermination()
+        how = next(rounds)
+        if how != "listing":
+            running = []
+            for spec in EVENT_SPECS:
+                memory = f"{landing}/_checkpoints/{how}/{spec.category}"
+                folder = f"{source}/{spec.category}"
+                running.append(collect_stream(spark, spec, folder, landing, memory))
+            for stream in running:
+                stream.awaitTermination()
+        if how != "first":
+            collect(spark, EVENT_SPECS, source, landing)
 
     return collected_events(spark, sf_dir, collect_new)
 
@@ -241,7 +261,7 @@ def named_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_batch(rows, "csv", batch_path(root, "customers", "csv", batch_id))
     base = f"{root}/customers/csv"
     schema = f"{_ddl(customers)}, batch_id string, file_name string"
-    scan = read_csv(spark, base, schema)
+    scan = read_own_csv(spark, base, schema)
     return read_named_file(scan, "building.csv").select(*customers.columns)
 
 
@@ -252,13 +272,27 @@ def _ddl(df: DataFrame) -> str:
 # -- round trips ------------------------------------------------------------------------
 
 
-@query("select p_partkey, p_name, p_brand, p_type, p_size, p_retailprice from part")
+@query("""
+select 'document' as kind, doc_id as id, text, source as name, cast(n_chars as double) as number
+from documents
+union all select 'turn', conv_id, text, role, cast(turn as double) from conversations
+union all select 'part', p_partkey, p_name, p_type, p_retailprice from part
+""")
 def csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1, K1."""
-    parts = load(spark, sf_dir, "part")
+    """Texts of any kind, line breaks and quotes included, come back to the letter."""
+    documents = load(spark, sf_dir, "documents").selectExpr(
+        "'document' as kind", "doc_id as id", "text", "source as name", "cast(n_chars as double) as number"
+    )
+    turns = load(spark, sf_dir, "conversations").selectExpr(
+        "'turn'", "conv_id", "text", "role", "cast(turn as double)"
+    )
+    parts = load(spark, sf_dir, "part").selectExpr(
+        "'part'", "p_partkey", "p_name", "p_type", "p_retailprice"
+    )
+    rows = documents.union(turns).union(parts)
     path = scratch_path(spark, "csv")
-    write_csv(parts, path)
-    return read_csv(spark, path, parts.schema)
+    write_csv(rows, path)
+    return read_own_csv(spark, path, rows.schema)
 
 
 @query("select event_id, ts, user_id, event_type, value, props from events")
@@ -357,8 +391,8 @@ def write_raw_files(spark: SparkSession, sf_dir: str, source: str) -> None:
     )
 
     # A nation may hold a third of the customers: its rows are dealt over several tasks.
-    salts = salts_for(facts, ["area"])
-    by_customer = present(left_chain(facts, [places], ["area"], salts), "Codi_Barri")
+    heavy = materialise(heavy_keys(facts, ["area"]), "heavy")
+    by_customer = present(left_chain(facts, [places], ["area"], heavy), "Codi_Barri")
     immigrants = by_customer.select(
         year, *place, text(F.col("returned"), "..").alias("Valor")
     )

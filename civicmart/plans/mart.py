@@ -42,7 +42,7 @@ def build_mart(
     immigrants: DataFrame,
     unemployment: DataFrame,
     columns: MartColumns = MartColumns(),
-    salts: int = 1,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Income rows with a target, widened by density and two totals, complete rows only.
 
@@ -59,7 +59,7 @@ def build_mart(
             unemployment, keys, c.unemployed_value, c.total_unemployed, c.demand, c.accepted_demands
         ),
     ]
-    joined = left_chain(present(income, c.target), sides, keys, salts)
+    joined = left_chain(present(income, c.target), sides, keys, heavy)
     complete = present(joined, c.required_density, c.total_immigrants, c.total_unemployed)
     chosen = [*keys, *c.carried, c.population, c.target, *c.densities]
     return with_ratios(

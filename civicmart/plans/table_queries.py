@@ -32,6 +32,7 @@ from ..operators.regression import (
     model_chain,
     regression_metrics,
 )
+from ..session import materialise
 from ..sources.readers import union_by_name
 from .mart import MartColumns, build_mart
 from .registry import load, query
@@ -103,27 +104,33 @@ from base join ln using (custkey, "year") join fin using (custkey, "year")
 where quantity is not null
 """)
 def left_chain_then_notnull(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """J1-J3, F2 at customer and year: every side comes grouped by the join keys, so the
-    three joins add no shuffle of their own."""
+    """J1-J3, F2 at customer and year: one aggregate feeds the base and the three sides."""
     keys = ["custkey", "year"]
     orders = load(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("custkey"), order_year().alias("year"), "o_orderstatus"
     )
+    with_lines = orders.join(order_lines(spark, sf_dir), "o_orderkey", "left")
+    # One pass over orders and lines gives every role; the sides read the written table.
+    status = F.col("o_orderstatus")
+    cells = materialise(
+        with_lines.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n_orders"),
+            F.count(F.when(status == "F", 1)).alias("n_finished"),
+            F.count(F.when(status == "O", 1)).alias("n_open"),
+            F.sum("quantity").alias("quantity"),
+        ),
+        "customer-years",
+    )
 
-    def counted(rows: DataFrame, alias: str) -> DataFrame:
-        return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(alias))
+    def side(column: str, present: str) -> DataFrame:
+        return cells.filter(present).select(*keys, column)
 
-    lines = (
-        orders.join(order_lines(spark, sf_dir), "o_orderkey")
-        .groupBy(*keys)
-        .agg(F.sum("quantity").alias("quantity"))
-    )
     sides = [
-        lines,
-        counted(orders.filter("o_orderstatus = 'F'"), "n_finished"),
-        counted(orders.filter("o_orderstatus = 'O'"), "n_open"),
+        side("quantity", "quantity is not null"),
+        side("n_finished", "n_finished > 0"),
+        side("n_open", "n_open > 0"),
     ]
-    joined = ops.left_chain(counted(orders, "n_orders"), sides, keys)
+    joined = ops.left_chain(cells.select(*keys, "n_orders"), sides, keys)
     return ops.present(joined, "quantity", "n_finished", "n_open")
 
 
@@ -241,15 +248,15 @@ def malformed_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 select count(*) as "rows",
-       count(*) filter (where try_cast(o_orderpriority as int) is null) as rejected_priority,
+       count(*) filter (where o_orderpriority is not null and try_cast(o_orderpriority as int) is null)
+         as rejected_priority,
        count(*) filter (where o_orderstatus = 'O') as rejected_price
 from orders
-where o_orderpriority is not null and o_totalprice is not null
 """)
 def rejected_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many values the casts turned into null, per column."""
     price = F.when(F.col("o_orderstatus") == "O", "..").otherwise(F.col("o_totalprice").cast("string"))
-    raw = ops.present(load(spark, sf_dir, "orders"), "o_orderpriority", "o_totalprice")
+    raw = load(spark, sf_dir, "orders")
     rules = [
         ColumnRule(("o_orderpriority",), "priority", "int"),
         ColumnRule(("price",), "price", "double"),
@@ -489,7 +496,7 @@ def holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = ["l_extendedprice", "l_discount"]
     params = {"model_type": "lr", "lr_regParam": 0.0, "lr_elasticNetParam": 0.0}
     train, test = split_by_hash(labelled_lines(spark, sf_dir), LINE_KEYS, 8, "holdout")
-    with kept_rows(train.select(LABEL, *inputs)) as rows:
+    with kept_rows(train.select(LABEL, *inputs)) as rows:  # a linear fit asks for no layout
         model = model_chain(params, inputs, LABEL).fit(rows)
     return rounded_measures(model.transform(test), 4)
 

@@ -14,9 +14,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import apply_rules, apply_rules_beside_raw, rejected_counts
-from ..operators.features import drop_incomplete, salts_for
-from ..operators.ingest import collect, read_landing
-from ..operators.regression import hash_split, measures, metric_sums
+from ..operators.features import drop_incomplete, heavy_keys
+from ..operators.ingest import FORMATS, collect, read_landing
+from ..operators.regression import PARTITIONS, hash_split, measures, metric_sums
 from ..operators.search import SearchResult, SearchSpace, search
 from ..operators.sinks import (
     append_runs,
@@ -25,9 +25,9 @@ from ..operators.sinks import (
     write_predictions,
     write_table,
 )
-from ..session import in_parallel
+from ..session import in_parallel, materialise
 from ..sources.catalog import CATALOG
-from ..sources.readers import explode_records, read_named_file, read_table, skip_marked
+from ..sources.readers import explode_records, read_named_file, read_table, skip_marked, union_by_name
 from ..sources.spec import SourceSpec
 from .mart import MartColumns, build_mart
 
@@ -63,7 +63,10 @@ def formatted_frame(
     spark: SparkSession, spec: SourceSpec, landing: str, quality: Observation | None = None
 ) -> DataFrame:
     """The formatted table of one category, from all its committed batches."""
-    rows = read_landing(spark, landing, spec.category, spec.file_format, spec.raw_schema)
+    # Whatever format a file of the category came in.
+    rows = union_by_name(
+        read_landing(spark, landing, spec.category, fmt, spec.raw_schema) for fmt in FORMATS
+    )
     if spec.only_file is not None:
         rows = read_named_file(rows, spec.only_file)
     if spec.marker is not None:
@@ -106,8 +109,8 @@ def transform_stage(
         read_table(spark, zones.table(name))
         for name in ("income", "density", "immigrants", "unemployment")
     ]
-    salts = salts_for(income, columns.keys)
-    mart = build_mart(income, density, immigrants, unemployment, columns, salts)
+    heavy = materialise(heavy_keys(income, columns.keys), "heavy")
+    mart = build_mart(income, density, immigrants, unemployment, columns, heavy)
     counted = Observation("mart")
     write_table(mart.observe(counted, F.count(F.lit(1)).alias("rows")), zones.mart)
     return counted.get["rows"]
@@ -136,17 +139,26 @@ def train_stage(
     trials: int = 20,
     seed: int = 42,
     parallelism: int = 4,
+    partitions: int = PARTITIONS,
 ) -> TrainingReport:
     """Search on 80 % of the rows, test on the rest; write predictions, model and run log.
 
     Under ``output``: ``predictions`` (CSV), ``model`` (a fitted pipeline) and ``runs``
-    (one row per trial, and trial -1 for the final test). The test's sums are observed
-    while the predictions are written, so the hold-out is scored once.
+    (one row per trial, written when the trial ends, and trial -1 for the final test). The
+    test's sums are observed while the predictions are written, so the hold-out is scored once.
     """
     spark = data.sparkSession
     clean = drop_incomplete(data, [label, *features])
     train, test = hash_split(clean, keys, 8, "holdout")
-    result = search(train, features, label, keys, space, trials, seed, parallelism)
+    run_id = uuid.uuid4().hex
+
+    def log(trial: int, params: Mapping[str, object], rmse: float | None) -> None:
+        measured = {} if rmse is None else {"rmse": rmse}
+        append_runs(spark, f"{output}/runs", [(run_id, trial, params, measured)])
+
+    result = search(
+        train, features, label, keys, space, trials, seed, parallelism, partitions, log
+    )
     sums = Observation("scored")
     scored = result.model.transform(test).observe(sums, *metric_sums(label))
     write_predictions(scored, f"{output}/predictions")
@@ -155,12 +167,7 @@ def train_stage(
         f"test_{name}": final[name] for name in ("rmse", "r2", "nrmse") if final[name] is not None
     }
     write_model(result.model, f"{output}/model")
-    run_id = uuid.uuid4().hex
-    log = [
-        (run_id, trial, params, {"rmse": rmse})
-        for trial, (params, rmse) in enumerate(result.trials)
-    ]
-    append_runs(spark, f"{output}/runs", [*log, (run_id, -1, result.best_params, metrics)])
+    append_runs(spark, f"{output}/runs", [(run_id, -1, result.best_params, metrics)])
     return TrainingReport(run_id, result, metrics)
 
 

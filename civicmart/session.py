@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
@@ -51,27 +53,47 @@ def in_parallel(
     return [call.result() for call in calls]
 
 
+_local_roots: dict[str, str] = {}
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only when that is unset in a local
-    session is a temporary folder made, and remembered for the session.
+    The cluster names it in ``spark.checkpoint.dir``, or the caller has set a checkpoint
+    folder. Only when neither is there, in a local session, is a temporary folder made; it is
+    used by this process alone and goes with it. Nothing is set on the session.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = spark.conf.get("civicmart.scratch.dir", None)
-        if not root:
-            if not spark.sparkContext.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            root = tempfile.mkdtemp(prefix="civicmart-")
-            spark.conf.set("civicmart.scratch.dir", root)
-            spark.sparkContext.setCheckpointDir(root)
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        if context.applicationId not in _local_roots:
+            made = tempfile.mkdtemp(prefix="civicmart-")
+            atexit.register(shutil.rmtree, made, ignore_errors=True)
+            _local_roots[context.applicationId] = made
+        root = _local_roots[context.applicationId]
     return root.rstrip("/")
 
 
+def application_scratch(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/civicmart/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared scratch folder; never reused between calls."""
-    return f"{scratch_root(spark)}/civicmart/{name}-{uuid.uuid4().hex}"
+    return f"{application_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application; for the end of a job, when no
+    result built on them is to be read any more."""
+    folder = hadoop_path(spark, application_scratch(spark))
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:

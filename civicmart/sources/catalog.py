@@ -117,7 +117,8 @@ UNEMPLOYMENT = SourceSpec(
         [
             StructField("help", StringType()),
             StructField("success", StringType()),
-            StructField("error", text_fields("message", "__type")),
+            # As text, whether it is a structure or a sentence.
+            StructField("error", StringType()),
             StructField(
                 "result",
                 StructType(

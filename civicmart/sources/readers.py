@@ -3,18 +3,23 @@ of per-file unions: the plan stays one scan node for any number of files."""
 
 from __future__ import annotations
 
+import csv
+import logging
+import re
 from collections import defaultdict
 from collections.abc import Iterable, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.cleaning import quoted
-from ..session import in_parallel
 from .spec import text_fields
 
+log = logging.getLogger(__name__)
+
 # Doubles keep their shortest exact text; timestamps need the microseconds spelled out.
 TEXT_OPTIONS = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
@@ -22,6 +27,23 @@ TEXT_OPTIONS = {
 }
 
 
+# CSV of our own making. A null has a mark of its own, as an empty text is no null; the mark is
+# a private-use character that no text of ours stands for.
+NULL_MARK = "\ue000"
+OWN_CSV = {
+    **TEXT_OPTIONS,
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "nullValue": NULL_MARK,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+OWN_CSV_WRITE = {**OWN_CSV, "emptyValue": '""'}
+# Line breaks inside quotes: a file is read by one task, and was written by one.
+OWN_CSV_READ = {**OWN_CSV, "emptyValue": "", "multiLine": True, "lineSep": "\n"}
+
+
 def as_list(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
@@ -42,50 +64,82 @@ def read_csv(
     )
 
 
+def read_own_csv(
+    spark: SparkSession, paths: str | Sequence[str], schema: StructType | str, **options
+) -> DataFrame:
+    """What ``write_csv`` wrote."""
+    return read_csv(spark, paths, schema, **OWN_CSV_READ, **options)
+
+
 def read_csv_by_name(
     spark: SparkSession,
     paths: Sequence[str],
     schema: StructType | None = None,
     file_names: bool = False,
+    keep_all: bool = False,
+    **options,
 ) -> DataFrame:
     """CSV files whose headers may differ in order or columns, united by name, all text.
 
     One scan per distinct header, so a single one where nothing drifted. With a schema
-    the result has its columns: those a file lacks are null, others are left out.
-    ``file_names`` adds the file name, which is out of reach behind a union.
+    the result has its columns: those a file lacks are null, and the log says so; others are
+    left out unless ``keep_all``. ``file_names`` adds the file name, which is out of reach
+    behind a union. A header that names a column twice is refused.
     """
     groups = csv_paths_by_header(spark, paths) or {tuple(schema.names if schema else ()): paths}
     frames = []
     for header, members in groups.items():
-        frame = read_csv(spark, members, text_fields(*header))
+        twice = sorted({name for name in header if header.count(name) > 1})
+        if twice:
+            raise ValueError(f"columns {twice} are named twice in {members[:3]}")
+        frame = read_csv(spark, members, text_fields(*header), **options)
         if file_names:
             frame = with_file_name(frame)
         if schema is not None:
             kept = schema.names + ["file_name"] * file_names
+            if keep_all:
+                kept += [name for name in frame.columns if name not in kept]
             absent = {name: F.lit(None).cast("string") for name in kept if name not in frame.columns}
+            if absent:
+                log.warning("%d files such as %s lack columns %s", len(members), members[0], list(absent))
             frame = frame.withColumns(absent).select(*map(quoted, kept))
         frames.append(frame)
     return union_by_name(frames)
 
 
 def csv_paths_by_header(
-    spark: SparkSession, paths: Sequence[str]
+    spark: SparkSession, paths: Sequence[str], **options
 ) -> dict[tuple[str, ...], list[str]]:
     """Paths grouped by header line; files without any line are left out.
 
-    Reads one line per file, several files at a time: small next to reading the files.
+    One job for all files: their first lines are read as text, and only the distinct headers
+    with the names of their files come back. A scan task reads the first block of a file.
     """
-
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.option("header", True).csv(path).columns)
-
+    if not paths:
+        return {}
+    # The first line of a file is the one at offset 0 of its first block.
+    lines = spark.read.options(**options).text(list(paths)).select(
+        "value",
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+    )
+    first = lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    by_line = first.groupBy("line").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path, columns in zip(paths, in_parallel(spark, header, paths, threads=16)):
-        if columns:
-            groups[columns].append(path)
+    for row in by_line.collect():
+        if row.line is None or not row.line.strip("\r\ufeff"):
+            continue
+        names = next(csv.reader([row.line.rstrip("\r").removeprefix("\ufeff")]))
+        groups[tuple(names)] += [escape_glob(unquote(path)) for path in row.paths]
     return groups
 
 
+def escape_glob(path: str) -> str:
+    """Reader paths are globs; file names are not."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def _read_json(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -139,25 +193,19 @@ def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-# Up to this many marked files are named in a filter; beyond, an anti-join finds them.
-NAMED_FILES = 10_000
-
-
 def skip_marked(df: DataFrame, marker: str, file_column: str | None = None) -> DataFrame:
     """Leave out what carries ``marker`` (an "error" or "info" field).
 
     With one document per file the marked row is the file, and a filter is enough. With
-    ``file_column`` all rows of a marked file go. Its names are looked up first, reading
-    the marker only: named in a filter on the partition column they prune the files,
-    where a join would shuffle all rows by a column one file may dominate.
+    ``file_column`` all rows of a marked file go, found by an anti-join with the distinct
+    names, which are read from the marker and the name alone. Rows without a name count as
+    one file. Spark broadcasts the names where they are measured to be few.
     """
     if file_column is None:
         return df.filter(quoted(marker).isNull())
-    marked = df.filter(quoted(marker).isNotNull()).select(file_column).distinct()
-    names = [row[0] for row in marked.limit(NAMED_FILES + 1).collect()]
-    if len(names) > NAMED_FILES:
-        return df.join(marked, file_column, "left_anti")
-    return df.filter(~F.col(file_column).isin(names)) if names else df
+    marked = df.filter(quoted(marker).isNotNull()).select(F.col(file_column).alias("_marked"))
+    marked = marked.distinct()
+    return df.join(marked, df[file_column].eqNullSafe(marked["_marked"]), "left_anti")
 
 
 def explode_records(df: DataFrame, path: str, alias: str = "record") -> DataFrame:

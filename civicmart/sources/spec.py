@@ -31,6 +31,7 @@ class SourceSpec:
                      where a file holds more than one document.
     ``only_file``    use just the file of this name, from all batches.
     ``multi_line``   raw JSON is one document (or array) per file, not one per line.
+    ``quoted_lines`` raw CSV has line breaks inside quotes; such a file is read by one task.
     """
 
     category: str
@@ -43,3 +44,4 @@ class SourceSpec:
     whole_file: bool = False
     only_file: str | None = None
     multi_line: bool = True
+    quoted_lines: bool = False

@@ -5,6 +5,7 @@ from __future__ import annotations
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ingest import (
@@ -51,17 +52,19 @@ def collect_stream(
         query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         batch_id = f"stream-{query_id}-{epoch:08d}"
         path = batch_path(landing, spec.category, spec.file_format, batch_id)
-        write_batch(batch, spec.file_format, path)
+        # Files that another batch landed stay out; a replay of this one replaces its own.
+        known = read_ledger(session, landing, spec.category).filter(F.col("batch_id") != batch_id)
+        known = known.select(F.col("file_name").alias("_known")).distinct()
+        fresh = batch.join(known, batch["file_name"] == known["_known"], "left_anti")
+        write_batch(fresh, spec.file_format, path)
         names = landed_names(session, path)
         if names:
             entries = session.createDataFrame(
                 [(spec.category, name, spec.file_format, batch_id, COLLECTED) for name in names],
                 LEDGER_SCHEMA,
             )
-            keys = ["category", "file_name", "batch_id"]
-            known = read_ledger(session, landing, spec.category)
-            fresh = new_files(entries, known, keys)
-            append_ledger(fresh, landing, spec.category)
+            ledger = read_ledger(session, landing, spec.category)
+            append_ledger(new_files(entries, ledger, ["category", "file_name"]), landing, spec.category)
 
     return (
         with_file_name(raw)

@@ -15,7 +15,7 @@ from civicmart.operators.features import (
     left_chain,
     present,
     row_count,
-    salts_for,
+    heavy_keys,
     value_range,
     with_ratios,
 )
@@ -68,41 +68,44 @@ EXPECTED_CHAIN = [
 ]
 
 
-@pytest.mark.parametrize("salts", [1, 3])
-def test_left_chain_keeps_base_columns_fans_out_and_keeps_unmatched(spark, salts):
+@pytest.mark.parametrize("parts", [None, 3, 50])
+def test_left_chain_keeps_base_columns_fans_out_and_keeps_unmatched(spark, parts):
     base, *sides = chain_frames(spark)
-    out = left_chain(base, sides, ["y", "n"], salts)
+    heavy = None if parts is None else heavy_keys(base, ["y", "n"], parts)
+    out = left_chain(base, sides, ["y", "n"], heavy)
     assert out.columns == ["y", "n", "name", "p", "d", "t"] and SALT not in out.columns
     assert rows(out) == sorted(EXPECTED_CHAIN, key=repr)
 
 
-def test_salts_deal_a_hot_key_over_tasks(spark):
+def test_hot_keys_and_no_others_are_dealt_over_tasks(spark):
     """Nine tenths of the base under one key, sides too big to broadcast by fiat."""
     base = spark.range(10_000).select(F.when(F.col("id") < 9000, 0).otherwise(F.col("id")).alias("k"), "id")
     side = spark.range(10_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    heavy = heavy_keys(base, ["k"], 16)
+    assert [tuple(r) for r in heavy.collect()] == [(0, 15)]
     settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     previous = {key: spark.conf.get(key) for key in settings}
     try:
         for key, value in settings.items():
             spark.conf.set(key, value)
-        out = left_chain(base, [side], ["k"], salts=16)
+        out = left_chain(base, [side], ["k"], heavy)
         per_task = out.groupBy(F.spark_partition_id()).count().collect()
         assert max(r["count"] for r in per_task) < 6000
         assert out.count() == 10_000
         assert out.filter("v = k * 2").count() == 10_000
+        repeated = features._with_parts(side, heavy, ["k"])
+        assert {(r.k, r[features.PARTS]) for r in repeated.filter("k < 3").collect()} == {(0, 15), (1, 1), (2, 1)}
+        assert repeated.agg(F.sum(features.PARTS)).first()[0] == 10_000 + 14
     finally:
         for key, value in previous.items():
             spark.conf.set(key, value)
 
 
-def test_salts_follow_the_largest_key(spark, monkeypatch):
-    rows_ = spark.range(100).select(F.when(F.col("id") < 60, 0).otherwise(F.col("id")).alias("k"))
-    assert salts_for(rows_, ["k"]) == 1
-    monkeypatch.setattr(features, "ROWS_PER_TASK", 25)
-    assert salts_for(rows_, ["k"]) == 3
-    monkeypatch.setattr(features, "ROWS_PER_TASK", 1)
-    assert salts_for(rows_, ["k"]) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert salts_for(rows_.limit(0), ["k"]) == 1
+def test_heavy_keys_follow_the_shares_alone(spark):
+    rows_ = spark.range(100).select(F.when(F.col("id") < 60, 0).when(F.col("id") < 90, None).otherwise(F.col("id")).alias("k"))
+    assert rows(heavy_keys(rows_, ["k"], 10)) == [(0, 6), (None, 3)]
+    assert rows(heavy_keys(rows_.unionByName(rows_), ["k"], 10)) == [(0, 6), (None, 3)]
+    assert rows(heavy_keys(rows_, ["k"], 1)) == [] == rows(heavy_keys(rows_.limit(0), ["k"]))
 
 
 def test_present_and_incomplete(spark):
@@ -157,8 +160,8 @@ def expected_mart(income, density, immigrants, unemployment):
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("salts", [1, 4])
-def test_mart_against_loops(spark, seed, salts):
+@pytest.mark.parametrize("parts", [None, 4])
+def test_mart_against_loops(spark, seed, parts):
     data = random_inputs(seed)
     schemas = [
         "year int, neighborhood_code int, district_code int, district_name string, population int, RDF_index double",
@@ -168,7 +171,8 @@ def test_mart_against_loops(spark, seed, salts):
         "year int, neighborhood_code int, count int, job_demand string",
     ]
     frames = [spark.createDataFrame(rs, schema) for rs, schema in zip(data, schemas)]
-    out = build_mart(*frames, salts=salts)
+    heavy = None if parts is None else heavy_keys(frames[0], ["year", "neighborhood_code"], parts)
+    out = build_mart(*frames, heavy=heavy)
     assert out.columns == [
         "year", "neighborhood_code", "district_code", "district_name", "population", "RDF_index",
         "density", "net_density", "total_immigrants", "total_unemployed", "ratio_immigrants",
@@ -176,5 +180,6 @@ def test_mart_against_loops(spark, seed, salts):
     ]
     expected = expected_mart(*data)
     assert expected and rows(out) == expected
-    plan = out._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftOuter" not in plan and plan.count("Join Inner") == 3
+    if parts is None:
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "LeftOuter" not in plan and plan.count("Join Inner") == 3

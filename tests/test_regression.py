@@ -12,6 +12,7 @@ from civicmart.operators import regression
 from civicmart.operators.regression import (
     feature_stages,
     hash_split,
+    dealt_rows,
     kept_rows,
     make_model,
     model_chain,
@@ -20,7 +21,8 @@ from civicmart.operators.regression import (
 from civicmart.operators.search import SearchSpace, search
 from civicmart.operators.sinks import write_predictions
 from civicmart.plans.zones import train_stage
-from civicmart.sources.readers import read_csv
+from civicmart.operators.sinks import read_runs
+from civicmart.sources.readers import read_own_csv
 
 FEATURES = ["a", "b"]
 QUICK = SearchSpace(rf_numTrees=(3, 5), rf_maxDepth=(2, 4), gbt_maxIter=(2, 3), gbt_maxDepth=(2, 3))
@@ -122,15 +124,41 @@ def test_tree_models_learn(data, params):
     assert regression_metrics(model.transform(test), "y").first().r2 > 0.8
 
 
-@pytest.mark.parametrize("rows_per_part, parts", [(20_000, 1), (60, 2), (1, 4)])
-def test_kept_rows_are_all_rows_and_released(spark, monkeypatch, rows_per_part, parts):
-    monkeypatch.setattr(regression, "ROWS_PER_PART", rows_per_part)
-    with kept_rows(spark.range(100).coalesce(1)) as kept:
+def test_kept_rows_are_all_rows_and_released(spark):
+    with kept_rows(dealt_rows(spark.range(100).coalesce(1), 3)) as kept:
         assert kept.count() == 100 and kept.is_cached
-        assert kept.rdd.getNumPartitions() == parts
     assert not kept.is_cached
 
 
+@pytest.mark.parametrize(
+    "params",
+    [
+        {"model_type": "rf", "rf_numTrees": 5, "rf_maxDepth": 5},
+        {"model_type": "gbt", "gbt_maxIter": 3, "gbt_maxDepth": 3},
+    ],
+)
+def test_models_depend_on_rows_alone(data, params):
+    """The same rows in 1, 4 and 13 parts, some of them many times."""
+    rows_ = data.select("y", *FEATURES)
+    rows_ = rows_.unionByName(rows_.limit(1)).unionByName(rows_.limit(1))
+    found = []
+    for parts in (1, 4, 13):
+        with kept_rows(dealt_rows(rows_.repartition(parts))) as kept:
+            model = model_chain(params, FEATURES, "y").fit(kept)
+        scored = model.transform(rows_.coalesce(1)).select("y", *FEATURES, "prediction")
+        found.append([r.prediction for r in scored.orderBy("y", *FEATURES).collect()])
+    assert found[0] == pytest.approx(found[1], abs=1e-9)
+    assert found[0] == pytest.approx(found[2], abs=1e-9)
+
+
+def test_a_repeated_row_is_dealt_over_all_parts(spark):
+    from pyspark.sql import functions as F
+
+    same = spark.range(1000).select(F.lit(1.0).alias("x"))
+    sizes = dealt_rows(same, 4).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 4 and max(r["count"] for r in sizes) < 400
+
+
 def test_unknown_model_is_refused():
     with pytest.raises(ValueError):
         make_model({"model_type": "svm"}, "y")
@@ -174,7 +202,7 @@ def test_training_writes_predictions_model_and_run_log(spark, data, tmp_path):
     model = PipelineModel.load(str(tmp_path / "model"))
     again = regression_metrics(model.transform(test), "y").first()
     assert report.metrics["test_rmse"] == pytest.approx(again.rmse)
-    runs = spark.read.parquet(str(tmp_path / "runs")).orderBy("trial").collect()
+    runs = read_runs(spark, str(tmp_path / "runs")).orderBy("trial").collect()
     assert [r.trial for r in runs] == [-1, 0, 1, 2]
     assert set(runs[0].metrics) == {"test_rmse", "test_r2", "test_nrmse"}
     assert all(r.params["model_type"] == "lr" and r.run_id == report.run_id for r in runs)
@@ -183,7 +211,7 @@ def test_training_writes_predictions_model_and_run_log(spark, data, tmp_path):
 def test_predictions_round_trip_as_csv(spark, data, tmp_path):
     scored = Pipeline(stages=feature_stages(FEATURES)).fit(data).transform(data)
     write_predictions(scored, str(tmp_path / "out"))
-    back = read_csv(spark, str(tmp_path / "out"), "year bigint, code bigint, a double, b double, y double, unscaled_features string, features string")
+    back = read_own_csv(spark, str(tmp_path / "out"), "year bigint, code bigint, a double, b double, y double, unscaled_features string, features string")
     parsed = back.withColumn("f", F.from_json("features", "array<double>"))
     expected = scored.select("code", vector_to_array("features").alias("f"))
     assert rows(parsed.select("code", "f")) == rows(expected)

@@ -10,8 +10,11 @@ from civicmart.sources import readers
 from civicmart.sources.catalog import DENSITY, INCOME, UNEMPLOYMENT
 from civicmart.sources.readers import (
     explode_records,
+    csv_paths_by_header,
     read_csv,
     read_csv_by_name,
+    read_own_csv,
+    read_csv_by_name,
     read_json_documents,
     read_json_lines,
     skip_marked,
@@ -143,15 +146,46 @@ def marked_files(spark, tmp_path):
 def test_one_marked_row_takes_out_its_file(spark, tmp_path):
     out = skip_marked(marked_files(spark, tmp_path), "info", "file_name")
     assert rows(out.select("Any")) == [("2014",), ("2015",)]
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "AntiJoin" not in plan and "LeftAnti" not in plan
-    assert re.search(r"PartitionFilters: \[[^\]]*NOT", plan)
 
 
-def test_many_marked_files_are_left_out_by_a_join(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(readers, "NAMED_FILES", 0)
-    out = skip_marked(marked_files(spark, tmp_path), "info", "file_name")
-    assert rows(out.select("Any")) == [("2014",), ("2015",)]
+@pytest.mark.parametrize("nameless", [False, True])
+def test_rows_without_a_file_name_are_one_file(spark, nameless):
+    data = [(1, "a", None), (2, "a", "x"), (3, "b", None), (4, None, None), (5, None, "x" if nameless else None)]
+    df = spark.createDataFrame(data, "n int, file_name string, info string")
+    out = skip_marked(df, "info", "file_name")
+    assert rows(out.select("n")) == ([(3,)] if nameless else [(3,), (4,), (5,)])
+
+
+def test_headers_of_many_files_are_one_job(spark, tmp_path):
+    for i in range(200):
+        write(tmp_path / f"f{i}.csv", "a,b\n1,2\n" if i % 2 else '"b","a"\n2,1\n')
+    write(tmp_path / "empty.csv", "")
+    paths = [str(tmp_path / f"f{i}.csv") for i in range(200)] + [str(tmp_path / "empty.csv")]
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        groups = csv_paths_by_header(spark, paths)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert {k: len(v) for k, v in groups.items()} == {("a", "b"): 100, ("b", "a"): 100}
+    assert len(jobs) < 8
+
+
+def test_a_column_named_twice_is_refused(spark, tmp_path):
+    write(tmp_path / "x.csv", "a,a,b\n1,2,3\n")
+    with pytest.raises(ValueError, match="twice"):
+        read_csv_by_name(spark, [str(tmp_path / "x.csv")])
+
+
+TEXTS = ["", " ", None, "  padded  ", "a\nb", "a\r\nb", 'say "x"', "back\\slash", '\\"', ",", "null", "\t", "é😀", "#x", "'"]
+
+
+def test_own_csv_keeps_every_text(spark, tmp_path):
+    from civicmart.operators.sinks import write_csv
+
+    df = spark.createDataFrame([(i, a, b) for i, a in enumerate(TEXTS) for b in TEXTS], "n int, a string, b string")
+    write_csv(df, str(tmp_path / "out"))
+    assert rows(read_own_csv(spark, str(tmp_path / "out"), df.schema)) == rows(df)
 
 
 def test_without_a_file_column_only_marked_rows_go(spark, tmp_path):

@@ -7,6 +7,7 @@ import pytest
 from conftest import rows
 
 from civicmart.operators.search import SearchSpace
+from civicmart.operators.sinks import read_runs
 from civicmart.plans.zones import (
     Zones,
     collect_stage,
@@ -199,4 +200,4 @@ def test_all_stages_with_training(spark, zones):
     report = run_stages(spark, zones, space=space, trials=4)
     assert read_table(spark, zones.mart).count() == 120
     assert report.metrics["test_r2"] > 0.5 and math.isfinite(report.metrics["test_nrmse"])
-    assert read_table(spark, f"{zones.exploitation}/model/runs").count() == 5
+    assert read_runs(spark, f"{zones.exploitation}/model/runs").count() == 5
