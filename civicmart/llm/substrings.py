@@ -210,6 +210,15 @@ def _positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _once(texts: DataFrame, rows: DataFrame) -> DataFrame:
+    """``texts`` with one row for each (doc_id, text). Only rows that are repeated are moved."""
+    repeated = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    repeated = materialise(repeated.select("doc_id", "text_hash"), "repeated-rows")
+    again = filter_by_key(texts, repeated, keep=True)
+    again = again.groupBy("doc_id", text_hash(F.col("text")).alias("h")).agg(F.first("text").alias("text"))
+    return filter_by_key(texts, repeated, keep=False).unionByName(again.select("doc_id", "text"))
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, start, stop): the maximal byte runs that repeated strings cover."""
     run = ["u1", "u2"]
@@ -233,10 +242,8 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     per_doc = asked.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("u1", "u2", "n", "p", "low", "high")).alias("asked"))
     per_doc = per_doc.select(F.col("doc_id").alias("of"), F.col("text_hash").alias("of_hash"), "asked")
     names = materialise(asked.select("doc_id", "text_hash").distinct(), "open-texts")
-    texts = filter_by_key(rows.select("doc_id", "text"), names, keep=True)
-    # Copies of a row would ask twice.
-    texts = texts.groupBy("doc_id", text_hash(F.col("text")).alias("text_hash")).agg(F.first("text").alias("text"))
-    same = texts["doc_id"].eqNullSafe(per_doc["of"]) & (texts["text_hash"] == per_doc["of_hash"])
+    texts = _once(filter_by_key(rows.select("doc_id", "text"), names, keep=True), rows)
+    same = texts["doc_id"].eqNullSafe(per_doc["of"]) & (text_hash(texts["text"]) == per_doc["of_hash"])
     contexts = texts.join(per_doc, same).select("text", "asked").mapInArrow(_cut_contexts, CONTEXTS)
     contexts = materialise(contexts, "contexts")
     # Round 1.
