@@ -8,10 +8,13 @@ shingle's. Each point falls to one of the components, and a component keeps its
 Two texts agree in a component with a chance that is their weighted Jaccard similarity. Points
 come in order of time, so nearly all of them are never made.
 
-Equal texts are one class from the start. Bands of the signatures give buckets; each member of a
-bucket is compared with the least one, exactly, by the bags. Members that are then still in
-different components of the same bucket are compared with each other, so that no pair in a
-bucket is left open while pairs known to be together are never spelled out.
+Equal texts are one class from the start. Bands of the signatures give buckets, and what is in a
+bucket is compared exactly, by the bags. First every member is compared with a leader, in two
+rounds: the least member, then one of the bucket's largest component, to which most others link
+if they link to any. Members of one component need no more comparing. Buckets that still
+hold several components are dealt into tiles of bounded size, whose tasks compare the rest and
+give back a forest of links. So no pair in a bucket is left open, and none is spelled out as a row
+but those with a leader.
 
 Defined results. Similarity is 1 for equal texts, empty ones too; texts without words are like
 nothing else. A null text is like nothing. Rows with equal ``doc_id`` and text are copies; rows
@@ -36,6 +39,9 @@ from civicmart.session import materialise
 THRESHOLD = 0.8
 # A pair at the threshold shares no bucket with chance (1 - 0.8**4)**24, about 3 in a million.
 BANDS, ROWS = 24, 4
+# Rounds of leaders before the tiles, and bytes of bags in a block of a tile.
+LEADERS = 2
+BLOCK_BYTES = 8_000_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -157,21 +163,122 @@ def _overlaps(threshold: float):
     return run
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Those of the pairs (a, b) of representatives whose bags are similar enough."""
-    names = materialise(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "pair-members")
+def _bags(docs: DataFrame, names: DataFrame) -> DataFrame:
+    """(doc_id, bag) of the representatives ``names``, written."""
     names = names.withColumnRenamed("doc_id", "member")
     texts = docs.join(checked_broadcast(names), docs["doc_id"] == names["member"], "left_semi")
-    bags_of = texts.select("doc_id", "text").mapInArrow(_bag_rows, "doc_id bigint, bag binary")
+    found = texts.select("doc_id", "text").mapInArrow(_bag_rows, "doc_id bigint, bag binary")
     # Rows with one id and several texts: the largest bag stands for the id.
-    bags_of = bags_of.groupBy("doc_id").agg(F.max_by("bag", F.struct(F.length("bag"), F.xxhash64("bag"))).alias("bag"))
-    bags_of = materialise(bags_of, "bags")
+    found = found.groupBy("doc_id").agg(F.max_by("bag", F.struct(F.length("bag"), F.xxhash64("bag"))).alias("bag"))
+    return materialise(found, "bags")
+
+
+def _verified(bags_of: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
+    """Those of the pairs (a, b) of representatives whose bags are similar enough, written."""
     a = bags_of.select(F.col("doc_id").alias("a"), F.col("bag").alias("a_bag"))
     b = bags_of.select(F.col("doc_id").alias("b"), F.col("bag").alias("b_bag"))
     sizes = F.length("a_bag"), F.length("b_bag")
     near = F.least(*sizes) >= threshold * F.greatest(*sizes) - 1e-9
     both = pairs.join(a, "a").join(b, "b").filter(near).select("a", "b", "a_bag", "b_bag")
-    return both.mapInArrow(_overlaps(threshold), "a bigint, b bigint")
+    return materialise(both.mapInArrow(_overlaps(threshold), "a bigint, b bigint"), "links")
+
+
+def _tile(threshold: float):
+    """Links across components between two blocks of a bucket, as a forest."""
+
+    def run(table: pa.Table) -> pa.Table:
+        names, block, component = (table[c].to_pylist() for c in ("rep", "block", "component"))
+        order = sorted(range(len(names)), key=lambda i: (block[i], names[i]))
+        bags_of = [np.frombuffer(table["bag"][i].as_buffer(), np.uint64) for i in order]
+        names, block, component = ([column[i] for i in order] for column in (names, block, component))
+        low, high = table["low"][0].as_py(), table["high"][0].as_py()
+        root: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while root.setdefault(x, x) != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        sizes = np.array([len(x) for x in bags_of])
+        ends = np.cumsum(sizes)
+        values = np.concatenate(bags_of)
+        in_high = np.array(block) == high
+        edges = []
+        for i, bag in enumerate(bags_of):
+            if block[i] != low:
+                continue
+            here = find(component[i])
+            # Sizes alone rule out most of what is left.
+            near = np.minimum(sizes, len(bag)) >= threshold * np.maximum(sizes, len(bag)) - 1e-9
+            near &= in_high & (np.arange(len(names)) > i if low == high else True)
+            others = [j for j in np.flatnonzero(near).tolist() if find(component[j]) != here]
+            if not others or not len(bag):
+                continue
+            if len(others) * 2 < len(names):
+                parts = np.concatenate([values[ends[j] - sizes[j] : ends[j]] for j in others])
+                starts = np.cumsum(sizes[others]) - sizes[others]
+            else:
+                parts, starts = values, ends - sizes
+            at = np.minimum(np.searchsorted(bag, parts), len(bag) - 1)
+            shared = np.add.reduceat((bag[at] == parts).astype(np.int64), np.minimum(starts, len(parts) - 1))
+            if parts is values:
+                shared = shared[others]
+            both = np.where(sizes[others] > 0, shared, 0)
+            for k in np.flatnonzero(both >= threshold * (len(bag) + sizes[others] - both) - 1e-9).tolist():
+                x, y = find(component[i]), find(component[others[k]])
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    edges.append((names[i], names[others[k]]))
+        return pa.table({c: pa.array([e[k] for e in edges], pa.int64()) for k, c in enumerate("ab")})
+
+    return run
+
+
+def _tile_links(members: DataFrame, bags_of: DataFrame, threshold: float) -> DataFrame:
+    """Links among ``members`` (key, rep, component), the buckets that leaders left open."""
+    bags_of = bags_of.withColumnRenamed("doc_id", "of")
+    members = members.join(bags_of, members["rep"] == bags_of["of"]).drop("of")
+    blocks = members.groupBy("key").agg(F.ceil(F.sum(F.length("bag")) / BLOCK_BYTES).cast("int").alias("blocks"))
+    dealt = members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.greatest("blocks", F.lit(1))).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1)).alias("other")
+    tiles = dealt.select("key", "rep", "component", "bag", "block", other)
+    tiles = tiles.select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    found = tiles.drop("other").groupBy("key", "low", "high").applyInArrow(_tile(threshold), "a bigint, b bigint")
+    return materialise(found, "tile-links")
+
+
+def _open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` (key, rep) of the buckets that hold several components, with ``component``."""
+    members = members.select("key", "rep")
+    apart = members.join(roots, members["rep"] == roots["node"], "left")
+    apart = materialise(apart.select("key", "rep", F.coalesce("component", "rep").alias("component")), "placed-members")
+    mixed = apart.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    mixed = materialise(mixed.filter("low != high").select("key"), "mixed-buckets")
+    return materialise(apart.join(mixed, "key", "left_semi"), "mixed-members")
+
+
+def _bucket_roots(bags_of: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+    """(node, component) by all similar pairs in common buckets."""
+    links = None
+    for turn in range(LEADERS):
+        if turn == 0:
+            leaders = members.groupBy("key").agg(F.min("rep").alias("leader"))
+        else:
+            some = F.min_by("rep", F.xxhash64(F.lit(turn), "rep")).alias("leader")
+            parts = members.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"), some)
+            first = F.max_by(F.struct("leader", F.col("component").alias("of")), F.struct("n", "leader"))
+            leaders = parts.groupBy("key").agg(first.alias("first")).select("key", "first.*")
+        stars = members.join(materialise(leaders, "leaders"), "key")
+        stars = stars.filter("component != of" if turn else "rep != leader")
+        pairs = materialise(stars.select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(), "pairs")
+        found = _verified(bags_of, pairs, threshold)
+        links = found if links is None else links.unionByName(found)
+        roots = materialise(components(links), "roots")
+        members = _open_buckets(members, roots)
+        if members.isEmpty():
+            return roots
+    return components(links.unionByName(_tile_links(members, bags_of, threshold)))
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -189,25 +296,11 @@ def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # Only the representative of equal texts goes on; its id is a key nobody else has.
     reps = first.select(F.col("rep").alias("doc_id"), "copy_of")
     entries = signed.join(reps, ["doc_id", "copy_of"]).select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key"))
-    buckets = entries.groupBy("key").agg(F.min("rep").alias("leader"), F.max("rep").alias("last"))
-    buckets = materialise(buckets.filter("leader != last").select("key", "leader"), "buckets")
-    members = materialise(entries.join(buckets, "key").select("key", "leader", "rep").distinct(), "bucket-members")
-    stars = members.filter("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
-    links = materialise(_verified(rows, materialise(stars, "pairs"), threshold), "links")
-    roots = materialise(components(links), "roots")
-    # Where a bucket still holds several components, pairs across them are open.
-    apart = members.join(roots, members["rep"] == roots["node"], "left")
-    apart = apart.select("key", "leader", "rep", F.coalesce("component", "rep").alias("component"))
-    mixed = apart.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    mixed = materialise(mixed.filter("low != high").select("key"), "mixed-buckets")
-    apart = materialise(apart.join(mixed, "key"), "mixed-members")
-    left = apart.select("key", "leader", F.col("rep").alias("a"), F.col("component").alias("of"))
-    right = apart.select("key", F.col("rep").alias("b"), F.col("component").alias("other"))
-    across = left.join(right, "key").filter("of < other and a != leader and b != leader")
-    across = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    more = materialise(_verified(rows, materialise(across, "open-pairs"), threshold), "more-links")
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    buckets = entries.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
+    buckets = materialise(buckets.filter("low != high").select("key"), "buckets")
+    members = materialise(entries.join(buckets, "key").select("key", "rep").distinct(), "bucket-members")
+    names = materialise(members.select(F.col("rep").alias("doc_id")).distinct(), "bucket-names")
+    roots = _bucket_roots(_bags(rows, names), members, threshold)
     named = slim.join(first.select("copy_of", "rep"), "copy_of", "left")
     named = named.select("doc_id", "text_hash", "copies", F.coalesce("rep", "doc_id").alias("rep"))
     return named.join(roots, named["rep"] == roots["node"], "left").select(

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text handled at once; a longer text is cut between words.
-SLICE = 1 << 21
+SLICE = 1 << 19
 SHINGLE = 5
 
 _rng = np.random.default_rng(20_240_601)
