@@ -172,6 +172,9 @@ def batch_path(landing: str, category: str, fmt: str, batch_id: str) -> str:
 
 def write_batch(df: DataFrame, fmt: str, path: str) -> None:
     """Overwrites its own batch folder only, so repeating a batch replaces it."""
+    if df.columns == ["file_name"]:
+        # Files without any field. Nulls are left out of JSON, and such a CSV has no rows.
+        df = df.withColumn("_none", F.lit(None).cast("string"))
     writer = df.write.mode("overwrite").partitionBy("file_name")
     if fmt == "csv":
         writer.options(**OWN_CSV_WRITE).csv(path)

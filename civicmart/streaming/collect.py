@@ -8,18 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ingest import (
-    COLLECTED,
-    LEDGER_SCHEMA,
-    append_ledger,
-    batch_path,
-    new_files,
-    read_ledger,
-    write_batch,
-)
-from ..sources.readers import TEXT_OPTIONS, with_file_name
+from ..operators.ingest import LISTING_SCHEMA, copy_files, new_files, read_ledger
 from ..sources.spec import SourceSpec
 
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def collect_stream(
     spark: SparkSession,
@@ -31,53 +24,40 @@ def collect_stream(
 ) -> StreamingQuery:
     """Copy every file not seen before, then stop (``availableNow``).
 
-    The checkpoint remembers the files; a file republished under the same path is not
-    read again. A micro-batch that is replayed after a failure overwrites its own batch
-    folder and adds no second ledger row, so the landing zone holds each file once and is
-    read by the same ``read_landing`` as the other collector's.
+    The stream only tells which files are new; they are landed by ``copy_files`` like those of
+    a listing, with all the fields found in them. The checkpoint remembers the files; a file
+    republished under the same path is not read again. A micro-batch that is replayed after a
+    failure overwrites its own batch folder, or finds its files in the ledger and does nothing,
+    so the landing zone holds each file once and is read by the same ``read_landing`` as the
+    other collector's.
     """
-    reader = spark.readStream.schema(spec.raw_schema).options(
-        maxFilesPerTrigger=files_per_batch, **TEXT_OPTIONS
+    files = (
+        spark.readStream.format("binaryFile")
+        .schema(BINARY_FILE)
+        .options(maxFilesPerTrigger=files_per_batch, pathGlobFilter=f"*.{spec.file_format}")
+        .load(source)
     )
-    if spec.file_format == "csv":
-        raw = reader.options(header=True, enforceSchema=False, pathGlobFilter="*.csv").csv(source)
-    else:
-        raw = reader.options(
-            multiLine=spec.multi_line, mode="FAILFAST", pathGlobFilter="*.json"
-        ).json(source)
 
     def land(batch: DataFrame, epoch: int) -> None:
         session = batch.sparkSession
         # The query id lives in the checkpoint: a new checkpoint cannot reuse old folders.
         query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         batch_id = f"stream-{query_id}-{epoch:08d}"
-        path = batch_path(landing, spec.category, spec.file_format, batch_id)
-        # Files that another batch landed stay out; a replay of this one replaces its own.
-        known = read_ledger(session, landing, spec.category).filter(F.col("batch_id") != batch_id)
-        known = known.select(F.col("file_name").alias("_known")).distinct()
-        fresh = batch.join(known, batch["file_name"] == known["_known"], "left_anti")
-        write_batch(fresh, spec.file_format, path)
-        names = landed_names(session, path)
-        if names:
-            entries = session.createDataFrame(
-                [(spec.category, name, spec.file_format, batch_id, COLLECTED) for name in names],
-                LEDGER_SCHEMA,
-            )
-            ledger = read_ledger(session, landing, spec.category)
-            append_ledger(new_files(entries, ledger, ["category", "file_name"]), landing, spec.category)
+        # At most files_per_batch names; the contents are not read for them.
+        paths = [unquote(row.path) for row in batch.collect()]
+        listing = session.createDataFrame(
+            [(spec.category, path.rsplit("/", 1)[-1], path) for path in paths], LISTING_SCHEMA
+        )
+        ledger = read_ledger(session, landing, spec.category)
+        fresh = new_files(listing, ledger, ["category", "file_name"]).collect()
+        if fresh:
+            found = [(row.file_name, row.path) for row in fresh]
+            copy_files(session, spec, found, landing, batch_id)
 
     return (
-        with_file_name(raw)
+        files.select(F.col("_metadata.file_path").alias("path"))
         .writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-
-
-def landed_names(spark: SparkSession, path: str) -> list[str]:
-    """File names of one landed batch, from its partition folders; nothing is opened."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    folders = {uri.rsplit("/", 2)[-2] for uri in files.inputFiles()}
-    # Once for the URI, once for the escaping of partition values.
-    return sorted(unquote(unquote(folder)).removeprefix("file_name=") for folder in folders)

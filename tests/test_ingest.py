@@ -228,6 +228,31 @@ def test_the_stream_lands_what_the_listing_lands(spark, tmp_path):
     assert run(spark, tmp_path, (CSV,))["sheets"] is None
 
 
+def test_the_stream_lands_undeclared_fields_and_quoted_lines(spark, tmp_path):
+    quoted = replace(CSV, raw_schema=FIELDS, quoted_lines=True)
+    docs = replace(DOCS, raw_schema=FIELDS)
+    drop(tmp_path, CSV, "one.csv", 'a,b\n1,"x\ny"\n')
+    drop(tmp_path, CSV, "two.csv", "b,c,a\ny,0,2\n")
+    drop(tmp_path, DOCS, "one.json", '[{"a": 1, "c": "new", "deep": {"x": [1, 2]}}]')
+    drop(tmp_path, DOCS, "two.json", '{"a": 2}')
+    for spec in (quoted, docs):
+        stream(spark, tmp_path, spec)
+    landing = str(tmp_path / "landing")
+    sheets = read_landing(spark, landing, "sheets", "csv", text_fields("a", "b", "c"))
+    assert rows(sheets.select("a", "b", "c")) == [("1", "x\ny", None), ("2", "y", "0")]
+    found = read_landing(spark, landing, "docs", "json", text_fields("a", "c", "deep"))
+    assert rows(found.select("a", "c", "deep")) == [("1", "new", '{"x":["1","2"]}'), ("2", None, None)]
+    assert run(spark, tmp_path, (quoted, docs)) == {"sheets": None, "docs": None}
+
+
+def test_the_stream_lands_files_without_fields(spark, tmp_path):
+    drop(tmp_path, DOCS, "none.json", "[]")
+    drop(tmp_path, DOCS, "void.json", "{}")
+    stream(spark, tmp_path, replace(DOCS, raw_schema=FIELDS))
+    assert landed(spark, tmp_path, DOCS) == [(None, None, "void.json")]
+    assert run(spark, tmp_path, (DOCS,))["docs"] is None
+
+
 def test_a_hot_file_is_written_by_every_task_that_scans_it(spark, tmp_path):
     """No shuffle between scan and write, so one big file cannot end up in one task."""
     df = spark.range(0, 1000, 1, 4).select(F.col("id").cast("string").alias("a"), F.lit("x").alias("b"))
