@@ -43,6 +43,9 @@ OWN_CSV_WRITE = {**OWN_CSV, "emptyValue": '""'}
 # Line breaks inside quotes: a file is read by one task, and was written by one.
 OWN_CSV_READ = {**OWN_CSV, "emptyValue": "", "multiLine": True, "lineSep": "\n"}
 
+# What Spark's CSV reader does not skip as a blank line before the header.
+TEXT_IN_LINE = r"[^\x00-\x20\ufeff]"
+
 
 def as_list(paths: str | Sequence[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
@@ -110,25 +113,34 @@ def read_csv_by_name(
 def csv_paths_by_header(
     spark: SparkSession, paths: Sequence[str], **options
 ) -> dict[tuple[str, ...], list[str]]:
-    """Paths grouped by header line; files without any line are left out.
+    """Paths grouped by header, the first line with text; files without any are left out.
 
-    One job for all files: their first lines are read as text, and only the distinct headers
-    with the names of their files come back. A scan task reads the first block of a file.
+    One job for all files: the first lines of their first blocks are read as text, and only the
+    distinct headers with the names of their files come back. Files whose first block is blank
+    are read to their end; should text follow, they are refused, as no reader of blocks would
+    take its first line for the header.
     """
     if not paths:
         return {}
-    # The first line of a file is the one at offset 0 of its first block.
     lines = spark.read.options(**options).text(list(paths)).select(
         "value",
+        F.col("value").rlike(TEXT_IN_LINE).alias("said"),
         F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
     )
-    first = lines.filter("block = 0").groupBy("path").agg(F.min_by("value", "at").alias("line"))
-    by_line = first.groupBy("line").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    # Null where no line has text.
+    first = F.min_by("value", F.when(F.col("said"), F.col("at"))).alias("line")
+    by_path = lines.filter("block = 0").groupBy("path").agg(first)
+    by_line = by_path.groupBy("line").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
     for row in by_line.collect():
-        if row.line is None or not row.line.strip("\r\ufeff"):
+        if row.line is None:
+            blank = [escape_glob(unquote(path)) for path in row.paths]
+            late = spark.read.text(blank).filter(F.col("value").rlike(TEXT_IN_LINE))
+            late = late.select(F.col("_metadata.file_path")).distinct().limit(3).collect()
+            if late:
+                raise ValueError(f"no header in the first block of {[path for path, in late]}")
             continue
         names = next(csv.reader([row.line.rstrip("\r").removeprefix("\ufeff")]))
         groups[tuple(names)] += [escape_glob(unquote(path)) for path in row.paths]

@@ -75,6 +75,32 @@ def test_files_of_one_batch_may_differ_in_their_headers(spark, tmp_path):
     assert run(spark, tmp_path, (CSV,))["sheets"] is None
 
 
+@pytest.mark.parametrize(
+    "start, quoted_lines",
+    [("\n", False), ("\r\n  \r\n", False), ("\ufeff\n\n", False), ("\n", True), ("\ufeff\n\n", True)],
+)
+def test_blank_lines_before_the_header(spark, tmp_path, start, quoted_lines):
+    spec = replace(CSV, quoted_lines=quoted_lines)
+    drop(tmp_path, spec, "one.csv", "a,b\n1,x\n")
+    drop(tmp_path, spec, "two.csv", f"{start}b,a\ny,2\n\nz,3\n")
+    drop(tmp_path, spec, "void.csv", f"{start}\n")
+    run(spark, tmp_path, (spec,))
+    assert landed(spark, tmp_path, spec) == [("1", "x", "one.csv"), ("2", "y", "two.csv"), ("3", "z", "two.csv")]
+
+
+def test_a_header_behind_a_blank_block_is_refused_not_lost(spark, tmp_path):
+    drop(tmp_path, CSV, "one.csv", "\n" * 5000 + "a,b\n1,x\n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        with pytest.raises(ValueError, match="one.csv"):
+            run(spark, tmp_path, (CSV,))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    run(spark, tmp_path, (CSV,))
+    assert landed(spark, tmp_path, CSV) == [("1", "x", "one.csv")]
+
+
 def test_a_republished_name_is_not_collected_again(spark, tmp_path):
     drop(tmp_path, CSV, "one.csv", "a,b\n1,x\n")
     run(spark, tmp_path)
