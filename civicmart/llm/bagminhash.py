@@ -17,9 +17,12 @@ give back a forest of links. So no pair in a bucket is left open, and none is sp
 but those with a leader.
 
 Defined results. Similarity is 1 for equal texts, empty ones too; texts without words are like
-nothing else. A null text is like nothing. Rows with equal ``doc_id`` and text are copies; rows
-with one ``doc_id`` and several texts act as one document in the links. Other columns are ignored,
-and kept by ``drop_near_copies``; an empty table gives no rows.
+nothing else. A null text is like nothing. What is compared and linked are the distinct texts, by
+their md5; ids only name the classes. So several texts with one ``doc_id``, or with none, are each
+in the class of their own near copies. A class is named by its least id, null if no row of it has
+one, and one row stands for it: that with the least id, and of the texts with that id one chosen
+by the order of the written texts. Rows with null text all stand for themselves. Other columns
+are ignored, and kept by ``drop_near_copies``; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -125,7 +128,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.arange(0, BANDS * len(some) + 1, BANDS, dtype=np.int32), keys[some].reshape(-1)
             )
             here = batch.slice(row, n).take(pa.array(some))
-            yield pa.RecordBatch.from_arrays([here["doc_id"], here["copy_of"], lists], names=["doc_id", "copy_of", "keys"])
+            yield pa.RecordBatch.from_arrays([here["copy_of"], lists], names=["copy_of", "keys"])
 
 
 def _bag_values(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -139,12 +142,12 @@ def _bag_values(hashes: np.ndarray, n: int) -> np.ndarray:
 
 def _bag_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        names = batch["doc_id"]
+        names = batch["node"]
         for row, n, words, counts in text_slices(batch["text"]):
             hashes, per_text = shingle_hashes(words, counts)
             ends = np.cumsum(per_text)
             data = [_bag_values(hashes[e - k : e], k).tobytes() for e, k in zip(ends, per_text)]
-            yield pa.RecordBatch.from_arrays([names.slice(row, n), pa.array(data, pa.binary())], names=["doc_id", "bag"])
+            yield pa.RecordBatch.from_arrays([names.slice(row, n), pa.array(data, pa.binary())], names=["node", "bag"])
 
 
 def _overlaps(threshold: float):
@@ -163,20 +166,19 @@ def _overlaps(threshold: float):
     return run
 
 
-def _bags(docs: DataFrame, names: DataFrame) -> DataFrame:
-    """(doc_id, bag) of the representatives ``names``, written."""
-    names = names.withColumnRenamed("doc_id", "member")
-    texts = docs.join(checked_broadcast(names), docs["doc_id"] == names["member"], "left_semi")
-    found = texts.select("doc_id", "text").mapInArrow(_bag_rows, "doc_id bigint, bag binary")
-    # Rows with one id and several texts: the largest bag stands for the id.
-    found = found.groupBy("doc_id").agg(F.max_by("bag", F.struct(F.length("bag"), F.xxhash64("bag"))).alias("bag"))
-    return materialise(found, "bags")
+def _bags(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """(node, bag) of the texts ``names`` (node, copy_of, least), written."""
+    names = checked_broadcast(names.select("node", F.col("copy_of").alias("of"), "least"))
+    # Of equal texts those with the least id are read.
+    same = (rows["copy_of"] == names["of"]) & rows["doc_id"].eqNullSafe(names["least"])
+    found = rows.join(names, same).select("node", "text").mapInArrow(_bag_rows, "node bigint, bag binary")
+    return materialise(found.groupBy("node").agg(F.first("bag").alias("bag")), "bags")
 
 
 def _verified(bags_of: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
     """Those of the pairs (a, b) of representatives whose bags are similar enough, written."""
-    a = bags_of.select(F.col("doc_id").alias("a"), F.col("bag").alias("a_bag"))
-    b = bags_of.select(F.col("doc_id").alias("b"), F.col("bag").alias("b_bag"))
+    a = bags_of.select(F.col("node").alias("a"), F.col("bag").alias("a_bag"))
+    b = bags_of.select(F.col("node").alias("b"), F.col("bag").alias("b_bag"))
     sizes = F.length("a_bag"), F.length("b_bag")
     near = F.least(*sizes) >= threshold * F.greatest(*sizes) - 1e-9
     both = pairs.join(a, "a").join(b, "b").filter(near).select("a", "b", "a_bag", "b_bag")
@@ -237,7 +239,7 @@ def _tile(threshold: float):
 
 def _tile_links(members: DataFrame, bags_of: DataFrame, threshold: float) -> DataFrame:
     """Links among ``members`` (key, rep, component), the buckets that leaders left open."""
-    bags_of = bags_of.withColumnRenamed("doc_id", "of")
+    bags_of = bags_of.withColumnRenamed("node", "of")
     members = members.join(bags_of, members["rep"] == bags_of["of"]).drop("of")
     blocks = members.groupBy("key").agg(F.ceil(F.sum(F.length("bag")) / BLOCK_BYTES).cast("int").alias("blocks"))
     dealt = members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.greatest("blocks", F.lit(1))).cast("int"))
@@ -259,7 +261,7 @@ def _open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _bucket_roots(bags_of: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
-    """(node, component) by all similar pairs in common buckets."""
+    """(node, component) by all similar pairs in common buckets, written."""
     links = None
     for turn in range(LEADERS):
         if turn == 0:
@@ -278,52 +280,63 @@ def _bucket_roots(bags_of: DataFrame, members: DataFrame, threshold: float) -> D
         members = _open_buckets(members, roots)
         if members.isEmpty():
             return roots
-    return components(links.unionByName(_tile_links(members, bags_of, threshold)))
+    return materialise(components(links.unionByName(_tile_links(members, bags_of, threshold))), "roots")
 
 
 def near_classes(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, text_hash, component_id, copies): a row per distinct (doc_id, text)."""
-    rows = docs.filter("doc_id is not null").select(
-        F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.md5("text").alias("copy_of")
+    """(doc_id, text_hash, component_id, stands, copies, has_text): a row per distinct (doc_id, text);
+    ``stands`` is true for the one that stands for its class."""
+    # 128 bits tell texts apart; a number for each is made where the distinct ones are written.
+    rows = docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.unhex(F.md5("text")).alias("copy_of")
     )
     slim = rows.groupBy("doc_id", "copy_of", text_hash(F.col("text")).alias("text_hash")).agg(F.count(F.lit(1)).alias("copies"))
     slim = materialise(slim, "texts")
-    first = slim.filter("copy_of is not null").groupBy("copy_of").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n"))
-    first = materialise(first, "copies")
-    signed = rows.filter("copy_of is not null").select("doc_id", "copy_of", "text")
-    signed = signed.mapInArrow(_sign, "doc_id bigint, copy_of string, keys array<bigint>")
-    signed = materialise(signed, "signatures")
-    # Only the representative of equal texts goes on; its id is a key nobody else has.
-    reps = first.select(F.col("rep").alias("doc_id"), "copy_of")
-    entries = signed.join(reps, ["doc_id", "copy_of"]).select(F.col("doc_id").alias("rep"), F.explode("keys").alias("key"))
+    first = slim.filter("copy_of is not null").groupBy("copy_of").agg(F.min("doc_id").alias("least"))
+    first = materialise(first.withColumn("node", F.monotonically_increasing_id()), "copies")
+    signed = rows.filter("copy_of is not null").select("copy_of", "text")
+    signed = materialise(signed.mapInArrow(_sign, "copy_of binary, keys array<bigint>"), "signatures")
+    # Only one signature of equal texts goes on; most copies go before the shuffle.
+    once = signed.groupBy("copy_of").agg(F.first("keys").alias("keys"))
+    entries = once.join(first, "copy_of").select(F.col("node").alias("rep"), F.explode("keys").alias("key"))
     buckets = entries.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
     buckets = materialise(buckets.filter("low != high").select("key"), "buckets")
     members = materialise(entries.join(buckets, "key").select("key", "rep").distinct(), "bucket-members")
-    names = materialise(members.select(F.col("rep").alias("doc_id")).distinct(), "bucket-names")
-    roots = _bucket_roots(_bags(rows, names), members, threshold)
-    named = slim.join(first.select("copy_of", "rep"), "copy_of", "left")
-    named = named.select("doc_id", "text_hash", "copies", F.coalesce("rep", "doc_id").alias("rep"))
-    return named.join(roots, named["rep"] == roots["node"], "left").select(
-        "doc_id", "text_hash", F.coalesce("component", "rep").alias("component_id"), "copies"
-    )
-
-
-def near_copy_report(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """A row per document: (doc_id, component_id, kept); kept is the least id of a class."""
+    names = members.select(F.col("rep").alias("node")).distinct().join(first, "node")
+    roots = _bucket_roots(_bags(rows, materialise(names, "bucket-names")), members, threshold)
+    # Of each component the least id, and the text that stands for it.
+    top = F.min(F.struct(F.col("least").isNull().alias("unnamed"), "least", "node")).alias("top")
+    tops = roots.join(first, "node").groupBy("component").agg(top)
+    tops = materialise(tops.select(F.col("component").alias("of"), "top.least", "top.node"), "tops")
+    tops = tops.select("of", F.col("least").alias("top_id"), F.col("node").alias("top_node"))
+    named = slim.join(first, "copy_of", "left").join(roots, "node", "left")
+    named = named.join(tops, named["component"] == tops["of"], "left")
+    alone = F.col("of").isNull()
+    has_text = F.col("copy_of").isNotNull()
+    id_of_class = F.when(~has_text, F.col("doc_id")).when(alone, F.col("least")).otherwise(F.col("top_id"))
+    of_top = (alone | (F.col("node") == F.col("top_node"))) & F.col("doc_id").eqNullSafe(F.col("least"))
+    return named.select(
+        "doc_id", "text_hash", id_of_class.alias("component_id"), (~has_text | of_top).alias("stands"), "copies",
+        has_text.alias("has_text"),
+    )
+
+
+def near_copy_report(docs: DataFrame, threshold: float = THRESHOLD, null_ids: bool = False) -> DataFrame:
+    """A row per document: (doc_id, component_id, kept), kept as by ``drop_near_copies``. Rows with a
+    null id have their part in the classes; they are rows of the report with ``null_ids``."""
     classes = near_classes(docs, threshold)
-    rows = classes.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
-    return rows.select(
-        "doc_id", "component_id", ((F.col("doc_id") == F.col("component_id")) & (F.col("copy") == 1)).alias("kept")
-    )
+    rows = classes if null_ids else classes.filter("doc_id is not null")
+    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
+    return rows.select("doc_id", "component_id", F.expr("stands and (copy = 1 or not has_text)").alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of each class, that with the least id; rows with a null id or text all stay."""
+    """One row of each class, that with the least id; rows with a null text all stay."""
     classes = materialise(near_classes(docs, threshold), "classes")
-    dropped = classes.filter("doc_id != component_id").select("doc_id", "text_hash")
+    dropped = classes.filter("not stands").select("doc_id", "text_hash")
     kept = filter_by_key(docs, materialise(dropped, "dropped"), keep=False)
-    repeated = materialise(classes.filter("copies > 1 and doc_id = component_id").select("doc_id", "text_hash"), "repeated")
+    repeated = classes.filter("copies > 1 and stands and has_text").select("doc_id", "text_hash")
+    repeated = materialise(repeated, "repeated")
     once = filter_by_key(kept, repeated, keep=False)
-    again = filter_by_key(kept, repeated, keep=True).filter("text is not null").dropDuplicates(["doc_id", "text"])
-    unnamed = filter_by_key(kept, repeated, keep=True).filter("text is null")
-    return once.unionByName(again).unionByName(unnamed)
+    again = filter_by_key(kept, repeated, keep=True).dropDuplicates(["doc_id", "text"])
+    return once.unionByName(again)

@@ -99,6 +99,48 @@ def test_awkward_rows(awkward):
     assert kept.filter("doc_id is null").count() == 1 and kept.filter("doc_id = 7").count() == 0
 
 
+def near_copies(seed):
+    """Two near copies, unlike those of other seeds."""
+    said = [f"t{seed}x{i}" for i in range(60)]
+    return " ".join(said), " ".join([*said[:-1], "changed"])
+
+
+def test_texts_of_one_id_have_their_own_near_copies(documents):
+    (a, a2), (b, b2), (c, c2) = (near_copies(i) for i in range(3))
+    # The longer text of id 7 is like that of id 1, the shorter ones like those of 9 and 3.
+    docs = documents([(7, a + " " + a), (1, a + " " + a2), (7, b), (9, b2), (7, c), (3, c2), (8, a)])
+    report = bm.near_copy_report(docs).collect()
+    assert sorted(map(tuple, report)) == [
+        (1, 1, True), (3, 3, True), (7, 1, False), (7, 3, False), (7, 7, True), (8, 8, True), (9, 7, False),
+    ]
+    kept = [(r.doc_id, r.text) for r in bm.drop_near_copies(docs).collect()]
+    assert sorted(kept) == sorted([(1, a + " " + a2), (3, c2), (7, b), (8, a)])
+
+
+def test_rows_without_id_have_classes_too(documents):
+    (a, a2), (b, b2), (c, _) = (near_copies(i) for i in range(3))
+    # a: a null id beside ids. b: null ids only. c: exact copies only. Null texts are no copies.
+    pairs = [(None, a), (5, a2), (4, a2), (None, b), (None, b2), (None, b), (None, c), (None, c), (None, None), (None, None)]
+    docs = documents(pairs)
+    report = bm.near_copy_report(docs, null_ids=True).collect()
+    assert len(report) == len(pairs)
+    assert Counter((r.doc_id, r.component_id, r.kept) for r in report) == {
+        (None, 4, False): 1, (5, 4, False): 1, (4, 4, True): 1,
+        (None, None, True): 4, (None, None, False): 3,
+    }
+    kept = Counter((r.doc_id, r.text) for r in bm.drop_near_copies(docs).collect())
+    assert kept[None, b] + kept[None, b2] == 1
+    assert {k: n for k, n in kept.items() if k[1] not in (b, b2)} == {(4, a2): 1, (None, c): 1, (None, None): 2}
+
+
+def test_the_least_of_a_class_may_be_a_reused_id(documents):
+    a, a2 = near_copies(1)
+    docs = documents([(1, a), (1, a2), (1, "other words"), (2, a)])
+    report = sorted(map(tuple, bm.near_copy_report(docs).collect()))
+    assert report == [(1, 1, False), (1, 1, True), (1, 1, True), (2, 1, False)]
+    assert bm.drop_near_copies(docs).count() == 2
+
+
 def test_empty_table(documents):
     none = documents([(1, "a")]).limit(0)
     assert bm.near_copy_report(none).count() == 0 and bm.drop_near_copies(none).count() == 0
