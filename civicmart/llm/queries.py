@@ -1,17 +1,21 @@
-"""The queries of the ten operators, and SQL that gives the same rows where SQL can say it."""
+"""The queries of the operators, and SQL that gives the same rows where SQL can say it."""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from civicmart.llm import (
     bagminhash,
     chat,
     decontaminate,
     embedding_dedup,
+    learned_partitions,
     mixing,
     quality,
+    ranked_search,
+    repair,
     secrets,
     sharding,
     substrings,
@@ -57,6 +61,13 @@ QUERIES: dict[str, Builder] = {
         load(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json")
     ),
     "op10_substrings": lambda spark, sf: substrings.repeat_report(load(spark, sf, "documents")),
+    "op11_ranked_search": lambda spark, sf: ranked_search.search(
+        load(spark, sf, "documents"), load(spark, sf, "benchmark")
+    ),
+    "op12_learned_partitions": lambda spark, sf: learned_partitions.search(
+        load(spark, sf, "embeddings"), F.col("vec_id") % 50 == 0
+    ),
+    "op13_repair": lambda spark, sf: repair.repair_report(load(spark, sf, "conversations")),
 }
 QUERIES = {name: _shipping(builder) for name, builder in QUERIES.items()}
 
@@ -182,5 +193,111 @@ running as (
 select doc_id, size, source_size, target,
   (size * (passes + case when upto <= need or upto - need < need - (upto - here) then 1 else 0 end))::bigint as taken
 from running
+""",
+    "op11_ranked_search": r"""
+with words as (
+  select doc_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from documents),
+asked as (
+  select item_id, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+items as (select item_id, term, count(*) as times from asked group by 1, 2),
+sizes as (select doc_id, count(*) as n from words group by 1),
+total as (select count(*)::bigint as docs, sum(n)::bigint as length from sizes),
+found as (
+  select doc_id, term, count(*) as tf from words where term in (select term from asked) group by 1, 2),
+weights as (
+  select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from found cross join total group by term, docs),
+scores as (
+  select item_id, doc_id, sum(times * w
+    * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // length)))))::bigint as score
+  from items join found using (term) join weights using (term) join sizes using (doc_id) cross join total
+  group by 1, 2),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id)::int as rank,
+    doc_id, score
+  from scores where score > 0)
+select * from ranked where rank <= 20
+""",
+    "op13_repair": r"""
+with recursive
+-- The checksum's table of bytes, and the checksum.
+bytes as (
+  select list(list_reduce(list_concat([i::bigint], range(8)),
+    lambda c, x: case when c % 2 = 1 then xor(c >> 1, 3988292384::bigint) else c >> 1 end) order by i) as t
+  from range(256) r(i)),
+keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as name
+  from conversations),
+kinds as (
+  select *, xor(list_reduce(
+    list_concat([4294967295::bigint], list_transform(string_split(name, ''), lambda x: ascii(x)::bigint)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::bigint) % 20 as kind
+  from keyed cross join bytes),
+rows_left as (
+  select conv_id, turn, case kind when 4 then 'user' else role end as role,
+    case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+    unnest(range(case kind when 3 then 2 else 1 end)) as copy
+  from kinds where kind <> 0),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i
+  from rows_left),
+numbered as (
+  select *, row_number() over (partition by conv_id, role, text order by i) as nth from placed),
+marked as (
+  select conv_id, turn, i, role, text, substr(role, 1, 1) as initial,
+    lag(substr(role, 1, 1)) over (partition by conv_id order by i) as before,
+    case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 'blank' when nth > 1 then 'duplicate'
+      when not regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 'truncated' else '' end as fault
+  from numbered),
+-- States: 0 nothing yet, 1 after the system row, 2 after a user row, 3 after an assistant row.
+inserts(state, letters, paid, there, made) as (values
+  (0, '', 0, 0, []::varchar[]), (1, '', 0, 1, []), (2, '', 0, 2, []), (3, '', 0, 3, []),
+  (0, 'I', 2, 2, ['user:']), (1, 'I', 2, 2, ['user:']), (2, 'I', 2, 3, ['assistant:']), (3, 'I', 2, 2, ['user:']),
+  (0, 'II', 4, 3, ['user:', 'assistant:']), (1, 'II', 4, 3, ['user:', 'assistant:']),
+  (2, 'II', 4, 2, ['assistant:', 'user:']), (3, 'II', 4, 3, ['user:', 'assistant:'])),
+edits(letter, initial, there, paid, after) as (values
+  ('D', null, 0, 3, 0), ('D', null, 1, 3, 1), ('D', null, 2, 3, 2), ('D', null, 3, 3, 3),
+  ('K', 's', 0, 0, 1), ('K', 'u', 0, 0, 2), ('K', 'u', 1, 0, 2), ('K', 'u', 3, 0, 2), ('K', 'a', 2, 0, 3),
+  ('R', null, 0, 2, 2), ('R', null, 1, 2, 2), ('R', null, 3, 2, 2), ('R', null, 2, 2, 3)),
+paths(conv_id, i, state, cost, audit, lines) as (
+  select distinct conv_id, 0::bigint, 0, 0, '', []::varchar[] from marked
+  union all
+  select p.conv_id, m.i, e.after, p.cost + s.paid + e.paid
+      + case when m.fault = 'truncated' and e.letter <> 'D' then 1 else 0 end as total,
+    p.audit || s.letters || e.letter as audit,
+    p.lines || s.made || case e.letter when 'D' then []::varchar[] when 'K' then [m.role || ':' || m.text]
+      else [case e.after when 2 then 'user:' else 'assistant:' end || m.text] end
+  from paths p
+  join marked m on m.conv_id is not distinct from p.conv_id and m.i = p.i + 1
+  join inserts s on s.state = p.state
+  join edits e on e.there = s.there and (e.initial is null or e.initial = m.initial)
+    and (e.letter = 'D' or m.fault not in ('blank', 'duplicate'))
+  qualify row_number() over (
+    partition by p.conv_id, e.after
+    order by p.cost + s.paid + e.paid + case when m.fault = 'truncated' and e.letter <> 'D' then 1 else 0 end,
+      p.audit || s.letters || e.letter) = 1),
+facts as (
+  select conv_id, max(i) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (fault = 'blank') as blank, count(*) filter (fault = 'duplicate') as duplicate,
+    count(*) filter (fault = 'truncated') as truncated,
+    count(*) filter (i > 1 and before || initial not in ('su', 'ua', 'au')) as illegal
+  from marked group by conv_id),
+ended as (
+  select p.conv_id, p.cost + s.paid as cost, p.audit || s.letters as audit, p.lines || s.made as lines
+  from paths p join facts f on f.conv_id is not distinct from p.conv_id and f.n = p.i
+  join inserts s on s.state = p.state and s.there in (0, 3)
+  qualify row_number() over (partition by p.conv_id order by p.cost + s.paid, p.audit || s.letters) = 1)
+select o.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank,
+  coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+  coalesce(illegal, 0)::bigint as illegal, coalesce(cost, 0)::bigint as cost, coalesce(audit, '') as audit,
+  sha256(coalesce(array_to_string(lines, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join facts f on f.conv_id is not distinct from o.conv_id
+left join ended e on e.conv_id is not distinct from o.conv_id
 """,
 }

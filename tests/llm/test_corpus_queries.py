@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(TABLES), reason="tables not pr
 
 def test_every_operator_is_registered_once():
     names = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in contract.queries() and set(queries.ORACLES) <= set(queries.QUERIES)
 
 
@@ -25,7 +25,11 @@ def test_query_equals_sql(spark, name):
     assert differences(spark, queries.QUERIES[name], queries.ORACLES[name], TABLES) is None
 
 
-@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
+# A row per document; the search over vectors has rows per query.
+DOCUMENT_QUERIES = sorted(set(queries.QUERIES) - set(queries.ORACLES) - {"op12_learned_partitions"})
+
+
+@pytest.mark.parametrize("name", DOCUMENT_QUERIES)
 def test_query_gives_a_row_per_document(spark, name):
     documents = spark.read.parquet(f"{TABLES}/documents.parquet").count()
     assert queries.QUERIES[name](spark, TABLES).count() == documents
