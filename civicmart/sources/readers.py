@@ -80,6 +80,7 @@ def read_csv_by_name(
     schema: StructType | None = None,
     file_names: bool = False,
     keep_all: bool = False,
+    headers: dict[tuple[str, ...], list[str]] | None = None,
     **options,
 ) -> DataFrame:
     """CSV files whose headers may differ in order or columns, united by name, all text.
@@ -87,9 +88,11 @@ def read_csv_by_name(
     One scan per distinct header, so a single one where nothing drifted. With a schema
     the result has its columns: those a file lacks are null, and the log says so; others are
     left out unless ``keep_all``. ``file_names`` adds the file name, which is out of reach
-    behind a union. A header that names a column twice is refused.
+    behind a union. A header that names a column twice is refused. ``headers``, paths by header,
+    spares the job that finds them.
     """
-    groups = csv_paths_by_header(spark, paths) or {tuple(schema.names if schema else ()): paths}
+    groups = csv_paths_by_header(spark, paths) if headers is None else headers
+    groups = groups or {tuple(schema.names if schema else ()): list(paths)}
     frames = []
     for header, members in groups.items():
         twice = sorted({name for name in header if header.count(name) > 1})
@@ -113,15 +116,26 @@ def read_csv_by_name(
 def csv_paths_by_header(
     spark: SparkSession, paths: Sequence[str], **options
 ) -> dict[tuple[str, ...], list[str]]:
-    """Paths grouped by header, the first line with text; files without any are left out.
+    """Paths grouped by header, the first line with text; files without any are left out, and
+    one whose header is not in its first block is refused, see ``csv_headers``."""
+    headers, late = csv_headers(spark, paths, **options)
+    if late:
+        raise ValueError(f"no header in the first block of {late[:3]}")
+    return {names: [escape_glob(path) for path in found] for names, found in headers.items()}
+
+
+def csv_headers(
+    spark: SparkSession, paths: Sequence[str], **options
+) -> tuple[dict[tuple[str, ...], list[str]], list[str]]:
+    """Plain paths by header, the first line with text, and paths whose header comes too late.
 
     One job for all files: the first lines of their first blocks are read as text, and only the
     distinct headers with the names of their files come back. Files whose first block is blank
-    are read to their end; should text follow, they are refused, as no reader of blocks would
-    take its first line for the header.
+    are read to their end; should text follow, they come too late, as no reader of blocks would
+    take their first line for the header. Files without any text are in neither.
     """
     if not paths:
-        return {}
+        return {}, []
     lines = spark.read.options(**options).text(list(paths)).select(
         "value",
         F.col("value").rlike(TEXT_IN_LINE).alias("said"),
@@ -133,18 +147,17 @@ def csv_paths_by_header(
     first = F.min_by("value", F.when(F.col("said"), F.col("at"))).alias("line")
     by_path = lines.filter("block = 0").groupBy("path").agg(first)
     by_line = by_path.groupBy("line").agg(F.sort_array(F.collect_list("path")).alias("paths"))
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    headers: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    late: list[str] = []
     for row in by_line.collect():
+        found = [unquote(path) for path in row.paths]
         if row.line is None:
-            blank = [escape_glob(unquote(path)) for path in row.paths]
-            late = spark.read.text(blank).filter(F.col("value").rlike(TEXT_IN_LINE))
-            late = late.select(F.col("_metadata.file_path")).distinct().limit(3).collect()
-            if late:
-                raise ValueError(f"no header in the first block of {[path for path, in late]}")
+            text = spark.read.text([escape_glob(path) for path in found]).filter(F.col("value").rlike(TEXT_IN_LINE))
+            late += [unquote(path) for path, in text.select("_metadata.file_path").distinct().collect()]
             continue
         names = next(csv.reader([row.line.rstrip("\r").removeprefix("\ufeff")]))
-        groups[tuple(names)] += [escape_glob(unquote(path)) for path in row.paths]
-    return groups
+        headers[tuple(names)] += found
+    return headers, late
 
 
 def escape_glob(path: str) -> str:
@@ -159,7 +172,8 @@ def _read_json(
     multi_line: bool,
     options: dict,
 ) -> DataFrame:
-    reader = spark.read.options(multiLine=multi_line, mode="FAILFAST", **TEXT_OPTIONS)
+    options = {"mode": "FAILFAST", **options}
+    reader = spark.read.options(multiLine=multi_line, **TEXT_OPTIONS)
     reader = reader.schema(schema) if schema is not None else reader.options(primitivesAsString=True)
     return reader.options(**options).json(as_list(paths))
 
@@ -182,6 +196,23 @@ def read_json_lines(
     return _read_json(spark, paths, schema, False, options)
 
 
+# Where text that is no JSON goes if a reader is told to go on; no field of ours.
+NO_JSON = "_no_json"
+
+
+def read_json_leniently(
+    spark: SparkSession, paths: Sequence[str], multi_line: bool, **options
+) -> DataFrame:
+    """JSON with the fields of all files; a document (or line) that is none is a row with its text
+    in ``NO_JSON``. That column is there only if there is such a row."""
+    lenient = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": NO_JSON, **options}
+    rows = _read_json(spark, paths, None, multi_line, lenient)
+    if rows.columns == [NO_JSON]:
+        # Spark does not give back that column alone.
+        rows = _read_json(spark, paths, text_fields("_none", NO_JSON), multi_line, lenient)
+    return rows
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
     """A formatted or mart table. Any installed connector works as ``fmt``: "delta" for a
     path, "mongodb" with its ``database`` and ``collection`` options."""

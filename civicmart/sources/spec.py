@@ -32,6 +32,8 @@ class SourceSpec:
     ``only_file``    use just the file of this name, from all batches.
     ``multi_line``   raw JSON is one document (or array) per file, not one per line.
     ``quoted_lines`` raw CSV has line breaks inside quotes; such a file is read by one task.
+    ``versioned``    a file republished under its name with other content is collected again, as
+                     its next version; otherwise a name is collected once.
     """
 
     category: str
@@ -45,3 +47,4 @@ class SourceSpec:
     only_file: str | None = None
     multi_line: bool = True
     quoted_lines: bool = False
+    versioned: bool = False

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ingest import LISTING_SCHEMA, copy_files, new_files, read_ledger
+from ..operators.ingest import LISTING_SCHEMA, copy_files, new_files, read_ledger, settled
 from ..sources.spec import SourceSpec
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -25,8 +25,10 @@ def collect_stream(
     """Copy every file not seen before, then stop (``availableNow``).
 
     The stream only tells which files are new; they are landed by ``copy_files`` like those of
-    a listing, with all the fields found in them. The checkpoint remembers the files; a file
-    republished under the same path is not read again. A micro-batch that is replayed after a
+    a listing, with all the fields found in them, in whatever format they come: files of other
+    types are entered as rejected, and broken ones as quarantined. The checkpoint remembers the files; a file
+    republished under the same path, or mended, is not read again by the stream (a listing, or a new
+    checkpoint, finds quarantined files). A micro-batch that is replayed after a
     failure overwrites its own batch folder, or finds its files in the ledger and does nothing,
     so the landing zone holds each file once and is read by the same ``read_landing`` as the
     other collector's.
@@ -34,7 +36,7 @@ def collect_stream(
     files = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
-        .options(maxFilesPerTrigger=files_per_batch, pathGlobFilter=f"*.{spec.file_format}")
+        .option("maxFilesPerTrigger", files_per_batch)
         .load(source)
     )
 
@@ -48,7 +50,7 @@ def collect_stream(
         listing = session.createDataFrame(
             [(spec.category, path.rsplit("/", 1)[-1], path) for path in paths], LISTING_SCHEMA
         )
-        ledger = read_ledger(session, landing, spec.category)
+        ledger = settled(read_ledger(session, landing, spec.category))
         fresh = new_files(listing, ledger, ["category", "file_name"]).collect()
         if fresh:
             found = [(row.file_name, row.path) for row in fresh]

@@ -1,4 +1,5 @@
 import json
+import os
 import shutil
 from dataclasses import replace
 
@@ -14,6 +15,7 @@ from civicmart.operators.ingest import (
     collect,
     committed_batches,
     file_format,
+    header_history,
     list_files,
     new_files,
     read_landing,
@@ -21,6 +23,7 @@ from civicmart.operators.ingest import (
     read_raw,
     write_batch,
 )
+from civicmart.operators.versions import file_versions
 from civicmart.sources.spec import SourceSpec, text_fields
 from civicmart.streaming import collect_stream
 
@@ -88,13 +91,14 @@ def test_blank_lines_before_the_header(spark, tmp_path, start, quoted_lines):
     assert landed(spark, tmp_path, spec) == [("1", "x", "one.csv"), ("2", "y", "two.csv"), ("3", "z", "two.csv")]
 
 
-def test_a_header_behind_a_blank_block_is_refused_not_lost(spark, tmp_path):
+def test_a_header_behind_a_blank_block_is_quarantined_not_lost(spark, tmp_path):
     drop(tmp_path, CSV, "one.csv", "\n" * 5000 + "a,b\n1,x\n")
     size = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
     try:
-        with pytest.raises(ValueError, match="one.csv"):
-            run(spark, tmp_path, (CSV,))
+        run(spark, tmp_path, (CSV,))
+        assert states(spark, tmp_path) == [("one.csv", "quarantined", "no header in the first block")]
+        assert landed(spark, tmp_path, CSV) == []
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
     run(spark, tmp_path, (CSV,))
@@ -173,14 +177,147 @@ def test_missing_folder_and_unreadable_ledger_raise(spark, tmp_path):
 
 def test_one_failing_category_leaves_the_others_committed(spark, tmp_path):
     drop(tmp_path, CSV, "one.csv", "a,b\n1,x\n")
-    drop(tmp_path, DOCS, "bad.json", '{"a": ')
-    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+    drop(tmp_path, DOCS, "one.json", '{"a": 1}')
+    (tmp_path / "landing" / "_ledger" / "docs").mkdir(parents=True)
+    (tmp_path / "landing" / "_ledger" / "docs" / "part-0.parquet").write_text("not parquet")
+    ledger = tmp_path / "landing" / "_ledger" / "docs" / "part-0.parquet"
+    with pytest.raises(Exception, match="(?i)parquet"):
         run(spark, tmp_path)
+    ledger.unlink()
+    run(spark, tmp_path)
     assert landed(spark, tmp_path, CSV) == [("1", "x", "one.csv")]
-    assert landed(spark, tmp_path, DOCS) == []
+    assert landed(spark, tmp_path, DOCS) == [("1", None, "one.json")]
+
+
+def states(spark, tmp_path, category=None):
+    ledger = read_ledger(spark, str(tmp_path / "landing"), category)
+    return rows(ledger.select("file_name", "status", "reason"))
+
+
+def test_a_broken_document_is_quarantined_alone_and_tried_again(spark, tmp_path):
+    drop(tmp_path, CSV, "one.csv", "a,b\n1,x\n")
+    drop(tmp_path, DOCS, "bad.json", '{"a": ')
+    drop(tmp_path, DOCS, "number.json", "3")
+    drop(tmp_path, DOCS, "good.json", '{"a": 1, "b": {"c": "d"}}')
+    drop(tmp_path, DOCS, "notes.txt", "hello")
+    run(spark, tmp_path)
+    first = [
+        ("bad.json", "quarantined", '1 not JSON: {"a": '),
+        ("good.json", "collected", None),
+        ("notes.txt", "rejected", None),
+        ("number.json", "quarantined", "1 not JSON: 3"),
+    ]
+    assert states(spark, tmp_path, "docs") == first
+    assert landed(spark, tmp_path, CSV) == [("1", "x", "one.csv")]
+    assert landed(spark, tmp_path, DOCS) == [("1", '{"c":"d"}', "good.json")]
     drop(tmp_path, DOCS, "bad.json", '{"a": 5}')
     assert run(spark, tmp_path)["sheets"] is None
-    assert landed(spark, tmp_path, DOCS) == [("5", None, "bad.json")]
+    assert landed(spark, tmp_path, DOCS) == [("1", '{"c":"d"}', "good.json"), ("5", None, "bad.json")]
+    again = states(spark, tmp_path, "docs")
+    assert again == sorted(first + [("bad.json", "collected", None), first[3]], key=repr)
+
+
+def test_only_broken_documents(spark, tmp_path):
+    drop(tmp_path, DOCS, "bad.json", '{"a": ')
+    run(spark, tmp_path, (DOCS,))
+    assert states(spark, tmp_path) == [("bad.json", "quarantined", '1 not JSON: {"a": ')]
+    assert landed(spark, tmp_path, DOCS) == []
+
+
+def test_a_bad_line_takes_out_its_file_with_the_good_ones(spark, tmp_path):
+    lines = replace(DOCS, multi_line=False)
+    drop(tmp_path, lines, "half %.json", '{"a": 1}\nnothing\n{"a": 2}\n{"a"\n')
+    drop(tmp_path, lines, "good.json", '{"a": 3}\n\n{"a": 4}\n')
+    run(spark, tmp_path, (lines,))
+    assert landed(spark, tmp_path, lines, "a", "file_name") == [("3", "good.json"), ("4", "good.json")]
+    assert states(spark, tmp_path)[1] == ("half %.json", "quarantined", "2 not JSON: nothing")
+
+
+def test_a_column_named_twice_quarantines_the_file_only(spark, tmp_path):
+    drop(tmp_path, CSV, "one.csv", "a,b\n1,x\n")
+    drop(tmp_path, CSV, "two.csv", "a,b,a\n1,x,2\n")
+    run(spark, tmp_path, (CSV,))
+    assert landed(spark, tmp_path, CSV) == [("1", "x", "one.csv")]
+    assert states(spark, tmp_path)[1] == ("two.csv", "quarantined", "columns named twice: a")
+
+
+def test_the_stream_treats_foreign_and_broken_files_as_the_listing_does(spark, tmp_path):
+    drop(tmp_path, DOCS, "one.json", '{"a": 1}')
+    drop(tmp_path, DOCS, "two.csv", "a,b\n2,y\n")
+    drop(tmp_path, DOCS, "bad.json", "{")
+    drop(tmp_path, DOCS, "notes.txt", "hello")
+    stream(spark, tmp_path, DOCS)
+    by_stream = states(spark, tmp_path)
+    shutil.rmtree(tmp_path / "landing")
+    run(spark, tmp_path, (DOCS,))
+    assert by_stream == states(spark, tmp_path)
+    assert [state for _, state, _ in by_stream] == ["quarantined", "rejected", "collected", "collected"]
+
+
+VERSIONED = replace(CSV, versioned=True)
+DOC_VERSIONS = replace(DOCS, versioned=True)
+
+
+def versions(spark, tmp_path, category):
+    found = file_versions(read_ledger(spark, str(tmp_path / "landing"), category))
+    return rows(found.select("file_name", "version", "status", "reason"))
+
+
+@pytest.mark.parametrize("spec", [VERSIONED, DOC_VERSIONS])
+def test_versions_of_changed_unchanged_and_renamed_files(spark, tmp_path, spec):
+    kind = spec.file_format
+    text = (lambda a: f"a,b\n{a},x\n") if kind == "csv" else (lambda a: json.dumps({"a": a, "b": "x"}))
+    names = {n: f"{n}.{kind}" for n in ("changed", "same", "gone", "new", "copy")}
+    for n, a in (("changed", 1), ("same", 2), ("gone", 3)):
+        drop(tmp_path, spec, names[n], text(a))
+    run(spark, tmp_path, (spec,))
+    assert run(spark, tmp_path, (spec,))[spec.category] is None
+    folder = tmp_path / "raw" / spec.category
+    drop(tmp_path, spec, names["changed"], text(9))
+    os.utime(folder / names["same"], (1, 1))
+    (folder / names["gone"]).rename(folder / names["new"])
+    drop(tmp_path, spec, names["copy"], text(2))
+    assert run(spark, tmp_path, (spec,))[spec.category] is not None
+    want = sorted([("9", "x", names["changed"]), ("2", "x", names["same"]), ("3", "x", names["gone"]), ("2", "x", names["copy"])])
+    assert landed(spark, tmp_path, spec) == want
+    assert versions(spark, tmp_path, spec.category) == sorted(
+        [
+            (names["changed"], 1, "collected", None),
+            (names["changed"], 2, "collected", None),
+            (names["same"], 1, "collected", None),
+            (names["same"], 1, "unchanged", None),
+            (names["gone"], 1, "collected", None),
+            (names["new"], 1, "renamed", f"was {names['gone']}"),
+            (names["copy"], 1, "collected", None),
+        ],
+        key=repr,
+    )
+    assert run(spark, tmp_path, (spec,))[spec.category] is None
+    # Back to an earlier content: a version again.
+    drop(tmp_path, spec, names["changed"], text(1))
+    run(spark, tmp_path, (spec,))
+    assert ("1", "x", names["changed"]) in landed(spark, tmp_path, spec)
+
+
+def test_headers_are_kept_and_read_back_without_looking_at_files(spark, tmp_path, monkeypatch):
+    drop(tmp_path, CSV, "one.csv", "a,b\n1,x\n")
+    drop(tmp_path, CSV, "two.csv", "a,b\n2,y\n")
+    run(spark, tmp_path, (CSV,))
+    drop(tmp_path, CSV, "three.csv", "b,a,c\nz,3,0\n")
+    run(spark, tmp_path, (CSV,))
+    landing = str(tmp_path / "landing")
+    history = header_history(spark, landing, "sheets").orderBy("first_batch")
+    found = [(r["columns"], r.n_files, r.added, r.removed) for r in history.collect()]
+    assert found == [(["a", "b"], 2, [], []), (["b", "a", "c"], 1, ["c"], [])]
+    monkeypatch.setattr(ingest, "csv_paths_by_header", lambda spark, paths, **o: {} if not paths else 1 / 0)
+    assert landed(spark, tmp_path, CSV) == [("1", "x", "one.csv"), ("2", "y", "two.csv"), ("3", "z", "three.csv")]
+
+
+def test_batches_landed_without_a_registry_are_read(spark, tmp_path):
+    drop(tmp_path, CSV, "one.csv", "a,b\n1,x\n")
+    run(spark, tmp_path, (CSV,))
+    shutil.rmtree(tmp_path / "landing" / "_headers")
+    assert landed(spark, tmp_path, CSV) == [("1", "x", "one.csv")]
 
 
 def test_undeclared_fields_are_all_kept(spark, tmp_path):
