@@ -132,3 +132,31 @@ def rejected_counts(rules: Iterable[ColumnRule]) -> list[Column]:
             lost = quoted(RAW + rule.target).isNotNull() & quoted(rule.target).isNull()
             counts.append(F.count_if(lost).alias(f"rejected_{rule.target}"))
     return counts
+
+
+FAILED, RAW_TEXT = "_failed", "_raw"
+
+
+def apply_rules_with_failures(
+    df: DataFrame, rules: Iterable[ColumnRule], parent: str | None = None
+) -> DataFrame:
+    """``apply_rules``, with ``FAILED``, the targets whose raw text is there but cannot be read, and
+    ``RAW_TEXT``, the text of every rule's source where one of them failed (null elsewhere).
+
+    Names are collected beside the casts: each text is parsed once.
+    """
+    rules = list(rules)
+    source = lambda rule: rule.source(parent).cast("string")
+    both = df.select(
+        *[rule.column(parent) for rule in rules],
+        F.struct(*[source(rule).alias(rule.target) for rule in rules]).alias(RAW_TEXT),
+    )
+    raw = lambda rule: F.col(RAW_TEXT)[rule.target]
+    lost = [
+        F.when(raw(rule).isNotNull() & quoted(rule.target).isNull(), F.lit(rule.target))
+        for rule in rules
+        if rule.kind != "string"
+    ]
+    failed = F.array_compact(F.array(*lost)) if lost else F.array().cast("array<string>")
+    both = both.withColumn(FAILED, failed)
+    return both.withColumn(RAW_TEXT, F.when(F.size(FAILED) > 0, F.col(RAW_TEXT)))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import fill_zero, safe_ratio
+from ..session import materialise
 
 SALT, PARTS = "_salt", "_parts"
 
@@ -97,6 +98,36 @@ def heavy_keys(base: DataFrame, keys: Sequence[str], parts: int = 200) -> DataFr
     return sizes.filter(F.col("size") * parts > total).select(*keys, shares.alias("parts"))
 
 
+COPIES = "_copies"
+
+
+def unique_side(side: DataFrame, keys: Sequence[str], on_repeat: str = "refuse") -> tuple[DataFrame, DataFrame]:
+    """A side of a join with one row per key, and the keys that had more, with their counts.
+
+    One pass over the side: it is grouped by the keys, map-side first, with the count of its rows
+    and their least, and written; the join reads that table, already one row per key, and so does
+    whoever wants the list of ``(keys, n)``. A key that holds most rows is one row per task.
+    ``on_repeat="refuse"`` fails the write at the first repeated key and names it;
+    "first" takes the least row of each key. Rows with a null in a key are left out, as they join
+    with nothing.
+    """
+    if on_repeat not in ("refuse", "first"):
+        raise ValueError(f"unknown rule {on_repeat!r}")
+    known = side.filter(_all(F.col(k).isNotNull() for k in keys))
+    others = [c for c in side.columns if c not in keys]
+    least = F.min(F.struct(*others)) if others else F.lit(None)
+    grouped = known.groupBy(*keys).agg(F.count(F.lit(1)).alias(COPIES), least.alias("_least"))
+    if on_repeat == "refuse":
+        named = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys])
+        message = F.concat(F.lit(f"rows repeat key ({', '.join(keys)}) = ("), named, F.lit(")"))
+        checked = F.when(F.col(COPIES) > 1, F.raise_error(message).cast("bigint")).otherwise(F.col(COPIES))
+        grouped = grouped.withColumn(COPIES, checked)
+    written = materialise(grouped, "unique-side")
+    rows = written.select(*keys, *[F.col("_least")[c].alias(c) for c in others])
+    repeated = written.filter(F.col(COPIES) > 1).select(*keys, F.col(COPIES).alias("n"))
+    return rows.select(*side.columns), repeated
+
+
 def with_ratios(df: DataFrame, ratios: Mapping[str, tuple[str, str]]) -> DataFrame:
     """Add ``{alias: (numerator, denominator)}`` as null-safe double ratios."""
     return df.withColumns(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Mapping
 
@@ -19,7 +20,9 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from ..functions.cleaning import FAILED, RAW_TEXT
 from ..session import hadoop_path
+from ..sources.published import FILE_FORMATS, forget, new_folder, publish, resolve
 from ..sources.readers import OWN_CSV_WRITE, TEXT_OPTIONS, read_table
 
 RUNS_SCHEMA = StructType(
@@ -42,33 +45,50 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**TEXT_OPTIONS).json(path)
 
 
-FILE_FORMATS = ("parquet", "orc", "json")
-
-
-def write_table(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
+def write_table(df: DataFrame, path: str, fmt: str = "parquet", keep: int = 2, **options) -> None:
     """Replace a table, schema included.
 
-    Files are written to a folder beside the table, which takes its place by renaming when it
-    is complete: a write that fails leaves the former rows. Other formats, such as "delta"
-    (pass ``overwriteSchema=True``) or a database, replace in their own way.
+    Files are written to a folder of their own, then published as the table's next version by
+    one create: a write that fails at any step leaves the former rows, and readers who began with
+    them can go on. The last ``keep`` versions stay. Other formats, such as "delta" (pass
+    ``overwriteSchema=True``) or a database, replace in their own way.
     """
     if fmt not in FILE_FORMATS:
         df.write.format(fmt).mode("overwrite").options(**options).save(path)
         return
-    spark, mark = df.sparkSession, uuid.uuid4().hex
-    table, new, old = (hadoop_path(spark, p) for p in (path, f"{path}.new-{mark}", f"{path}.old-{mark}"))
-    store = table.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    try:
-        df.write.format(fmt).options(**options).save(f"{path}.new-{mark}")
-    except Exception:
-        store.delete(new, True)
-        raise
-    if store.exists(table) and not store.rename(table, old):
-        raise OSError(f"{path} cannot be moved away")
-    if not store.rename(new, table):
-        store.rename(old, table)
-        raise OSError(f"{path} cannot be replaced")
-    store.delete(old, True)
+    spark, folder = df.sparkSession, new_folder()
+    df.write.format(fmt).options(**options).save(f"{path}/{folder}")
+    publish(spark, path, fmt, df.schema, {"": folder})
+    forget(spark, path, keep)
+
+
+def write_split(df: DataFrame, path: str, fatal: Iterable[str] | None = None, keep: int = 2) -> None:
+    """Replace a table by the rows of ``df`` (from ``apply_rules_with_failures``) that have no failure,
+    or none among the ``fatal`` targets, and keep the others beside it with their raw text.
+
+    One write parts them. ``read_table`` gives the rows kept, ``read_rejected`` the others; both
+    belong to one version of the table.
+    """
+    spark, folder = df.sparkSession, new_folder()
+    reasons = F.col(FAILED) if fatal is None else F.array_intersect(FAILED, F.array(*map(F.lit, fatal)))
+    df.withColumn("_rejected", F.size(reasons) > 0).write.partitionBy("_rejected").parquet(f"{path}/{folder}")
+    kept = df.drop(FAILED, RAW_TEXT).schema
+    # Spark writes no folder for a side without rows.
+    sides = {"": f"{folder}/_rejected=false", "rejected": f"{folder}/_rejected=true"}
+    store = hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    there = {name: f for name, f in sides.items() if store.exists(hadoop_path(spark, f"{path}/{f}"))}
+    folders = {"": there[""]} if "" in there else {}
+    publish(spark, path, "parquet", kept, folders, {"rejected": there.get("rejected"), "schema": df.schema.json()})
+    forget(spark, path, keep)
+
+
+def read_rejected(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The rows that ``write_split`` did not keep, with ``FAILED`` and ``RAW_TEXT``."""
+    notes = resolve(spark, path, version).notes
+    schema = StructType.fromJson(json.loads(notes["schema"]))
+    if notes["rejected"] is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{notes['rejected']}")
 
 
 def write_formatted(

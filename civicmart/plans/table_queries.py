@@ -109,7 +109,7 @@ def left_chain_then_notnull(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_custkey").alias("custkey"), order_year().alias("year"), "o_orderstatus"
     )
-    with_lines = orders.join(order_lines(spark, sf_dir), "o_orderkey", "left")
+    with_lines = orders.join(order_lines(load(spark, sf_dir, "lineitem")), "o_orderkey", "left")
     # One pass over orders and lines gives every role; the sides read the written table.
     status = F.col("o_orderstatus")
     cells = materialise(
@@ -142,7 +142,7 @@ from orders left join (
 """)
 def left_join_keep_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J1 without the filter behind it: orders without lines stay, with nulls."""
-    lines = order_lines(spark, sf_dir).select(
+    lines = order_lines(load(spark, sf_dir, "lineitem")).select(
         "o_orderkey", F.col("lines").alias("n_lines"), "quantity"
     )
     return ops.left_chain(load(spark, sf_dir, "orders").select("o_orderkey"), [lines], ["o_orderkey"])

@@ -26,12 +26,11 @@ def cents(price: str) -> Column:
     return F.round(F.col(price) * 100).cast("bigint")
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(lineitem: DataFrame) -> DataFrame:
     """Per order: number of lines, quantity, returned quantity (null if none returned)."""
     returned = F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))
     return (
-        load(spark, sf_dir, "lineitem")
-        .groupBy(F.col("l_orderkey").alias("o_orderkey"))
+        lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
             F.count(F.lit(1)).alias("lines"),
             F.sum("l_quantity").alias("quantity"),
@@ -45,7 +44,12 @@ def customer_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     One scan of orders and one of line items serve every role of the mart.
     """
-    orders = load(spark, sf_dir, "orders").select(
+    return customer_year_sums(load(spark, sf_dir, "orders"), load(spark, sf_dir, "lineitem"))
+
+
+def customer_year_sums(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """``customer_years`` of these orders and line items; all its columns are sums."""
+    orders = orders.select(
         "o_orderkey",
         "o_custkey",
         order_year().alias("year"),
@@ -53,7 +57,7 @@ def customer_years(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").isin(*FINISHED).alias("is_finished"),
     )
     return (
-        orders.join(order_lines(spark, sf_dir), "o_orderkey", "left")
+        orders.join(order_lines(lineitem), "o_orderkey", "left")
         .groupBy("o_custkey", "year")
         .agg(
             F.count(F.lit(1)).alias("orders"),
@@ -68,10 +72,14 @@ def customer_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def customer_year_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``customer_years`` with the customer's area."""
+    return with_area(customer_years(spark, sf_dir), spark, sf_dir)
+
+
+def with_area(facts: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = load(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("area")
     )
-    return customer_years(spark, sf_dir).join(customers, "o_custkey")
+    return facts.join(customers, "o_custkey")
 
 
 def cells(facts: DataFrame) -> DataFrame:
@@ -104,7 +112,12 @@ def mart_inputs(
     The cells (years x areas) are written once and the roles read that small table;
     otherwise each role and the overall mean would repeat the scans behind it.
     """
-    cell_rows = materialise(cells(customer_year_facts(spark, sf_dir)), "cells")
+    return roles(customer_year_facts(spark, sf_dir))
+
+
+def roles(facts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """``mart_inputs`` of customer-year facts."""
+    cell_rows = materialise(cells(facts), "cells")
     with_lines = cell_rows.filter("lines > 0")
     income = cell_rows.select(
         "year", "area", "population", target_index(cell_rows).alias("target_index")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import apply_rules, apply_rules_beside_raw, rejected_counts
-from ..operators.features import drop_incomplete, heavy_keys
+from ..operators.features import drop_incomplete, heavy_keys, unique_side
 from ..operators.ingest import FORMATS, collect, read_landing
 from ..operators.regression import PARTITIONS, hash_split, measures, metric_sums
 from ..operators.search import SearchResult, SearchSpace, search
@@ -102,13 +102,19 @@ def format_stage(
 
 
 def transform_stage(
-    spark: SparkSession, zones: Zones, columns: MartColumns = MartColumns()
+    spark: SparkSession, zones: Zones, columns: MartColumns = MartColumns(), repeated_density: str = "keep"
 ) -> int:
-    """Rebuild the feature table; returns its row count, observed during the write."""
+    """Rebuild the feature table; returns its row count, observed during the write.
+
+    Density is joined row by row: a key it repeats gives as many rows ("keep"). With "refuse" such
+    a key fails the stage and is named, with "first" its least row is taken (``unique_side``).
+    """
     income, density, immigrants, unemployment = [
         read_table(spark, zones.table(name))
         for name in ("income", "density", "immigrants", "unemployment")
     ]
+    if repeated_density != "keep":
+        density, _ = unique_side(density, columns.keys, repeated_density)
     heavy = materialise(heavy_keys(income, columns.keys), "heavy")
     mart = build_mart(income, density, immigrants, unemployment, columns, heavy)
     counted = Observation("mart")

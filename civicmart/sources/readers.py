@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.cleaning import quoted
+from .published import FILE_FORMATS, resolve
 from .spec import text_fields
 
 log = logging.getLogger(__name__)
@@ -213,9 +214,16 @@ def read_json_leniently(
     return rows
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
-    """A formatted or mart table. Any installed connector works as ``fmt``: "delta" for a
-    path, "mongodb" with its ``database`` and ``collection`` options."""
+def read_table(
+    spark: SparkSession, path: str, fmt: str = "parquet", version: int | None = None, **options
+) -> DataFrame:
+    """A formatted or mart table, its latest published version or the one asked for. Any installed
+    connector works as ``fmt``: "delta" for a path, "mongodb" with its ``database`` and
+    ``collection`` options; a folder of files that was never published is read as it is."""
+    if fmt in FILE_FORMATS:
+        manifest = resolve(spark, path, version)
+        if manifest is not None:
+            return manifest.read(spark, path, **options)
     return spark.read.format(fmt).options(**options).load(path)
 
 
