@@ -146,24 +146,10 @@ def _bag_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, n, words, counts in text_slices(batch["text"]):
             hashes, per_text = shingle_hashes(words, counts)
             ends = np.cumsum(per_text)
-            data = [_bag_values(hashes[e - k : e], k).tobytes() for e, k in zip(ends, per_text)]
-            yield pa.RecordBatch.from_arrays([names.slice(row, n), pa.array(data, pa.binary())], names=["node", "bag"])
-
-
-def _overlaps(threshold: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch["a_bag"], batch["b_bag"]):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                small, large = (x, y) if len(x) <= len(y) else (y, x)
-                at = np.searchsorted(large, small)
-                both = int((large[np.minimum(at, len(large) - 1)] == small).sum()) if len(large) else 0
-                keep.append(both >= threshold * (len(x) + len(y) - both) - 1e-9)
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch["a"].filter(mask), batch["b"].filter(mask)], names=["a", "b"])
-
-    return run
+            data = [_bag_values(hashes[e - k : e], k) for e, k in zip(ends, per_text)]
+            values = np.concatenate(data).view(np.int64) if data else np.zeros(0, dtype=np.int64)
+            lists = pa.ListArray.from_arrays(pa.array([0, *ends.tolist()], pa.int32()), pa.array(values))
+            yield pa.RecordBatch.from_arrays([names.slice(row, n), lists], names=["node", "bag"])
 
 
 def _bags(rows: DataFrame, names: DataFrame) -> DataFrame:
@@ -171,18 +157,21 @@ def _bags(rows: DataFrame, names: DataFrame) -> DataFrame:
     names = checked_broadcast(names.select("node", F.col("copy_of").alias("of"), "least"))
     # Of equal texts those with the least id are read.
     same = (rows["copy_of"] == names["of"]) & rows["doc_id"].eqNullSafe(names["least"])
-    found = rows.join(names, same).select("node", "text").mapInArrow(_bag_rows, "node bigint, bag binary")
+    found = rows.join(names, same).select("node", "text").mapInArrow(_bag_rows, "node bigint, bag array<bigint>")
     return materialise(found.groupBy("node").agg(F.first("bag").alias("bag")), "bags")
 
 
 def _verified(bags_of: DataFrame, pairs: DataFrame, threshold: float) -> DataFrame:
-    """Those of the pairs (a, b) of representatives whose bags are similar enough, written."""
+    """Those of the pairs (a, b) of representatives whose bags are similar enough, written. A bag
+    has no value twice, so what two share is the size of their intersection; both stay in the JVM."""
     a = bags_of.select(F.col("node").alias("a"), F.col("bag").alias("a_bag"))
     b = bags_of.select(F.col("node").alias("b"), F.col("bag").alias("b_bag"))
-    sizes = F.length("a_bag"), F.length("b_bag")
+    sizes = F.size("a_bag"), F.size("b_bag")
     near = F.least(*sizes) >= threshold * F.greatest(*sizes) - 1e-9
-    both = pairs.join(a, "a").join(b, "b").filter(near).select("a", "b", "a_bag", "b_bag")
-    return materialise(both.mapInArrow(_overlaps(threshold), "a bigint, b bigint"), "links")
+    both = pairs.join(a, "a").join(b, "b").filter(near)
+    shared = F.size(F.array_intersect("a_bag", "b_bag"))
+    alike = shared >= threshold * (sizes[0] + sizes[1] - shared) - 1e-9
+    return materialise(both.filter(alike).select("a", "b"), "links")
 
 
 def _tile(threshold: float):
@@ -191,7 +180,7 @@ def _tile(threshold: float):
     def run(table: pa.Table) -> pa.Table:
         names, block, component = (table[c].to_pylist() for c in ("rep", "block", "component"))
         order = sorted(range(len(names)), key=lambda i: (block[i], names[i]))
-        bags_of = [np.frombuffer(table["bag"][i].as_buffer(), np.uint64) for i in order]
+        bags_of = [table["bag"][i].values.to_numpy().view(np.uint64) for i in order]
         names, block, component = ([column[i] for i in order] for column in (names, block, component))
         low, high = table["low"][0].as_py(), table["high"][0].as_py()
         root: dict[int, int] = {}
@@ -239,12 +228,18 @@ def _tile(threshold: float):
 
 def _tile_links(members: DataFrame, bags_of: DataFrame, threshold: float) -> DataFrame:
     """Links among ``members`` (key, rep, component), the buckets that leaders left open."""
+    # Members are dealt by the sizes of their bags, and the bags join them in their tiles: neither a
+    # large bucket's members nor their bags come together under its key.
+    sizes = bags_of.select(F.col("node").alias("of"), (8 * F.size("bag")).alias("bytes"))
+    slim = members.join(sizes, members["rep"] == sizes["of"]).drop("of")
+    blocks = slim.groupBy("key").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
+    blocks = materialise(blocks.filter("blocks > 1").withColumnRenamed("key", "large"), "large-buckets")
+    dealt = members.join(blocks, members["key"] == blocks["large"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    tiles = dealt.select("key", "rep", "component", "block", other)
     bags_of = bags_of.withColumnRenamed("node", "of")
-    members = members.join(bags_of, members["rep"] == bags_of["of"]).drop("of")
-    blocks = members.groupBy("key").agg(F.ceil(F.sum(F.length("bag")) / BLOCK_BYTES).cast("int").alias("blocks"))
-    dealt = members.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("rep"), F.greatest("blocks", F.lit(1))).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1)).alias("other")
-    tiles = dealt.select("key", "rep", "component", "bag", "block", other)
+    tiles = tiles.join(bags_of, tiles["rep"] == bags_of["of"]).drop("of")
     tiles = tiles.select("*", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
     found = tiles.drop("other").groupBy("key", "low", "high").applyInArrow(_tile(threshold), "a bigint, b bigint")
     return materialise(found, "tile-links")

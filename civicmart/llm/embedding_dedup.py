@@ -13,10 +13,10 @@ size, and each pair of blocks is one task's tile. A tile does not give its pairs
 the number of linked vectors, and a forest that spans its links; components follow from those.
 
 Defined results. Vectors that are null, empty, zero or hold null or non-finite components, and
-those without a label, link with nothing. Vectors of different lengths don't link. Rows equal in
-``vec_id``, label and vector count once; a ``vec_id`` with several different rows keeps the
-smallest. Rows with a null ``vec_id`` are not vectors anybody can name and give no row. Other columns
-are ignored; an empty table gives no rows.
+those without a label, link with nothing. Vectors of different lengths don't link. Every row is a
+vector of its own, whether its ``vec_id`` is reused or null. A component is named by the least id in
+it, null if no row has one, and rows with that id are kept. Other columns are ignored; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -85,6 +85,8 @@ def _tile(threshold: float):
         block, of, copies = block[order], of[order], table["copies"].to_numpy()[order]
         flat = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
         vectors = flat.reshape(len(of), -1).astype(np.float64)[order]
+        # By a power of two, so that no square overflows or vanishes and no digit is lost.
+        vectors = np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1))[1][:, None])
         low, high = table["low"][0].as_py(), table["high"][0].as_py()
         a = np.flatnonzero(block == low)
         b = np.flatnonzero(block == high)
@@ -121,15 +123,17 @@ def _tile(threshold: float):
 
 
 def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, block: int = BLOCK) -> DataFrame:
-    """A row per vector: (vec_id, n_links, component_id, kept)."""
+    """A row per row of ``embeddings``: (vec_id, n_links, component_id, kept)."""
     vector = F.col("embedding").cast("array<double>")
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     usable = F.col("label").isNotNull() & (F.size(vector) > 0) & ~bad & F.exists(vector, lambda x: x != 0)
-    rows = embeddings.filter("vec_id is not null").groupBy(F.col("vec_id").cast("bigint").alias("vec_id"))
-    one = rows.agg(F.min(F.struct("label", "embedding")).alias("row")).select("vec_id", "row.*")
-    one = materialise(one.withColumn("usable", F.coalesce(usable, F.lit(False))), "vectors")
+    rows = embeddings.select(F.col("vec_id").cast("bigint").alias("vec_id"), "label", "embedding")
+    one = rows.withColumn("usable", F.coalesce(usable, F.lit(False)))
+    one = materialise(one.withColumn("node", F.monotonically_increasing_id()), "vectors")
+    # Equal vectors of a label are one class, whatever their ids.
     group = ["label", F.col("embedding").alias("vector")]
-    classes = one.filter("usable").groupBy(*group).agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    least = F.min("vec_id").alias("least")
+    classes = one.filter("usable").groupBy(*group).agg(F.min("node").alias("rep"), least, F.count(F.lit(1)).alias("copies"))
     classes = classes.withColumn("dim", F.size("vector"))
     classes = materialise(classes, "vector-classes")
     # Blocks per label and dimension; hashing keeps each near its bound however the ids run.
@@ -145,20 +149,25 @@ def near_vectors(embeddings: DataFrame, threshold: float = THRESHOLD, block: int
     found = materialise(found, "tile-links")
     links = found.filter("b is null").groupBy("a").agg(F.sum("n").alias("links"))
     roots = components(found.filter("b is not null").select("a", "b"))
-    summed = classes.select("label", "vector", "rep", "copies")
+    # A component is named by the least id in it.
+    placed = classes.join(roots, classes["rep"] == roots["node"])
+    names = placed.groupBy("component").agg(F.min("least").alias("name"))
+    roots = materialise(roots.join(names, "component").select("node", F.col("name").alias("component"), F.lit(True).alias("linked")), "component-names")
+    summed = classes.select("label", "vector", "rep", "least", "copies")
     summed = summed.join(links, summed["rep"] == links["a"], "left").join(roots, summed["rep"] == roots["node"], "left")
     summed = summed.select(
         F.col("label").alias("of_label"),
         "vector",
         (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links"),
-        F.coalesce("component", "rep").alias("component"),
+        F.when(F.col("linked"), F.col("component")).otherwise(F.col("least")).alias("component"),
+        F.lit(True).alias("in_class"),
     )
     summed = materialise(summed, "vector-components")
     member = one["usable"] & (one["label"] == summed["of_label"]) & (one["embedding"] == summed["vector"])
-    component = F.coalesce("component", "vec_id")
+    component = F.when(F.col("in_class"), F.col("component")).otherwise(F.col("vec_id"))
     return one.join(summed, member, "left").select(
         "vec_id",
         F.coalesce("links", F.lit(0)).cast("bigint").alias("n_links"),
         component.alias("component_id"),
-        (F.col("vec_id") == component).alias("kept"),
+        F.col("vec_id").eqNullSafe(component).alias("kept"),
     )

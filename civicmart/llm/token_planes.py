@@ -18,6 +18,7 @@ are ignored.
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
@@ -36,8 +37,9 @@ BLOCK = 1 << 16
 # Ids after which a chunk is closed: its documents are some 1 MB of text.
 CHUNK = 1 << 18
 LEVEL = 3
-# Parts of texts whose ids a worker keeps: some 200 bytes each. When full, it starts anew.
-KEPT = 1_000_000
+# Bytes of parts and their ids that a worker keeps, with what Python needs around them. When full,
+# it starts anew. Longer parts are rarely seen again and not kept.
+KEPT, AROUND, LONGEST = 96_000_000, 170, 48
 
 FILE_SCHEMA = (
     "part int, chunk int, n_docs int, n_ids bigint, bits int, block int, "
@@ -60,8 +62,9 @@ class Encoder:
     are kept once they are known. Texts of printable ASCII, accented Latin-1 letters and white
     space are cut as the tokenizer's own pattern would; in others, words of other characters
     are a part as they stand. The tokenizer must mark word ends in its vocabulary: so the ids of
-    many new parts, encoded in one call, can be told apart. ``check`` compares with encoding a
-    text at once.
+    many new parts, encoded in one call, can be told apart. A tokenizer whose file says that it
+    normalises or cuts texts in another way encodes whole texts. ``check`` compares with encoding
+    a text at once.
     """
 
     SPACES = str.maketrans("\n\r\t", "   ")
@@ -73,14 +76,31 @@ class Encoder:
     # Where signs stand alone, spaces around them cut as the pattern does, only faster.
     RUN = re.compile(r"'|[!-/:-@\[-`{-~]{2}")
     WORD_END = "</w>"
+    # What a tokenizer file has to say for its texts to be cut so.
+    CUT = r"""'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"""
 
     def __init__(self, path: str) -> None:
         self.tokenizer = _tokenizer(path)
+        self.by_parts = self._cuts_so(json.loads(self.tokenizer.to_str()))
         self.known: dict[str, bytes] = {}
+        self.held = 0
         ends = [i for word, i in self.tokenizer.get_vocab().items() if word.endswith(self.WORD_END)]
         self.ends = np.array(sorted(ends), dtype="<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
+    def _cuts_so(self, file: dict) -> bool:
+        steps = lambda part, name: (part or {}).get(name, [part])
+        normal = steps(file["normalizer"], "normalizers")
+        # Composition, white space to one space, lower case.
+        spaces = [(s["pattern"].get("Regex"), s["content"]) for s in normal if s and s["type"] == "Replace"]
+        if [s and s["type"] for s in normal] != ["NFC", "Replace", "Lowercase"] or spaces != [(r"\s+", " ")]:
+            return False
+        cuts = steps(file["pre_tokenizer"], "pretokenizers")
+        if [c and c["type"] for c in cuts] != ["Split", "ByteLevel"] or cuts[1].get("add_prefix_space"):
+            return False
+        pattern = cuts[0]["pattern"].get("Regex") == self.CUT and cuts[0]["invert"] and cuts[0]["behavior"] == "Removed"
+        return pattern and file["model"]["type"] == "BPE" and file["model"].get("end_of_word_suffix") == self.WORD_END
+
     def parts(self, text: str) -> list[str]:
         if not self.PLAIN.fullmatch(text) or "<" in text and any(s in text for s in self.special):
             found = []
@@ -116,23 +136,37 @@ class Encoder:
                 self.known.update(zip(some, self._direct(some)))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        if not self.by_parts:
+            return [np.frombuffer(ids, dtype="<u4") for ids in self._direct(texts)]
         cut = [self.parts(text) for text in texts]
         here = set()
         for parts in cut:
             here.update(parts)
+        long = [part for part in here if len(part) > LONGEST]
+        here.difference_update(long)
+        if self.held > KEPT:
+            self.known, self.held = {}, 0
         new = here.difference(self.known)
         if new:
-            if len(self.known) + len(new) > KEPT:
-                self.known, new = {}, here
             self._learn(list(new))
-        known = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(known, parts)), dtype="<u4") for parts in cut]
+            self.held += sum(AROUND + len(part) + len(self.known[part]) for part in new)
+        known = self.known
+        if long:
+            known = dict(zip(long, self._direct(long)))
+            known.update((part, self.known[part]) for part in here)
+        return [np.frombuffer(b"".join(map(known.__getitem__, parts)), dtype="<u4") for parts in cut]
 
     def check(self, text: str) -> bool:
         whole = self.tokenizer.encode(text, add_special_tokens=False).ids
         return whole == self.encode([text])[0].tolist()
 
 
+@lru_cache(maxsize=2)
+def _encoder(path: str) -> Encoder:
+    """One for all tasks of a worker process, so that what it has learned is used again."""
+    return Encoder(path)
+
+
 def to_planes(ids: np.ndarray, bits: int, block: int = BLOCK) -> list[bytes]:
     """``bits`` compressed planes per block, lowest bit first."""
     packer, planes = zstandard.ZstdCompressor(level=LEVEL), []
@@ -155,7 +189,7 @@ def from_planes(planes: list[bytes], n: int, bits: int, block: int = BLOCK) -> n
 
 def _writer(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, chunk = Encoder(path), TaskContext.get().partitionId(), 0
+        encoder, part, chunk = _encoder(path), TaskContext.get().partitionId(), 0
         doc_ids: list = []
         ids: list[np.ndarray] = []
         held, end = 0, np.array([end_id], dtype="<u4")

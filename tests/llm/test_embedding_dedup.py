@@ -14,26 +14,31 @@ def table(spark, vectors):
 
 
 def brute(vectors):
-    """Over distinct rows with one vec_id each."""
+    """Every row is a vector of its own."""
     good = {}
-    for i, v, label in vectors:
-        a = None if v is None or any(x is None for x in v) else np.array(v, dtype=np.float32).astype(float)
+    for n, (_, v, label) in enumerate(vectors):
+        a = None if v is None or any(x is None for x in v) else np.array(v, dtype=float)
         if label is not None and a is not None and len(a) and np.isfinite(a).all() and a.any():
-            good[i] = (label, a)
-    links = {i: set() for i, _, _ in vectors}
+            good[n] = (label, a / np.abs(a).max())
+    links = {n: set() for n in range(len(vectors))}
     for i, (p, a) in good.items():
         for j, (q, b) in good.items():
             if i != j and p == q and len(a) == len(b) and a @ b / np.sqrt((a @ a) * (b @ b)) >= 0.98:
                 links[i].add(j)
-    root = {}
-    for i in sorted(links):
-        todo = [i] if i not in root else []
+    name = {}
+    for i in links:
+        if i in name:
+            continue
+        seen, todo = set(), [i]
         while todo:
             x = todo.pop()
-            if x not in root:
-                root[x] = i
+            if x not in seen:
+                seen.add(x)
                 todo += links[x]
-    return sorted(((i, len(links[i]), root[i], root[i] == i) for i in links), key=repr)
+        least = min((vectors[x][0] for x in seen), key=lambda v: (v is None, v or 0))
+        name.update(dict.fromkeys(seen, least))
+    out = [(vectors[n][0], len(links[n]), name[n], vectors[n][0] == name[n]) for n in links]
+    return sorted(out, key=repr)
 
 
 def cloud(seed, n, dim=24):
@@ -72,8 +77,16 @@ def test_awkward_vectors(spark):
         (14, [1e30 * x for x in base], 1),
     ]
     assert rows(ed.near_vectors(table(spark, vectors))) == brute(vectors)
-    again = table(spark, [*vectors, *vectors[:3], (None, base, 1)])
-    assert rows(ed.near_vectors(again)) == brute(vectors)
+    # Reused and missing ids are vectors of their own.
+    again = [*vectors, *vectors[:3], (None, base, 1), (None, [1.0, -1.0], 1), (None, None, 1), (1, [1.0, -1.0], 1), (20, base, 2), (4, [5.0], 2)]
+    assert rows(ed.near_vectors(table(spark, again))) == brute(again)
+
+
+def test_large_and_tiny_components_neither_overflow_nor_vanish(spark):
+    vectors = [(1, [1e200, 0.0], 1), (2, [2e200, 0.0], 1), (3, [1e-200, 1e-201], 1), (4, [1e-200, 0.0], 1), (5, [0.0, 1e-300], 1)]
+    df = spark.createDataFrame(vectors, "vec_id bigint, embedding array<double>, label int")
+    assert rows(ed.near_vectors(df)) == brute(vectors)
+    assert [r.n_links for r in ed.near_vectors(df).orderBy("vec_id").collect()] == [3, 3, 3, 3, 0]
 
 
 def test_large_class_of_copies_and_a_chain(spark):

@@ -26,7 +26,7 @@ def test_parts_encode_as_whole_texts(encoder):
 
 
 def test_a_full_table_starts_anew(monkeypatch):
-    monkeypatch.setattr(tp, "KEPT", 50)
+    monkeypatch.setattr(tp, "KEPT", 10_000)
     encoder = tp.Encoder(PATH)
     for k in range(40):
         assert encoder.check(" ".join(f"word{i}" for i in range(k, k + 20)))
