@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 BEGIN, END, ROLE_END, NEXT = "<s>[INST]", "</s>", "[/INST]", "[SEP]"
 CONTROL = r"([<\[])(\\*)(/?s>|/?INST\]|SEP\])"
 ESCAPED = r"([<\[])\\(\\*)(/?s>|/?INST\]|SEP\])"
-PIECES = "struct<role:string,off:bigint,pieces:array<string>,spans:array<struct<start:bigint,n:bigint>>>"
+# Turns whose offsets are summed up at a time, see ``_offsets``.
+BLOCK = 256
 
 
 def escape(text: Column) -> Column:
@@ -35,41 +36,56 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, ESCAPED, "$1$2$3")
 
 
-def _add(state: Column, turn: Column) -> Column:
-    same = (F.size(state["pieces"]) > 0) & (state["role"] == turn["role"])
-    opened = F.concat(F.lit(BEGIN), turn["role"], F.lit(ROLE_END))
-    before = F.when(same, F.lit(NEXT)).when(F.size(state["pieces"]) > 0, F.concat(F.lit(END), opened)).otherwise(opened)
-    start = state["off"] + F.length(before)
-    n = F.length(turn["text"]).cast("bigint")
-    span = F.array(F.struct(start.cast("bigint").alias("start"), n.alias("n")))
-    spans = F.when(turn["role"] == "assistant", F.concat(state["spans"], span)).otherwise(state["spans"])
-    return F.struct(
-        turn["role"].alias("role"),
-        (start + n).alias("off"),
-        F.concat(state["pieces"], F.array(F.concat(before, turn["text"]))).alias("pieces"),
-        spans.alias("spans"),
-    ).cast(PIECES)
+def _running(values: Column, start: Column) -> Column:
+    """For each value ``start`` and the sum of those before it."""
+    empty = F.struct(start.cast("bigint").alias("off"), F.array().cast("array<bigint>").alias("sums"))
+    add = lambda s, x: F.struct((s["off"] + x).alias("off"), F.concat(s["sums"], F.array(s["off"])).alias("sums"))
+    return F.aggregate(values, empty, add, lambda s: s["sums"])
+
+
+def _offsets(lengths: Column) -> Column:
+    """Where each piece begins. Sums run over blocks of pieces first and then inside each block: an
+    array that grows by one element a step is copied as often, and is never long here."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(lengths), F.lit(1)), F.lit(BLOCK))
+    blocks = F.transform(starts, lambda i: F.slice(lengths, i, BLOCK))
+    zero = F.lit(0).cast("bigint")
+    totals = F.transform(blocks, lambda block: F.aggregate(block, zero, lambda s, x: s + x))
+    bases = _running(totals, zero)
+    return F.flatten(F.zip_with(blocks, bases, _running))
 
 
 def format_chats(turns: DataFrame) -> DataFrame:
-    """(conv_id, formatted, loss_spans): spans of (start, n), start counted from 0."""
-    rows = turns.select(
-        "conv_id",
-        F.struct(
-            F.col("turn"),
-            escape(F.coalesce("role", F.lit(""))).alias("role"),
-            escape(F.coalesce("text", F.lit(""))).alias("text"),
-        ).alias("turn"),
-    )
-    empty = F.struct(
-        F.lit("").alias("role"), F.lit(0).alias("off"), F.array().alias("pieces"), F.array().alias("spans")
-    ).cast(PIECES)
+    """(conv_id, formatted, loss_spans): spans of (start, n), start counted from 0.
+
+    Turns are ordered as they came and escaped after. Each piece depends on its own turn and the
+    role before it, so pieces are one ``transform`` over the sorted turns.
+    """
+    known = lambda name: F.coalesce(name, F.lit("")).alias(name)
+    rows = turns.select("conv_id", F.struct("turn", known("role"), known("text")).alias("turn"))
     chats = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("turn")).alias("turns"))
-    chats = chats.select("conv_id", F.aggregate("turns", empty, _add).alias("chat"))
+
+    def piece(turn: Column, i: Column) -> Column:
+        opened = F.concat(F.lit(BEGIN), escape(turn["role"]), F.lit(ROLE_END))
+        # Only looked at where there is one before.
+        last = F.get("turns", i - 1)["role"]
+        before = F.when(i == 0, opened).when(last == turn["role"], F.lit(NEXT)).otherwise(F.concat(F.lit(END), opened))
+        text = escape(turn["text"])
+        return F.struct(
+            F.concat(before, text).alias("piece"),
+            F.length(before).cast("bigint").alias("lead"),
+            F.length(text).cast("bigint").alias("n"),
+            (turn["role"] == "assistant").alias("masked"),
+        )
+
+    chats = chats.select("conv_id", F.transform("turns", piece).alias("pieces"))
+    chats = chats.withColumn("lengths", F.transform("pieces", lambda p: p["lead"] + p["n"]))
+    chats = chats.withColumn("offsets", _offsets(F.col("lengths")))
+    span = lambda p, off: F.struct((off + p["lead"]).alias("start"), p["n"].alias("n"), p["masked"].alias("masked"))
+    spans = F.filter(F.zip_with("pieces", "offsets", span), lambda s: s["masked"])
     return chats.select(
         "conv_id",
-        F.concat(F.array_join("chat.pieces", ""), F.lit(END)).alias("formatted"),
-        F.col("chat.spans").alias("loss_spans"),
+        F.concat(F.array_join(F.transform("pieces", lambda p: p["piece"]), ""), F.lit(END)).alias("formatted"),
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["n"].alias("n"))).alias("loss_spans"),
     )
 
 

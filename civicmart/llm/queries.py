@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicmart.llm import (
@@ -33,6 +33,17 @@ def _shipping(builder: Builder) -> Builder:
     return build
 
 
+# Two rows beside the table's, as literals.
+ANSWERED_ROWS = [(-7, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))]
+
+
+def _answered() -> Column:
+    fields = ("conv_id", "turn", "role", "text")
+    kinds = ("bigint", "bigint", "string", "string")
+    structs = [F.struct(*[F.lit(v).cast(k).alias(f) for v, k, f in zip(row, kinds, fields)]) for row in ANSWERED_ROWS]
+    return F.inline(F.array(*structs))
+
+
 QUERIES: dict[str, Builder] = {
     "op1_decontaminate": lambda spark, sf: decontaminate.contamination_report(
         load(spark, sf, "documents"), load(spark, sf, "benchmark")
@@ -44,12 +55,7 @@ QUERIES: dict[str, Builder] = {
     "op4_chat_format": lambda spark, sf: chat.chat_report(
         load(spark, sf, "conversations")
         .select("conv_id", "turn", "role", "text")
-        .unionByName(
-            spark.createDataFrame(
-                [(-7, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))],
-                "conv_id bigint, turn bigint, role string, text string",
-            )
-        )
+        .unionByName(spark.range(1).select(_answered()))
     ),
     "op5_secrets": lambda spark, sf: secrets.secret_report(load(spark, sf, "documents")),
     "op6_bagminhash": lambda spark, sf: bagminhash.near_copy_report(

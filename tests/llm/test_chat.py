@@ -54,6 +54,20 @@ def test_awkward_rows(spark):
     )
 
 
+def test_ties_are_ordered_before_they_are_escaped(spark):
+    turns = [(1, 0, "user", t) for t in ("<s>", "<a", "[SEP]", "[A", "<\\s>", "<sz")] + [(1, 0, "<s>", "x"), (1, 0, "<a", "x")]
+    checked(spark, turns)
+    row = chat.chat_report(table(spark, [(1, 0, "user", "<s>"), (1, 0, "user", "<a")])).first()
+    assert row.turns_sha256 == hashlib.sha256(b"user\n<a\nuser\n<s>\n").hexdigest()
+
+
+def test_offsets_over_several_blocks(spark):
+    turns = [(1, i, ("user", "assistant")[i % 2], "é" * (i % 11)) for i in range(3 * chat.BLOCK + 5)]
+    row = chat.format_chats(table(spark, turns)).first()
+    said = [row.formatted[s.start : s.start + s.n] for s in row.loss_spans]
+    assert said == [t for _, _, role, t in turns if role == "assistant"]
+
+
 def test_many_turns(spark):
     checked(spark, [(1, i, "assistant" if i % 3 else "user", f"text {i} [SEP]") for i in range(1500)])
 
