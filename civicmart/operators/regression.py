@@ -17,10 +17,6 @@ from ..functions.keys import hash_bucket
 UNSCALED, FEATURES, PREDICTION = "unscaled_features", "features", "prediction"
 MODEL_SEED = 42
 
-# Parts that training rows are dealt into, unless the caller says otherwise.
-PARTITIONS = 8
-
-
 def hash_split(
     df: DataFrame, keys: Sequence[str], tenths: int, salt: str | int
 ) -> tuple[DataFrame, DataFrame]:
@@ -37,15 +33,17 @@ def in_first_part(df: DataFrame, keys: Sequence[str], tenths: int, salt: str | i
     return hash_bucket(df, keys, 10, salt) < tenths
 
 
-def dealt_rows(df: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
+def dealt_rows(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """The rows of ``df`` in a layout that follows from their values alone.
 
     Tree building samples by part and order, so the same rows must lie in the same parts in the
     same order on every cluster. Equal rows are counted first, on the map side, and told apart
     by a running number: a row repeated without end is dealt over all parts like any other.
     ``partitions`` is the parallelism of every pass of a fit and part of a model's definition;
-    give it a few times the cores that large training data should use.
+    without it, the session's ``spark.sql.shuffle.partitions``, which a cluster sets to a few
+    times the cores that its shuffles should use.
     """
+    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = list(df.columns)
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     copies = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))

@@ -7,14 +7,16 @@ import random
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import ExitStack
 from dataclasses import dataclass, field
+from functools import cache
+from threading import Lock
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 
 from ..session import in_parallel
+from .linear_path import Moments, elastic_net, linear_rmse, moments
 from .regression import (
     FEATURES,
-    PARTITIONS,
     dealt_rows,
     feature_stages,
     hash_split,
@@ -73,7 +75,7 @@ def search(
     trials: int = 20,
     seed: int = 42,
     parallelism: int = 4,
-    partitions: int = PARTITIONS,
+    partitions: int | None = None,
     log: Callable[[int, Mapping[str, object], float | None], None] | None = None,
 ) -> SearchResult:
     """Fit ``trials`` parameter sets on 70 % of ``train``, keep the lowest RMSE on the
@@ -83,7 +85,8 @@ def search(
     it: the assembler and scaler run once, and the trials read label and feature vector
     only, from executor storage that spills to disk. ``parallelism`` trials submit their
     jobs at the same time, so the tail of one fit does not leave the cluster idle.
-    ``log`` is called with each trial as it ends, from the thread that ran it. A trial whose
+    Linear trials have no job of their own: two aggregates, made when the first comes up, serve
+    them all (``linear_path``). ``log`` is called with each trial as it ends, from the thread that ran it. A trial whose
     error is not a finite number cannot win.
     """
     fit_part, check_part = hash_split(train, keys, 7, "validation")
@@ -95,10 +98,23 @@ def search(
             for rows in (dealt_rows(fit_part.select(label, *features), partitions), check_part)
         ]
 
+        # Penalties are on features at unit deviation, so the scaler's part is no different here.
+        one_at_a_time = Lock()
+
+        @cache
+        def linear_moments() -> tuple[Moments, Moments]:
+            return tuple(moments(part.select(label, *features), features, label) for part in (fit_part, check_part))
+
         def attempt(numbered: tuple[int, Mapping[str, object]]) -> float | None:
             trial, params = numbered
-            model = make_model(params, label).fit(fit_rows)
-            rmse = regression_metrics(model.transform(check_rows), label).first()["rmse"]
+            if params["model_type"] == "lr":
+                with one_at_a_time:
+                    learned, checked = linear_moments()
+                fit = elastic_net(learned, params["lr_regParam"], params["lr_elasticNetParam"])
+                rmse = linear_rmse(checked, fit)
+            else:
+                model = make_model(params, label).fit(fit_rows)
+                rmse = regression_metrics(model.transform(check_rows), label).first()["rmse"]
             if log is not None:
                 log(trial, params, rmse)
             return rmse

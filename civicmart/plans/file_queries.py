@@ -18,7 +18,8 @@ from ..operators.features import heavy_keys, left_chain, present
 from ..operators.ingest import batch_path, collect, read_landing, write_batch
 from ..operators.sinks import write_csv, write_formatted, write_json, write_table
 from ..session import in_parallel, materialise, scratch_path
-from ..sources.catalog import DENSITY, IMMIGRANTS, INCOME, UNEMPLOYMENT
+from ..sources.documents import read_records
+from ..sources.catalog import DENSITY, IMMIGRANTS, INCOME, LOOKUP_TABLES, UNEMPLOYMENT
 from ..sources.readers import (
     explode_records,
     read_json_documents,
@@ -31,6 +32,7 @@ from ..sources.readers import (
 from ..sources.spec import SourceSpec, text_fields
 from ..streaming import collect_stream
 from .mart import build_mart
+from .raw_files import publish
 from .registry import load, query
 from .table_queries import MART_SQL, TRADE_COLUMNS
 from .trade import cells, customer_year_facts, mart_inputs, target_index
@@ -85,6 +87,25 @@ def exploded_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(explode_records(lines, "result.records"), RECORD_RULES, "record")
 
 
+def record_of(kind: Column, amount: Column) -> Column:
+    return F.struct(F.col("event_id").cast("string").alias("event_id"), kind.alias("kind"), amount.cast("string").alias("amount"))
+
+
+# Opens the array of a document and is no event.
+FIRST_RECORD = -1
+
+
+def write_document(spark: SparkSession, lines: DataFrame, path: str) -> None:
+    """One file with one document whose array holds the lines. One task writes it, line by line, as
+    a portal's export would."""
+    head = f'{{"success": true, "result": {{"records": [{{"event_id": "{FIRST_RECORD}"}}'
+    ends = [spark.range(1).select(F.lit(text).alias("line")) for text in (head, '], "total": 0}}')]
+    middle = lines.select(F.concat(F.lit(","), "line").alias("line"))
+    parts = [rows.withColumn("part", F.lit(i)) for i, rows in enumerate((ends[0], middle, ends[1]))]
+    ordered = parts[0].unionByName(parts[1]).unionByName(parts[2]).coalesce(1).sortWithinPartitions("part")
+    ordered.select("line").write.text(path)
+
+
 # Events of a scan task per document.
 DOCUMENT_ROWS = 10_000
 
@@ -130,6 +151,21 @@ def skip_error_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_rules(rows, RECORD_RULES, "record")
 
 
+@query("""
+select cast(event_id as int) as event_id, event_type as kind, value as amount from events
+""")
+def split_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document with all events in its array, in one file, read by as many tasks as the
+    file has shares."""
+    events = load(spark, sf_dir, "events")
+    kind = F.coalesce("event_type", F.lit("none"))
+    lines = events.select(F.to_json(record_of(kind, F.col("value"))).alias("line"))
+    path = scratch_path(spark, "document")
+    write_document(spark, lines, path)
+    rows = read_records(spark, path, RECORD_FIELDS, cut="}\n,").filter(F.col("event_id") != FIRST_RECORD)
+    return apply_rules(rows, RECORD_RULES)
+
+
 @query("""
 with named as (
   select event_id, event_type, value,
@@ -343,11 +379,11 @@ def text(value: Column, missing: str) -> Column:
 
 
 def write_raw_files(spark: SparkSession, sf_dir: str, source: str) -> None:
-    """The four raw categories, in the portal's formats, from orders and line items.
+    """The five raw categories, in the portal's formats, from orders and line items.
 
     Income and density come per year and area. Immigrants and unemployment come per
     customer and year, the second as envelopes in both spellings with error envelopes
-    among them.
+    among them. The lookup has two files, of which one is used.
     """
     facts = materialise(customer_year_facts(spark, sf_dir), "facts")
     cell_rows = materialise(cells(facts), "cells")
@@ -417,7 +453,20 @@ def write_raw_files(spark: SparkSession, sf_dir: str, source: str) -> None:
     bad = cell_rows.select(F.struct(F.lit("Not found").alias("message")).alias("error"))
     unemployment = good.unionByName(bad, allowMissingColumns=True)
 
+    names = places.select(
+        F.col("Nom_Districte").alias("district"),
+        F.col("Nom_Barri").alias("neighborhood"),
+        *[F.col("Nom_Districte").alias(c) for c in ("district_n_reconciled", "district_n")],
+        F.col("Codi_Districte").alias("district_id"),
+        *[F.col("Nom_Barri").alias(c) for c in ("neighborhood_n_reconciled", "neighborhood_n")],
+        F.col("Codi_Barri").alias("neighborhood_id"),
+    )
+    lookup = f"{source}/{LOOKUP_TABLES.category}"
+    used, unused = LOOKUP_TABLES.only_file.removesuffix(".csv"), "other_extended"
+
     writes = [
+        lambda: publish(spark, names.coalesce(1), lookup, used, ".csv", "csv", numbered=False),
+        lambda: publish(spark, names.coalesce(1), lookup, unused, ".csv", "csv", numbered=False),
         lambda: raw_income.write.csv(f"{source}/income", header=True),
         lambda: density.write.json(f"{source}/density"),
         lambda: immigrants.write.json(f"{source}/immigrants"),
@@ -432,6 +481,7 @@ LINE_SPECS = (
     replace(DENSITY, multi_line=False),
     replace(IMMIGRANTS, multi_line=False),
     replace(UNEMPLOYMENT, multi_line=False),
+    LOOKUP_TABLES,
 )
 
 
@@ -459,18 +509,21 @@ select "year", area as neighborhood_code, n_regionkey as district_code,
        concat(r_name, ' ', n_regionkey) as district_name, cast(population as int) as population,
        (sc / n) / (tc / tn) * 100 as "RDF_index", density, net_density, total_immigrants,
        total_unemployed, total_immigrants / nullif(population, 0) as ratio_immigrants,
-       total_unemployed / nullif(population, 0) as ratio_unemployed
+       total_unemployed / nullif(population, 0) as ratio_unemployed, n_name as neighborhood_name
 from base cross join t join mid using ("year", area) join ret using ("year", area)
      join un using ("year", area) join nation on area = n_nationkey
      join region on n_regionkey = r_regionkey
 where sc is not null and net_density is not null
 """)
 def zones_end_to_end(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stages 1-3: raw files with sentinels, drift and error envelopes to the mart."""
+    """Stages 1-3: raw files with sentinels, drift and error envelopes to the mart, and the names that
+    the lookup has for its areas."""
     root = scratch_path(spark, "zones")
     zones = Zones(f"{root}/raw", f"{root}/landing", f"{root}/formatted", f"{root}/exploitation")
     write_raw_files(spark, sf_dir, zones.source)
     collect_stage(spark, zones, LINE_SPECS)
     format_stage(spark, zones, LINE_SPECS)
     transform_stage(spark, zones)
-    return read_table(spark, zones.mart)
+    lookup = read_table(spark, zones.table(LOOKUP_TABLES.table))
+    names = lookup.select(F.col("neighborhood_id").cast("int").alias("neighborhood_code"), "neighborhood_name")
+    return read_table(spark, zones.mart).join(names, "neighborhood_code")

@@ -6,15 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.cleaning import FAILED, RAW_TEXT, ColumnRule, apply_rules_with_failures
+from ..functions.names import reconcile
 from ..operators import features as ops
 from ..operators.incremental import add_batch, read_totals
-from ..operators.sinks import read_rejected, write_split, write_table
+from ..operators.sinks import read_rejected, write_bucketed, write_split, write_table
 from ..session import scratch_path
 from ..sources.readers import read_table
 from .mart import build_mart
 from .registry import load, query
 from .table_queries import MART_SQL, TRADE_COLUMNS
-from .trade import customer_year_sums, order_year, roles, with_area
+from .trade import customer_year_sums, order_lines, order_year, roles, with_area
 
 CUSTOMER_YEAR = ("o_custkey", "year")
 SUMS = ("orders", "cents", "finished", "lines", "quantity", "returned")
@@ -128,3 +129,50 @@ def unique_side_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = load(spark, sf_dir, "orders").select("o_orderkey")
     joined = orders.join(side, F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.join(repeated, keys, "left").select("o_orderkey", "l_linenumber", "quantity", F.col("n").alias("repeated"))
+
+
+def bucketed_sides(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Orders, and their line items summed up in two roles, each stored in buckets of its key."""
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", order_year().alias("year"))
+    lines = order_lines(load(spark, sf_dir, "lineitem"))
+    roles = [orders, lines.select("o_orderkey", "lines", "quantity"), lines.filter("returned > 0").select("o_orderkey", "returned")]
+    return [write_bucketed(rows, scratch_path(spark, "bucketed"), ["o_orderkey"], BUCKETS) for rows in roles]
+
+
+BUCKETS = 8
+
+
+@query("""
+with sides as (
+  select l_orderkey, count(*) as lines, sum(l_quantity) as quantity,
+    sum(case when l_returnflag = 'R' then l_quantity end) as returned
+  from lineitem group by l_orderkey)
+select o_orderkey, o_custkey, cast(year(o_orderdate) as int) as "year", lines, quantity,
+  case when returned > 0 then returned end as returned
+from orders left join sides on l_orderkey = o_orderkey
+""")
+def bucketed_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A chain of left joins over tables stored in buckets of the join's key, so that no
+    row moves between scan and join."""
+    base, *sides = bucketed_sides(spark, sf_dir)
+    return ops.left_chain(base, [side.hint("merge") for side in sides], ["o_orderkey"])
+
+
+VARIANT = """case when c_custkey % 7 = 0 then concat(lower(n_name), ' (nou)')
+  when c_custkey % 3 = 0 then translate(lower(n_name), 'aeiou', 'àéíòü')
+  when c_custkey % 3 = 1 then replace(n_name, ' ', '-') else concat('  ', n_name, '.') end"""
+
+
+@query(f"""
+select {VARIANT} as name, case when c_custkey % 7 <> 0 then n_nationkey end as code, count(*) as n
+from customer join nation on c_nationkey = n_nationkey group by all
+""")
+def reconcile_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose nation is spelled in several ways get its code by name; names that the
+    lookup does not have come with how often they are used."""
+    nations = load(spark, sf_dir, "nation")
+    customers = load(spark, sf_dir, "customer").join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    rows = customers.select("c_custkey", F.expr(VARIANT).alias("name"))
+    coded, missing = reconcile(rows, "name", nations.withColumnRenamed("n_nationkey", "code"), "n_name", "code")
+    known = coded.filter("code is not null").groupBy("name", "code").agg(F.count(F.lit(1)).alias("n"))
+    return known.unionByName(missing.select("name", F.lit(None).cast("bigint").alias("code"), "n"))

@@ -12,43 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.ingest import collect, header_history, read_landing, read_ledger
-from ..session import hadoop_path, materialise, scratch_path
+from ..session import materialise, scratch_path
 from ..sources.spec import SourceSpec
 from .file_queries import CSV_EVENTS, EVENT_FIELDS, JSON_EVENTS
+from .raw_files import publish, rename
 from .registry import load, query
 
 
-def publish(spark: SparkSession, rows: DataFrame, folder: str, prefix: str, suffix: str, fmt: str) -> None:
-    """Writes ``rows`` as files ``<prefix>-<i><suffix>`` of a folder, i counting the tasks that had
-    rows; files of these names are replaced. Only names pass through the driver."""
-    parts = scratch_path(spark, "parts")
-    rows.write.format(fmt).options(**({"header": True} if fmt == "csv" else {})).save(parts)
-    names = [name for name in _names(spark, parts) if name.startswith("part-")]
-    _move(spark, {f"{parts}/{name}": f"{folder}/{prefix}-{i:05d}{suffix}" for i, name in enumerate(names)})
-
-
-def rename(spark: SparkSession, folder: str, prefix: str, other: str) -> None:
-    """Gives the files ``<prefix>-...`` of a folder another prefix."""
-    names = [name for name in _names(spark, folder) if name.startswith(f"{prefix}-")]
-    _move(spark, {f"{folder}/{name}": f"{folder}/{other}{name.removeprefix(prefix)}" for name in names})
-
-
-def _store(spark: SparkSession, path: str):
-    return hadoop_path(spark, path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
-def _names(spark: SparkSession, folder: str) -> list[str]:
-    return sorted(s.getPath().getName() for s in _store(spark, folder).listStatus(hadoop_path(spark, folder)))
-
-
-def _move(spark: SparkSession, moves: dict[str, str]) -> None:
-    for source, target in moves.items():
-        store = _store(spark, target)
-        store.mkdirs(hadoop_path(spark, target).getParent())
-        store.delete(hadoop_path(spark, target), False)
-        store.rename(hadoop_path(spark, source), hadoop_path(spark, target))
-
-
 def _states(spark: SparkSession, landing: str, spec: SourceSpec, name: str) -> DataFrame:
     """(kind, state, rows) of the files ``<kind>-...``, by their latest entry, with rows landed."""
     kind = F.split_part("file_name", F.lit("-"), F.lit(1)).alias("kind")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..operators.features import drop_incomplete
 from ..operators.regression import dealt_rows, hash_split, kept_rows, model_chain
+from ..operators.linear_path import elastic_net, moments
 from ..operators.search import SearchSpace
 from ..operators.sinks import read_runs, write_model, write_predictions, write_table
 from ..session import materialise, scratch_path
@@ -167,3 +168,26 @@ def mart_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     train_stage(mart, output, inputs, "target_index", keys, SearchSpace(), TRIALS, SEED)
     model = PipelineModel.load(f"{output}/model")
     return model.transform(drop_incomplete(mart, inputs)).select(*keys, "target_index", "prediction")
+
+
+# Penalties of the path: (reg, mixing).
+PATH = ((0.0, 0.0), (0.5, 0.0), (20.0, 0.3), (2000.0, 1.0), (1e9, 1.0))
+
+
+@query(f"""
+with m as (
+  select avg(l_quantity) as mx, avg(l_extendedprice) as my, stddev_pop(l_quantity) as sx,
+    stddev_pop(l_extendedprice) as sy, corr(l_quantity, l_extendedprice) as r
+  from lineitem),
+path(reg, mixing) as (values {", ".join(f"({reg}::double, {mixing}::double)" for reg, mixing in PATH)}),
+w as (
+  select *, sign(r) * greatest(abs(r) - reg / sy * mixing, 0) / (1 + reg / sy * (1 - mixing)) * sy / sx as slope
+  from m cross join path)
+select reg, mixing, round(slope, 6) as slope, round(my - slope * mx, 4) as intercept from w
+""")
+def elastic_net_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A line for every penalty from one aggregate, against the closed form of one input."""
+    of = moments(load(spark, sf_dir, "lineitem"), ["l_quantity"], "l_extendedprice")
+    fits = [(reg, mixing, elastic_net(of, reg, mixing)) for reg, mixing in PATH]
+    rows = [(reg, mixing, round(float(fit.coefficients[0]), 6), round(fit.intercept, 4)) for reg, mixing, fit in fits]
+    return spark.createDataFrame(rows, "reg double, mixing double, slope double, intercept double")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.cleaning import apply_rules, apply_rules_beside_raw, rejected_counts
 from ..operators.features import drop_incomplete, heavy_keys, unique_side
 from ..operators.ingest import FORMATS, collect, read_landing
-from ..operators.regression import PARTITIONS, hash_split, measures, metric_sums
+from ..operators.regression import hash_split, measures, metric_sums
 from ..operators.search import SearchResult, SearchSpace, search
 from ..operators.sinks import (
     append_runs,
@@ -145,7 +145,7 @@ def train_stage(
     trials: int = 20,
     seed: int = 42,
     parallelism: int = 4,
-    partitions: int = PARTITIONS,
+    partitions: int | None = None,
 ) -> TrainingReport:
     """Search on 80 % of the rows, test on the rest; write predictions, model and run log.
 
