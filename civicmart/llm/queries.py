@@ -173,7 +173,9 @@ select a as doc_id, min(b) as component_id, a = min(b) as kept from reach group
     "op7_mix": r"""
 with sized as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
-    ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '')), 1, 15))::bigint as place from documents),
+    ('0x' || substr(md5('mix:' || coalesce(doc_id::varchar, '') || ':' || md5(coalesce(text, '')) || ':'
+      || (row_number() over (partition by doc_id, source, coalesce(text, '') order by doc_id) - 1)::varchar), 1, 15))::bigint as place
+  from documents),
 sources as (
   select source, sum(size)::bigint as source_size,
     (row_number() over (order by source is null, source collate c) - 1) % 3 + 1 as weight

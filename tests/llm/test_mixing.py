@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import pytest
 from llm_fixtures import rows
+from pyspark.sql import functions as F
 
 from civicmart.llm import mixing
 
@@ -62,8 +63,6 @@ def test_reruns_agree_under_any_partitioning(corpus):
 
 
 def test_the_mix_holds_each_row_as_often_as_reported(corpus):
-    from pyspark.sql import functions as F
-
     docs = corpus[1].withColumns({"__copy": F.lit(1), "place": F.lit("p"), "size": F.lit("s"), "passes": F.lit(0)})
     mixed = mixing.mix(docs.select(*[c for c in docs.columns if c != "__copy"]))
     assert mixed.columns == docs.drop("__copy").columns
@@ -72,10 +71,30 @@ def test_the_mix_holds_each_row_as_often_as_reported(corpus):
         assert counts.get(r.doc_id, 0) * r.size == r.taken
 
 
-def test_a_place_shared_by_many_rows_is_taken_or_left_together(spark):
-    pairs = [(None, "a b", "s"), (None, "a b", "s"), (5, "c", "s"), (6, "d e f", "t")]
-    df = mixing.mix_report(spark.createDataFrame(pairs, "doc_id bigint, text string, source string"))
-    assert len({r.taken for r in df.collect() if r.doc_id is None}) == 1
+@pytest.mark.parametrize("same_text", [False, True])
+def test_rows_without_id_come_near_their_targets(spark, same_text):
+    pairs = [(None, "a b" if same_text else f"a b{i}", s) for s in ("p", "q", "r") for i in range(1000)]
+    docs = spark.createDataFrame(pairs, "doc_id bigint, text string, source string")
+    taken = {r.source: r.taken for r in mixing.mix(docs).groupBy("source").agg(F.count("*").alias("taken")).collect()}
+    assert all(abs(2 * taken[s] - goal) <= 6 for s, goal in (("p", 1000), ("q", 2000), ("r", 3000)))
+    report = mixing.mix_report(docs)
+    sums = {r.target: r.taken for r in report.groupBy("target").agg(F.sum("taken").alias("taken")).collect()}
+    assert report.count() == 3000 and all(abs(n - goal) <= 6 for goal, n in sums.items())
+    assert rows(report) == rows(mixing.mix_report(docs.repartition(5)))
+    mixed = mixing.mix(docs.repartition(5)).groupBy("source").agg(F.count("*").alias("taken")).collect()
+    assert {r.source: r.taken for r in mixed} == taken
+
+
+def test_many_copies_of_a_row_and_names_of_any_kind(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN", 7)
+    pairs = [(1, "x y", "s", i) for i in range(100)] + [(2, "z", "s", 0), (None, None, None, 1)]
+    docs = spark.createDataFrame(pairs, "doc_id bigint, text string, source string, `a.b` int")
+    docs = docs.withColumns({"row": F.lit(1), "copy": F.lit(2), "__copies": F.lit(3)})
+    report = mixing.mix_report(docs)
+    assert report.count() == 102
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    assert mixed.filter("doc_id = 1").count() * 2 == report.filter("doc_id = 1").agg(F.sum("taken")).first()[0]
 
 
 def test_empty_table(corpus):
