@@ -6,10 +6,12 @@ of the text, becomes a score by isotonic calibration on labelled texts that are
 dictionary, mixed with a little of a logistic curve so that it rises everywhere.
 
 Only the fit is bounded: so many labelled rows per class make the dictionaries and so many the
-curve, chosen by a hash of their id. Scoring is one pass over whole texts, without a shuffle.
+curve, chosen by a hash of their id. A text too long for a dictionary gives it pieces from all over
+its length. Scoring is one pass over whole texts, without a shuffle.
 
 Defined results. A null text counts as empty; its difference is 0. Labels that are null or are
-neither 0 nor 1 are not used; a repeated label counts each time. Where a class has no labelled
+neither 0 nor 1 are not used; a repeated label counts each time. Of an id with several texts, the
+least one goes into a dictionary. Where a class has no labelled
 text, every score is the smoothed share of good labels. A null ``doc_id`` is in no fold but the
 learning one, and has no label. Repeated rows get equal scores. Empty tables give no rows;
 other columns are ignored, and kept by ``accept``.
@@ -27,10 +29,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Bounds of the fit: labelled rows per class in a dictionary, bytes of a text in one, and rows
-# for the curve. At most 100 MB of texts reach the driver, some 10 MB of usual ones.
+# Bounds of the fit: labelled rows per class in a dictionary, pieces that a long text gives to one,
+# and rows for the curve. At most 100 million characters reach the driver, some 10 of usual texts.
 DICTIONARY_ROWS = 1500
-DICTIONARY_TEXT = 32_768
+DICTIONARY_PIECES = 32
 CURVE_ROWS = 20_000
 DICTIONARY_BYTES = 256 * 1024
 PIECE = 1000
@@ -100,6 +102,15 @@ def difference(text: Column, good: bytes, bad: bytes) -> Column:
     return run(F.coalesce(text, F.lit("")))
 
 
+def sample_of(text: Column) -> Column:
+    """A text as it is, or of a long one pieces at even distances, the first and the last included."""
+    last = F.length(text) - PIECE
+    starts = F.sequence(F.lit(0), F.lit(DICTIONARY_PIECES - 1))
+    at = lambda i: F.floor(i * last / (DICTIONARY_PIECES - 1)).cast("int") + 1
+    pieces = F.transform(starts, lambda i: F.substr(text, at(i), F.lit(PIECE)))
+    return F.when(F.length(text) <= DICTIONARY_PIECES * PIECE, F.array(text)).when(text.isNotNull(), pieces)
+
+
 def build_dictionary(texts: list[str]) -> bytes:
     data = [t.encode("utf-8", "surrogatepass") for t in texts]
     pieces = [d[k : k + PIECE] for d in data for k in range(0, len(d), PIECE)]
@@ -159,9 +170,11 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     ]
     # At most 2 * DICTIONARY_ROWS ids.
     chosen = F.broadcast(classes[0].unionByName(classes[1]).distinct())
-    texts = docs.select("doc_id", "text").filter(F.octet_length("text") <= DICTIONARY_TEXT).join(chosen, "doc_id")
-    samples = sorted((r["h"], r["doc_id"], r["text"], r["quality"]) for r in texts.collect())
-    bad, good = (build_dictionary([s[2] for s in samples if s[3] == c]) for c in (0, 1))
+    texts = docs.select("doc_id", sample_of(F.col("text")).alias("parts")).filter("parts is not null").join(chosen, "doc_id")
+    # One row per id and label comes back, however often the id repeats.
+    texts = texts.groupBy("h", "doc_id", "quality").agg(F.min("parts").alias("parts"))
+    samples = sorted((r["h"], r["doc_id"], r["parts"], r["quality"]) for r in texts.collect())
+    bad, good = (build_dictionary([part for s in samples if s[3] == c for part in s[2]]) for c in (0, 1))
     if not good or not bad:
         n = known.groupBy("quality").count().collect()
         n = {r["quality"]: r["count"] for r in n}
@@ -177,7 +190,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     if not sum(c[1] for c in counts) or not sum(c[2] for c in counts):
         # All labelled texts are in the dictionaries: the curve has to do with those.
         counts = sorted(
-            (text_difference(text, good, bad), int(quality == 0), int(quality == 1)) for _, _, text, quality in samples
+            (text_difference("".join(parts), good, bad), int(quality == 0), int(quality == 1)) for _, _, parts, quality in samples
         )
     return Model(good, bad, *fit_curve(counts), fit_knots(counts))
 

@@ -3,8 +3,11 @@ import zlib
 
 import numpy as np
 import pytest
+import zstandard
 from llm_fixtures import awkward, documents, rows, shipped  # noqa: F401
 
+from pyspark.sql import functions as F
+
 from civicmart.llm import quality
 
 
@@ -41,6 +44,49 @@ def test_held_out_accuracy_and_calibration(trained):
     assert abs(np.mean([report[i].score for i in unseen]) - np.mean([truth[i] for i in unseen])) < 0.1
 
 
+def test_scores_equal_those_of_a_plain_scorer(trained):
+    """Dictionaries and curve as fitted; every text compressed here, whole, piece by piece."""
+    pairs, _, docs, table = trained
+    model = quality.fit(docs, table)
+
+    def size(data, dictionary):
+        packer = zstandard.ZstdCompressor(
+            level=quality.LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary), write_content_size=False, write_dict_id=False
+        )
+        return sum(len(packer.compress(data[k : k + quality.PIECE])) for k in range(0, len(data), quality.PIECE))
+
+    at, value = zip(*model.knots)
+    want = {}
+    for i, text in pairs[:150]:
+        data = text.encode()
+        x = (size(data, model.bad) - size(data, model.good)) / max(1, len(data))
+        logistic = 1 / (1 + np.exp(-(model.slope * x + model.offset)))
+        want[i] = (1 - quality.LOGISTIC) * np.interp(x, at, value) + quality.LOGISTIC * logistic
+    got = {r.doc_id: r.score for r in quality.quality_report(docs, table).collect()}
+    assert all(abs(got[i] - want[i]) < 1e-9 for i in want)
+
+
+def test_a_class_of_long_texts_is_learned_from(spark, documents):
+    pairs, labels = corpus(4, 200)
+    pairs = [(i, " ".join([t] * 400) if any(j == i and not q for j, q, _ in labels) else t) for i, t in pairs]
+    # One id of the class comes again and again.
+    pairs += [next(p for p in pairs if len(p[1]) > 40_000)] * 50
+    docs = documents(pairs)
+    report = quality.quality_report(docs, spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int"))
+    truth = {i: q for i, q, _ in labels}
+    scores = {r.doc_id: r.score for r in report.collect()}
+    assert len(set(scores.values())) > 10
+    assert np.mean([(scores[i] >= 0.3) == truth[i] for i in truth]) > 0.9
+
+
+def test_samples_of_texts(spark):
+    long = "".join(chr(0x100 + i % 5000) for i in range(100_000))
+    df = spark.createDataFrame([("short",), ("",), (None,), (long,)], "t string").select(quality.sample_of(F.col("t")).alias("p"))
+    short, empty, none, parts = (r.p for r in df.collect())
+    assert (short, empty, none) == (["short"], [""], None)
+    assert len(parts) == quality.DICTIONARY_PIECES and parts[0] == long[:1000] and parts[-1] == long[-1000:]
+
+
 def test_held_out_labels_lang_and_source_do_not_matter(spark, trained, documents):
     pairs, labels, docs, table = trained
     turned = [(i, 1 - q if held(i) else q, 1) for i, q, _ in labels]
