@@ -109,22 +109,23 @@ def mart_inputs(
 ) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Income, density, immigrants and unemployment roles, from one pass over the facts.
 
-    The cells (years x areas) are written once and the roles read that small table;
-    otherwise each role and the overall mean would repeat the scans behind it.
+    The facts are written once and the roles read that table; otherwise each role and the overall
+    mean would repeat the scans behind it. Income and density have a row per cell (year and area),
+    the other two one per customer and year, for the mart to sum up.
     """
     return roles(customer_year_facts(spark, sf_dir))
 
 
 def roles(facts: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """``mart_inputs`` of customer-year facts."""
+    facts = materialise(facts, "facts")
     cell_rows = materialise(cells(facts), "cells")
-    with_lines = cell_rows.filter("lines > 0")
     income = cell_rows.select(
         "year", "area", "population", target_index(cell_rows).alias("target_index")
     )
-    density = with_lines.select("year", "area", F.col("quantity").alias("density"))
-    immigrants = with_lines.select("year", "area", F.col("returned").alias("value"))
-    unemployment = cell_rows.filter("finished > 0").select(
+    density = cell_rows.filter("lines > 0").select("year", "area", F.col("quantity").alias("density"))
+    immigrants = facts.filter("lines > 0").select("year", "area", F.col("returned").alias("value"))
+    unemployment = facts.filter("finished > 0").select(
         "year", "area", F.lit(FINISHED[0]).alias("status"), F.col("finished").alias("count")
     )
     return income, density, immigrants, unemployment
