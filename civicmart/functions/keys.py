@@ -9,8 +9,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
+from civicmart.functions.cleaning import quoted
+
 # A Mersenne prime; products of two remainders stay below 2**62.
 PRIME = 2_147_483_647
+# Copies of a row that are spelled out from one array.
+RUN = 4096
 
 
 def hash_coefficients(count: int, salt: str | int) -> tuple[list[int], int]:
@@ -36,3 +40,19 @@ def hash_bucket(df: DataFrame, keys: Sequence[str], buckets: int, salt: str | in
         remainder = F.pmod(F.coalesce(key.cast("bigint"), F.lit(-1)), F.lit(PRIME))
         total = total + remainder * multiplier % PRIME
     return total % PRIME % buckets
+
+
+def each_copy(counted: DataFrame, n: str, copy: str, run: int = RUN) -> DataFrame:
+    """A row per copy of rows that come ``n`` times, ``copy`` counting from 0.
+
+    ``counted`` is a written table, as it is read twice. Rows with many copies are cut into runs
+    of ``run``, and the runs are dealt over tasks before they are spelled out: a row repeated
+    without end is neither one long array nor one task's work.
+    """
+    start, last = F.lit(0).cast("bigint"), F.floor((F.col(n) - 1) / run)
+    once = counted.filter(F.col(n) <= run).withColumn(copy, F.explode(F.sequence(start, F.col(n) - 1)))
+    runs = counted.filter(F.col(n) > run).withColumn("__run", F.explode(F.sequence(start, last)))
+    runs = runs.repartition("__run", *map(quoted, counted.columns))
+    first = F.col("__run") * run
+    spelled = F.explode(F.sequence(first, F.least(first + run, F.col(n)) - 1))
+    return once.unionByName(runs.withColumn(copy, spelled).drop("__run"))

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..functions.keys import hash_bucket
+from ..functions.keys import each_copy, hash_bucket
+from ..session import materialise
 
 UNSCALED, FEATURES, PREDICTION = "unscaled_features", "features", "prediction"
 MODEL_SEED = 42
@@ -45,8 +46,8 @@ def dealt_rows(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """
     partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = list(df.columns)
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    copies = counted.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "_n")))
+    counted = materialise(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")), "counted-rows")
+    copies = each_copy(counted, "_n", "_copy")
     copies = copies.withColumn("_place", F.xxhash64(*columns, "_copy"))
     dealt = copies.repartition(partitions, "_place").sortWithinPartitions("_place", *columns)
     return dealt.select(*columns)
