@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civicmart.functions.keys import each_copy
 from civicmart.llm.common import checked_broadcast, filter_by_key, text_hash
 from civicmart.llm.components import components
 from civicmart.llm.shingles import mix, shingle_hashes, text_slices
@@ -321,8 +322,8 @@ def near_copy_report(docs: DataFrame, threshold: float = THRESHOLD, null_ids: bo
     null id have their part in the classes; they are rows of the report with ``null_ids``."""
     classes = near_classes(docs, threshold)
     rows = classes if null_ids else classes.filter("doc_id is not null")
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))
-    return rows.select("doc_id", "component_id", F.expr("stands and (copy = 1 or not has_text)").alias("kept"))
+    rows = each_copy(materialise(rows, "classes"), "copies", "copy")
+    return rows.select("doc_id", "component_id", F.expr("stands and (copy = 0 or not has_text)").alias("kept"))
 
 
 def drop_near_copies(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

@@ -7,9 +7,11 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from civicmart.session import materialise
+
 # A word: digits, ASCII letters (upper case is lowered first) and every character past ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -61,3 +63,31 @@ def filter_by_key(docs: DataFrame, keys: DataFrame, keep: bool) -> DataFrame:
     keys = checked_broadcast(keys.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")))
     same = docs["doc_id"].eqNullSafe(keys["__id"]) & (text_hash(docs["text"]) == keys["__hash"])
     return docs.join(keys, same, "left_semi" if keep else "left_anti")
+
+
+def numbered(rows: DataFrame, key: list[str], repeated: DataFrame) -> DataFrame:
+    """``rows`` with ``copy``, their number from 0 among rows of the same ``key``, nulls included.
+
+    ``repeated`` has the keys that come more than once. Rows that come once are left where they
+    are; of the others, each task counts its own, and a number per task and key puts the counts
+    together, so a key repeated without end is no one task's work.
+    """
+    repeated = repeated.select(*[F.col(c).alias(f"r_{c}") for c in key])
+    repeated = checked_broadcast(materialise(repeated, "repeated-keys"))
+    same = F.lit(True)
+    for c in key:
+        same = same & rows[c].eqNullSafe(repeated[f"r_{c}"])
+    again = rows.join(repeated, same, "left_semi").withColumn("part", F.spark_partition_id())
+    again = materialise(again, "repeated-rows")
+    counts = again.groupBy(*key, "part").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0).cast("bigint")))
+    counts = counts.select(*[F.col(c).alias(f"c_{c}") for c in (*key, "part")], "base")
+    within = F.row_number().over(Window.partitionBy(*key, "part").orderBy(F.lit(0))) - 1
+    again = again.withColumn("within", within)
+    on = again["part"] == counts["c_part"]
+    for c in key:
+        on = on & again[c].eqNullSafe(counts[f"c_{c}"])
+    again = again.join(counts, on).withColumn("copy", F.col("base") + F.col("within"))
+    once = rows.join(repeated, same, "left_anti").withColumn("copy", F.lit(0).cast("bigint"))
+    return once.unionByName(again.select(*once.columns))

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civicmart.functions.cleaning import quoted
+from civicmart.functions.keys import each_copy
 from civicmart.llm.common import checked_broadcast, filter_by_key, text_hash, words
 from civicmart.session import materialise
 
@@ -108,15 +110,16 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, size: int = WIND
     same = by_doc["doc_id"].eqNullSafe(named["of"]) & (by_doc["text_hash"] == named["of_hash"])
     items = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = _covered(F.col("spans"))
-    return by_doc.join(named, same, "left").select(
+    report = by_doc.join(named, same, "left").select(
         "doc_id",
         F.col("n_words").cast("bigint").alias("n_words"),
         n_hit.cast("bigint").alias("n_hit"),
         F.size(items).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
-        F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")).alias("copy"),
-    ).drop("copy")
+        "copies",
+    )
+    return each_copy(materialise(report, "contamination"), "copies", "copy").drop("copies", "copy")
 
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -133,12 +136,14 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> D
     hit = by_doc.filter(F.size("spans") > 0).select("doc_id", "text_hash", "spans")
     hit = materialise(hit.select(*(F.col(c).alias(f"__{c}") for c in hit.columns)), "benchmark-spans")
     hit = checked_broadcast(hit)
-    same = docs["doc_id"].eqNullSafe(hit["__doc_id"]) & (text_hash(docs["text"]) == hit["__text_hash"])
+    # Columns of any name travel as one.
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), "doc_id", "text")
+    same = rows["doc_id"].eqNullSafe(hit["__doc_id"]) & (text_hash(rows["text"]) == hit["__text_hash"])
     word = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
     other = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
-    pieces = F.regexp_extract_all(docs["text"], F.lit(f"{word}+{other}*"), F.lit(0))
-    lead = F.regexp_extract(docs["text"], f"^{other}*", 0)
+    pieces = F.regexp_extract_all(rows["text"], F.lit(f"{word}+{other}*"), F.lit(0))
+    lead = F.regexp_extract(rows["text"], f"^{other}*", 0)
     inside = lambda i: F.exists(hit["__spans"], lambda s: (i >= s["pos"]) & (i < s["pos"] + s["n"]))
     cut = F.concat(lead, F.array_join(F.filter(pieces, lambda _, i: ~inside(i)), ""))
-    text = F.when(hit["__spans"].isNull(), docs["text"]).otherwise(cut)
-    return docs.join(hit, same, "left").select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns))
+    text = F.when(hit["__spans"].isNull(), rows["text"]).otherwise(cut)
+    return rows.join(hit, same, "left").select(F.col("row").withField("text", text).alias("row")).select("row.*")

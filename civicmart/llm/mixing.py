@@ -19,14 +19,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civicmart.functions.cleaning import quoted
-from civicmart.llm.common import checked_broadcast
+from civicmart.functions.keys import RUN, each_copy
+from civicmart.llm.common import checked_broadcast, numbered
 from civicmart.session import materialise
 
 TOKEN = r"[^\x20\x09-\x0D]+"
 PLACE_BITS = 60
 LEVEL_BITS = 12
-# Copies of a row that are spelled out by one task.
-RUN = 4096
 
 
 def place(doc_id: Column, digest: Column, copy: Column, seed: str = "mix") -> Column:
@@ -40,25 +39,13 @@ def text_digest(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
-def each_copy(counted: DataFrame, n: str, copy: str) -> DataFrame:
-    """A row per copy of rows that come ``n`` times, ``copy`` counting from 0. Many copies are cut
-    into runs, and the runs are dealt over tasks before they are spelled out."""
-    few, last = F.col(n) <= RUN, F.floor((F.col(n) - 1) / RUN)
-    once = counted.filter(few).withColumn(copy, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)))
-    runs = counted.filter(~few).withColumn("_run", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    runs = runs.repartition("_run", *counted.columns)
-    first = F.col("_run") * RUN
-    spelled = F.explode(F.sequence(first, F.least(first + RUN, F.col(n)) - 1))
-    return once.unionByName(runs.withColumn(copy, spelled).drop("_run"))
-
-
 def sized(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """(doc_id, source, digest, size, copy, place) of every document. Equal rows are counted on the
     map side and told apart by number."""
     size = F.coalesce(F.regexp_count("text", F.lit(TOKEN)), F.lit(0)).cast("bigint").alias("size")
     rows = docs.select("doc_id", "source", text_digest(F.col("text")).alias("digest"), size)
     counted = materialise(rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n")), "mix-counted")
-    rows = each_copy(counted, "n", "copy").drop("n")
+    rows = each_copy(counted, "n", "copy", RUN).drop("n")
     return rows.withColumn("place", place(F.col("doc_id"), F.col("digest"), F.col("copy"), seed))
 
 
@@ -147,39 +134,15 @@ def mix_report(docs: DataFrame, seed: str = "mix") -> DataFrame:
     )
 
 
-def _numbered(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """``rows`` (row, doc_id, source, digest) with ``copy``, their number among equal ones. Rows that
-    come once are left where they are; of the others, each task counts its own, and a number per
-    task and row that comes again puts the counts together."""
-    key = ["doc_id", "source", "digest"]
-    repeated = sizes.filter("copy = 1").select(*[F.col(c).alias(f"r_{c}") for c in key])
-    repeated = checked_broadcast(materialise(repeated, "mix-repeated"))
-    same = F.lit(True)
-    for c in key:
-        same = same & rows[c].eqNullSafe(repeated[f"r_{c}"])
-    again = rows.join(repeated, same, "left_semi").withColumn("part", F.spark_partition_id())
-    again = materialise(again, "mix-again")
-    counts = again.groupBy(*key, "part").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy(*key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0).cast("bigint")))
-    counts = counts.select(*[F.col(c).alias(f"c_{c}") for c in (*key, "part")], "base")
-    within = F.row_number().over(Window.partitionBy(*key, "part").orderBy(F.lit(0))) - 1
-    again = again.withColumn("within", within)
-    on = again["part"] == counts["c_part"]
-    for c in key:
-        on = on & again[c].eqNullSafe(counts[f"c_{c}"])
-    again = again.join(counts, on).withColumn("copy", F.col("base") + F.col("within"))
-    once = rows.join(repeated, same, "left_anti").withColumn("copy", F.lit(0).cast("bigint"))
-    return once.unionByName(again.select(*once.columns))
-
-
 def mix(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken, columns unchanged."""
     sizes, limits = plan(docs, seed)
     limits = checked_broadcast(limits.select(F.col("source").alias("of"), "passes", "below"))
     # Columns of any name travel as one.
     row = F.struct(*map(quoted, docs.columns)).alias("row")
-    rows = _numbered(docs.select(row, "doc_id", "source", text_digest(F.col("text")).alias("digest")), sizes)
+    rows = docs.select(row, "doc_id", "source", text_digest(F.col("text")).alias("digest"))
+    key = ["doc_id", "source", "digest"]
+    rows = numbered(rows, key, sizes.filter("copy = 1").select(*key))
     spot = place(F.col("doc_id"), F.col("digest"), F.col("copy"), seed)
     times = (F.col("passes") + (spot < F.col("below")).cast("bigint")).cast("int")
     taken = rows.join(limits, rows["source"].eqNullSafe(limits["of"])).withColumn("times", times)

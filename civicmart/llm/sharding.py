@@ -15,10 +15,12 @@ The result depends on the rows and the seed alone, not on files, partitions or o
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from civicmart.llm.common import checked_broadcast
+from civicmart.functions.cleaning import quoted
+from civicmart.functions.keys import each_copy
+from civicmart.llm.common import checked_broadcast, numbered
 from civicmart.session import materialise
 
 PARTITIONS = 4096
@@ -26,6 +28,8 @@ PARTITIONS = 4096
 PIECES = 1024
 # Cells of the matrix that are broadcast at most (8 bytes each); a larger one is joined by shuffle.
 BROADCAST_CELLS = 1 << 22
+# What rows are told apart by, besides their number among equal ones.
+KEY = ["doc_id", "size", "text_crc32"]
 
 
 def _hypergeometric(rng: np.random.Generator, good: int, bad: int, draws: int) -> int:
@@ -66,21 +70,22 @@ def communication_matrix(counts: list[int], rooms: list[int], seed: int) -> np.n
     return matrix
 
 
+def _measures() -> list[Column]:
+    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint")
+    crc = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("bigint")
+    return [size.alias("size"), crc.alias("text_crc32")]
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, size, text_crc32, copy): a distinct row for every row of ``docs``."""
-    rows = docs.select(
-        "doc_id",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint").alias("size"),
-        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("bigint").alias("text_crc32"),
-    )
-    counted = rows.groupBy("doc_id", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
-    return counted.select("doc_id", "size", "text_crc32", F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("copy"))
+    counted = docs.select("doc_id", *_measures()).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+    return each_copy(materialise(counted, "shard-counted"), "n", "copy").drop("n")
 
 
 def assign_shards(docs: DataFrame, shards: int = 8, seed: int = 1) -> DataFrame:
     """(doc_id, size, text_crc32, copy, shard, slot); slots of a shard run from 0 without gaps."""
     spark = docs.sparkSession
-    key = ("doc_id", "size", "text_crc32", "copy")
+    key = (*KEY, "copy")
     rows = keyed(docs).withColumn("h", F.xxhash64(F.lit(seed), *key))
     rows = materialise(rows.withColumn("part", F.pmod("h", F.lit(PARTITIONS)).cast("int")), "shard-rows")
     # At most PARTITIONS counts.
@@ -126,19 +131,12 @@ def shuffled(docs: DataFrame, shards: int = 8, seed: int = 1) -> DataFrame:
     Columns of ``docs`` that have these names are replaced.
     """
     places = assign_shards(docs, shards, seed)
-    places = places.select(*(F.col(c).alias(f"__to_{c}") for c in places.columns))
-    docs = docs.drop("shard", "slot")
-    size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("bigint")
-    crc = F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0)).cast("bigint")
-    rows = docs.withColumns({"__size": size, "__crc": crc})
-    same = Window.partitionBy("doc_id", "__size", "__crc").orderBy("doc_id")
-    rows = rows.withColumn("__nth", F.row_number().over(same))
-    match = (
-        rows["doc_id"].eqNullSafe(places["__to_doc_id"])
-        & (rows["__size"] == places["__to_size"])
-        & (rows["__crc"] == places["__to_text_crc32"])
-        & (rows["__nth"] == places["__to_copy"])
-    )
-    return rows.join(places, match).select(
-        *(rows[c] for c in docs.columns), places["__to_shard"].alias("shard"), places["__to_slot"].alias("slot")
-    )
+    again = places.filter("copy = 1").select(*KEY)
+    places = places.select(*(F.col(c).alias(f"to_{c}") for c in places.columns))
+    # Columns of any name travel as one.
+    kept = [quoted(c) for c in docs.columns if c not in ("shard", "slot")]
+    rows = numbered(docs.select(F.struct(*kept).alias("row"), "doc_id", *_measures()), KEY, again)
+    match = rows["doc_id"].eqNullSafe(places["to_doc_id"])
+    for c in (*KEY[1:], "copy"):
+        match = match & (rows[c] == places[f"to_{c}"])
+    return rows.join(places, match).select("row.*", F.col("to_shard").alias("shard"), F.col("to_slot").alias("slot"))

@@ -35,9 +35,10 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from civicmart.functions.cleaning import quoted
 from civicmart.llm.common import filter_by_key, text_hash
 from civicmart.llm.shingles import mix
-from civicmart.session import materialise
+from civicmart.session import discard, materialise
 
 LENGTH = 200
 GRAM = 32
@@ -224,10 +225,12 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     run = ["u1", "u2"]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_hash(F.col("text")).alias("text_hash"), "text")
     rows = rows.filter(F.octet_length("text") >= LENGTH)
-    found = materialise(rows.mapInArrow(_find_anchors, ANCHORS), "anchors")
-    # Round 0.
-    again = found.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("gram")
-    found = materialise(found.join(materialise(again, "repeated-grams"), "gram", "left_semi"), "repeated-anchors")
+    every = materialise(rows.mapInArrow(_find_anchors, ANCHORS), "anchors")
+    # Round 0. Tables are deleted as soon as nothing reads them any more.
+    again = every.groupBy("gram").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select("gram")
+    again = materialise(again, "repeated-grams")
+    found = materialise(every.join(again, "gram", "left_semi"), "repeated-anchors")
+    discard(every, again)
     place = F.struct("doc_id", "text_hash", "p", "low", "high", "gram")
     classes = found.groupBy(*run).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("at"))
     classes = materialise(classes.select(*run, "n", "at.*"), "runs")
@@ -247,19 +250,22 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     contexts = texts.join(per_doc, same).select("text", "asked").mapInArrow(_cut_contexts, CONTEXTS)
     contexts = materialise(contexts, "contexts")
     # Round 1.
-    nodes = materialise(contexts.mapInArrow(_nodes, NODES), "nodes")
-    cores = nodes.groupBy("core").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least"))
+    cut = materialise(contexts.mapInArrow(_nodes, NODES), "nodes")
+    cores = cut.groupBy("core").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least"))
     cores = materialise(cores.filter("k > 1 and least = 1").select("core"), "repeated-cores")
-    nodes = materialise(nodes.join(cores, "core", "left_semi"), "repeated-nodes")
+    nodes = materialise(cut.join(cores, "core", "left_semi"), "repeated-nodes")
+    discard(cut, cores)
     wholes = nodes.groupBy("whole").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
     wholes = materialise(wholes.select("whole"), "repeated-wholes")
-    sure = materialise(nodes.join(wholes, "whole", "left_semi"), "settled-nodes").filter("n = 1")
+    sure = materialise(nodes.filter("n = 1").join(wholes, "whole", "left_semi"), "settled-nodes")
     open_cores = nodes.filter("n = 1").join(wholes, "whole", "left_anti").select("core").distinct()
-    asked_nodes = nodes.join(materialise(open_cores, "open-cores"), "core", "left_semi")
+    open_cores = materialise(open_cores, "open-cores")
+    asked_nodes = nodes.join(open_cores, "core", "left_semi")
     # Round 2.
     per_run = asked_nodes.groupBy(*run).agg(F.collect_list(F.struct("low", "high")).alias("asked"))
     ranked = contexts.join(per_run, run).select(*run, "n", "high", "context", "asked")
     ranked = materialise(ranked.mapInArrow(_positions, POSITIONS), "positions")
+    discard(contexts, nodes, wholes, open_cores)
     ranks = ranked.groupBy("rank").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least"))
     ranks = materialise(ranks.filter("k > 1 and least = 1").select("rank"), "repeated-ranks")
     single = ranked.filter("n = 1").join(ranks, "rank", "left_semi").select(*run, F.col("a").alias("low"), F.col("a").alias("high"))
@@ -276,7 +282,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     spans = spans.withColumn("new", F.coalesce((F.col("start") > reach).cast("int"), F.lit(1)))
     spans = spans.withColumn("nth", F.sum("new").over(in_doc.rowsBetween(Window.unboundedPreceding, 0)))
     spans = spans.groupBy("doc_id", "text_hash", "nth").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
-    return materialise(spans.drop("nth"), "repeated-spans")
+    spans = materialise(spans.drop("nth"), "repeated-spans")
+    discard(found, classes, meet, asked, names, sure, ranked, ranks)
+    return spans
 
 
 def _per_document(spans: DataFrame) -> DataFrame:
@@ -348,7 +356,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated bytes cut out of ``text``."""
     per_doc = materialise(_per_document(repeated_spans(docs)), "document-spans")
     per_doc = per_doc.select(*(F.col(c).alias(f"__{c}") for c in per_doc.columns))
-    same = docs["doc_id"].eqNullSafe(per_doc["__of"]) & (text_hash(docs["text"]) == per_doc["__of_hash"])
+    # Columns of any name travel as one.
+    rows = docs.select(F.struct(*map(quoted, docs.columns)).alias("row"), "doc_id", "text")
+    same = rows["doc_id"].eqNullSafe(per_doc["__of"]) & (text_hash(rows["text"]) == per_doc["__of_hash"])
 
     @F.pandas_udf("string")
     def cut(texts, spans):
@@ -357,5 +367,5 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         keep = [t if s is None else _kept(t.encode(), list(s)).decode("utf-8", "ignore") for t, s in zip(texts, spans)]
         return pd.Series(keep, dtype=object)
 
-    text: Column = F.when(per_doc["__spans"].isNull(), docs["text"]).otherwise(cut(F.coalesce(docs["text"], F.lit("")), per_doc["__spans"]))
-    return docs.join(per_doc, same, "left").select(*(text.alias(c) if c == "text" else docs[c] for c in docs.columns))
+    text: Column = F.when(per_doc["__spans"].isNull(), rows["text"]).otherwise(cut(F.coalesce(rows["text"], F.lit("")), per_doc["__spans"]))
+    return rows.join(per_doc, same, "left").select(F.col("row").withField("text", text).alias("row")).select("row.*")
