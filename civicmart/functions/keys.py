@@ -52,7 +52,9 @@ def each_copy(counted: DataFrame, n: str, copy: str, run: int = RUN) -> DataFram
     start, last = F.lit(0).cast("bigint"), F.floor((F.col(n) - 1) / run)
     once = counted.filter(F.col(n) <= run).withColumn(copy, F.explode(F.sequence(start, F.col(n) - 1)))
     runs = counted.filter(F.col(n) > run).withColumn("__run", F.explode(F.sequence(start, last)))
-    runs = runs.repartition("__run", *map(quoted, counted.columns))
+    # A number of parts, as without one AQE merges them by what runs hold before they are spelled out.
+    parts = int(counted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    runs = runs.repartition(parts, "__run", *map(quoted, counted.columns))
     first = F.col("__run") * run
     spelled = F.explode(F.sequence(first, F.least(first + run, F.col(n)) - 1))
     return once.unionByName(runs.withColumn(copy, spelled).drop("__run"))
