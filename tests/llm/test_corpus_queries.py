@@ -68,3 +68,31 @@ def test_stages_do_what_their_operators_report(spark, stages):
 def test_run_agrees_with_itself(spark):
     first, second = (sorted(map(tuple, corpus_pipeline.run(spark, TABLES).collect())) for _ in range(2))
     assert first == second and first
+
+
+def test_stages_on_missing_ids_repeated_rows_and_no_rows(spark, tmp_path):
+    """No stage fails; a row without id or text is a row like any other until the mix takes it."""
+    text = "one two three four five six seven eight nine ten"
+    pairs = [(None, text), (None, None), (1, text), (1, text), (2, None), (3, ""), (3, "other words"), (4, "more words " * 40)]
+    rows = [(i, t, "en", None if i == 4 else "s", None) for i, t in pairs]
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    for k, chosen in enumerate((rows, [])):
+        folder = f"{tmp_path}/{k}"
+        spark.createDataFrame(chosen, schema).write.parquet(f"{folder}/documents.parquet")
+        for table in ("labels", "benchmark"):
+            spark.read.parquet(f"{TABLES}/{table}.parquet").write.parquet(f"{folder}/{table}.parquet")
+        out = corpus_pipeline.run(spark, folder).collect()
+        assert len({(r.shard, r.slot) for r in out}) == len(out)
+        assert {r.doc_id for r in out} <= {i for i, _ in pairs}
+
+
+def test_columns_of_any_name_stay(spark):
+    from civicmart.llm import decontaminate, sharding, substrings
+
+    passage = " ".join(f"w{i}" for i in range(80))
+    docs = spark.createDataFrame([(1, f"before {passage}", 5), (2, f"{passage} after", 6), (2, None, 7)], "doc_id bigint, text string, `a.b` int")
+    docs = docs.selectExpr("*", "0 AS row", "0 AS copy", "0 AS __spans", "0 AS size")
+    items = spark.createDataFrame([("i", " ".join(f"w{i}" for i in range(12)))], "item_id string, text string")
+    for out in (sharding.shuffled(docs).drop("shard", "slot"), decontaminate.remove_spans(docs, items), substrings.remove_repeats(docs)):
+        assert out.columns == docs.columns
+        assert sorted(r["a.b"] for r in out.collect()) == [5, 6, 7]
