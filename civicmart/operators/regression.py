@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
@@ -34,7 +35,7 @@ def in_first_part(df: DataFrame, keys: Sequence[str], tenths: int, salt: str | i
     return hash_bucket(df, keys, 10, salt) < tenths
 
 
-def dealt_rows(df: DataFrame, partitions: int | None = None) -> DataFrame:
+def dealt_rows(df: DataFrame, partitions: int | None = None, rows_a_part: int | None = None) -> DataFrame:
     """The rows of ``df`` in a layout that follows from their values alone.
 
     Tree building samples by part and order, so the same rows must lie in the same parts in the
@@ -42,11 +43,16 @@ def dealt_rows(df: DataFrame, partitions: int | None = None) -> DataFrame:
     by a running number: a row repeated without end is dealt over all parts like any other.
     ``partitions`` is the parallelism of every pass of a fit and part of a model's definition;
     without it, the session's ``spark.sql.shuffle.partitions``, which a cluster sets to a few
-    times the cores that its shuffles should use.
+    times the cores that its shuffles should use. With ``rows_a_part``, as many parts as hold so
+    many rows each, and no more than that setting.
     """
-    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = list(df.columns)
     counted = materialise(df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n")), "counted-rows")
+    if partitions is None:
+        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if rows_a_part is not None:
+            rows = counted.agg(F.sum("_n")).first()[0] or 0
+            partitions = min(partitions, max(1, math.ceil(rows / rows_a_part)))
     copies = each_copy(counted, "_n", "_copy")
     copies = copies.withColumn("_place", F.xxhash64(*columns, "_copy"))
     dealt = copies.repartition(partitions, "_place").sortWithinPartitions("_place", *columns)

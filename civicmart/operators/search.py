@@ -58,6 +58,18 @@ class SearchSpace:
         return params
 
 
+# Rows of a part that a trial learns from. A fit runs a job for every level of its trees, and each
+# part of it sends sums for every node: more parts than the rows need cost more than they save.
+PART_ROWS = 50_000
+
+
+def passes(params: Mapping[str, object]) -> int:
+    """Jobs of a fit that follow one another, about."""
+    if params["model_type"] == "gbt":
+        return params["gbt_maxIter"] * params["gbt_maxDepth"]
+    return params["rf_maxDepth"] if params["model_type"] == "rf" else 0
+
+
 @dataclass
 class SearchResult:
     best_params: dict[str, object]
@@ -74,7 +86,7 @@ def search(
     space: SearchSpace = SearchSpace(),
     trials: int = 20,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 8,
     partitions: int | None = None,
     log: Callable[[int, Mapping[str, object], float | None], None] | None = None,
 ) -> SearchResult:
@@ -84,7 +96,9 @@ def search(
     All trials share one split, so their errors are comparable, and one scaled copy of
     it: the assembler and scaler run once, and the trials read label and feature vector
     only, from executor storage that spills to disk. ``parallelism`` trials submit their
-    jobs at the same time, so the tail of one fit does not leave the cluster idle.
+    jobs at the same time, those with most jobs in a row first, so the tail of one fit does not
+    leave the cluster idle. Rows lie in as many parts as they need (``PART_ROWS``), or in
+    ``partitions``.
     Linear trials have no job of their own: two aggregates, made when the first comes up, serve
     them all (``linear_path``). ``log`` is called with each trial as it ends, from the thread that ran it. A trial whose
     error is not a finite number cannot win.
@@ -95,7 +109,7 @@ def search(
     with ExitStack() as kept:
         fit_rows, check_rows = [
             kept.enter_context(kept_rows(scaling.transform(rows).select(label, FEATURES)))
-            for rows in (dealt_rows(fit_part.select(label, *features), partitions), check_part)
+            for rows in (dealt_rows(fit_part.select(label, *features), partitions, PART_ROWS), check_part)
         ]
 
         # Penalties are on features at unit deviation, so the scaler's part is no different here.
@@ -119,13 +133,16 @@ def search(
                 log(trial, params, rmse)
             return rmse
 
-        scores = in_parallel(train.sparkSession, attempt, enumerate(drawn), parallelism)
+        longest_first = sorted(enumerate(drawn), key=lambda numbered: -passes(numbered[1]))
+        ended = in_parallel(train.sparkSession, attempt, longest_first, parallelism)
+        by_trial = {trial: rmse for (trial, _), rmse in zip(longest_first, ended)}
+        scores = [by_trial[trial] for trial in range(trials)]
     if None in scores:
         raise ValueError("the validation part is empty; too few distinct keys to split")
     finite = [(params, rmse) for params, rmse in zip(drawn, scores) if math.isfinite(rmse)]
     if not finite:
         raise ValueError("no trial gave a finite error")
     best_params, best_rmse = min(finite, key=lambda pair: pair[1])
-    with kept_rows(dealt_rows(train.select(label, *features), partitions)) as rows:
+    with kept_rows(dealt_rows(train.select(label, *features), partitions, PART_ROWS)) as rows:
         model = model_chain(best_params, features, label).fit(rows)
     return SearchResult(best_params, best_rmse, model, list(zip(drawn, scores)))

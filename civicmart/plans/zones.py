@@ -144,7 +144,7 @@ def train_stage(
     space: SearchSpace = SearchSpace(),
     trials: int = 20,
     seed: int = 42,
-    parallelism: int = 4,
+    parallelism: int = 8,
     partitions: int | None = None,
 ) -> TrainingReport:
     """Search on 80 % of the rows, test on the rest; write predictions, model and run log.
