@@ -95,15 +95,26 @@ def record_of(kind: Column, amount: Column) -> Column:
 FIRST_RECORD = -1
 
 
+def document_lines(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """The text of one document whose array holds the lines, in one part and in order. The part is
+    never sorted or held: what opens and closes the document goes with the first and the last line
+    it comes by, whichever they are."""
+    head = f'{{"success": true, "result": {{"records": [{{"event_id": "{FIRST_RECORD}"}}'
+    tail = '], "total": 0}}'
+    count = lines.count()
+    if not count:
+        return spark.range(1).coalesce(1).select(F.lit(f"{head}\n{tail}").alias("line"))
+    # In a single part the ids are the lines' places.
+    place = F.col("place")
+    placed = lines.coalesce(1).withColumn("place", F.monotonically_increasing_id())
+    opened, closed = F.when(place == 0, F.lit(head)), F.when(place == count - 1, F.lit(tail))
+    return placed.select(F.concat_ws("\n", opened, F.concat(F.lit(","), "line"), closed).alias("line"))
+
+
 def write_document(spark: SparkSession, lines: DataFrame, path: str) -> None:
     """One file with one document whose array holds the lines. One task writes it, line by line, as
     a portal's export would."""
-    head = f'{{"success": true, "result": {{"records": [{{"event_id": "{FIRST_RECORD}"}}'
-    ends = [spark.range(1).select(F.lit(text).alias("line")) for text in (head, '], "total": 0}}')]
-    middle = lines.select(F.concat(F.lit(","), "line").alias("line"))
-    parts = [rows.withColumn("part", F.lit(i)) for i, rows in enumerate((ends[0], middle, ends[1]))]
-    ordered = parts[0].unionByName(parts[1]).unionByName(parts[2]).coalesce(1).sortWithinPartitions("part")
-    ordered.select("line").write.text(path)
+    document_lines(spark, lines).write.text(path)
 
 
 # Events of a scan task per document.

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from civicmart.functions.names import name_key, reconcile
 from civicmart.operators.linear_path import elastic_net, linear_rmse, moments
+from civicmart.plans.file_queries import document_lines, write_document
 from civicmart.sources.documents import read_records
 from civicmart.sources.spec import text_fields
 
@@ -50,6 +51,20 @@ def test_one_document_is_read_by_several_tasks(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
 
 
+@pytest.mark.parametrize("count", [0, 1, 2, 1000])
+def test_a_document_is_written_whole_by_one_task_that_holds_nothing(spark, tmp_path, count):
+    lines = spark.range(0, count, 1, 3).select(F.to_json(F.struct(F.col("id").cast("string").alias("a"))).alias("line"))
+    write_document(spark, lines, str(tmp_path / "out"))
+    (file,) = (tmp_path / "out").glob("part-*")
+    records = json.loads(file.read_text())["result"]["records"]
+    assert records[0] == {"event_id": "-1"}
+    assert sorted(int(r["a"]) for r in records[1:]) == list(range(count))
+    # One line each, and one each to open and close it.
+    assert len(file.read_text().splitlines()) == count + 2
+    plan = document_lines(spark, lines)._jdf.queryExecution().executedPlan().toString()
+    assert "Sort" not in plan and "Exchange" not in plan and "Window" not in plan
+
+
 def test_name_keys(spark):
     names = ["Sant Gervasi - la Bonanova", "SANT  GERVASI LA BONANOVA", "sant gervasi-la bonanova.", "Gràcia", "gràcia", "l'Eixample", "L Eixample", "--", None]
     df = spark.createDataFrame([(n,) for n in names], "n string").select(name_key(F.col("n")).alias("k"))
