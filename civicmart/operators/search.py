@@ -60,7 +60,7 @@ class SearchSpace:
 
 # Rows of a part that a trial learns from. A fit runs a job for every level of its trees, and each
 # part of it sends sums for every node: more parts than the rows need cost more than they save.
-PART_ROWS = 50_000
+PART_ROWS = 20_000
 
 
 def passes(params: Mapping[str, object]) -> int:
@@ -70,6 +70,21 @@ def passes(params: Mapping[str, object]) -> int:
     return params["rf_maxDepth"] if params["model_type"] == "rf" else 0
 
 
+def shared_fits(drawn: Sequence[Mapping[str, object]]) -> list[list[int]]:
+    """Trials by the fit that serves them, fits of most jobs in a row first.
+
+    Boosting adds tree to tree, and none depends on those to come: at equal depth, the model of
+    fewer rounds is the beginning of the model of more, and its error a step of the other's.
+    """
+    fits: dict[object, list[int]] = {}
+    for trial, params in enumerate(drawn):
+        of_fit = trial
+        if params["model_type"] == "gbt":
+            of_fit = frozenset((name, value) for name, value in params.items() if name != "gbt_maxIter")
+        fits.setdefault(of_fit, []).append(trial)
+    return sorted(fits.values(), key=lambda of: -max(passes(drawn[trial]) for trial in of))
+
+
 @dataclass
 class SearchResult:
     best_params: dict[str, object]
@@ -100,7 +115,7 @@ def search(
     leave the cluster idle. Rows lie in as many parts as they need (``PART_ROWS``), or in
     ``partitions``.
     Linear trials have no job of their own: two aggregates, made when the first comes up, serve
-    them all (``linear_path``). ``log`` is called with each trial as it ends, from the thread that ran it. A trial whose
+    them all (``linear_path``). Boosted trials of equal depth share a fit (``shared_fits``). ``log`` is called with each trial as it ends, from the thread that ran it. A trial whose
     error is not a finite number cannot win.
     """
     fit_part, check_part = hash_split(train, keys, 7, "validation")
@@ -119,23 +134,31 @@ def search(
         def linear_moments() -> tuple[Moments, Moments]:
             return tuple(moments(part.select(label, *features), features, label) for part in (fit_part, check_part))
 
-        def attempt(numbered: tuple[int, Mapping[str, object]]) -> float | None:
-            trial, params = numbered
-            if params["model_type"] == "lr":
+        def errors(of_fit: Sequence[int]) -> list[float | None]:
+            longest = drawn[max(of_fit, key=lambda trial: passes(drawn[trial]))]
+            if longest["model_type"] == "lr":
                 with one_at_a_time:
                     learned, checked = linear_moments()
-                fit = elastic_net(learned, params["lr_regParam"], params["lr_elasticNetParam"])
-                rmse = linear_rmse(checked, fit)
-            else:
-                model = make_model(params, label).fit(fit_rows)
-                rmse = regression_metrics(model.transform(check_rows), label).first()["rmse"]
+                fit = elastic_net(learned, longest["lr_regParam"], longest["lr_elasticNetParam"])
+                return [linear_rmse(checked, fit)]
+            model = make_model(longest, label).fit(fit_rows)
+            if len(of_fit) == 1:
+                return [regression_metrics(model.transform(check_rows), label).first()["rmse"]]
+            if check_rows.isEmpty():
+                return [None] * len(of_fit)
+            squared = model.evaluateEachIteration(check_rows, "squared")
+            return [math.sqrt(squared[drawn[trial]["gbt_maxIter"] - 1]) for trial in of_fit]
+
+        def attempt(of_fit: Sequence[int]) -> list[float | None]:
+            found = errors(of_fit)
             if log is not None:
-                log(trial, params, rmse)
-            return rmse
+                for trial, rmse in zip(of_fit, found):
+                    log(trial, drawn[trial], rmse)
+            return found
 
-        longest_first = sorted(enumerate(drawn), key=lambda numbered: -passes(numbered[1]))
-        ended = in_parallel(train.sparkSession, attempt, longest_first, parallelism)
-        by_trial = {trial: rmse for (trial, _), rmse in zip(longest_first, ended)}
+        fits = shared_fits(drawn)
+        ended = in_parallel(train.sparkSession, attempt, fits, parallelism)
+        by_trial = {trial: rmse for of_fit, found in zip(fits, ended) for trial, rmse in zip(of_fit, found)}
         scores = [by_trial[trial] for trial in range(trials)]
     if None in scores:
         raise ValueError("the validation part is empty; too few distinct keys to split")

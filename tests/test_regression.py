@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from civicmart.functions.keys import PRIME, hash_bucket, hash_coefficients
-from civicmart.operators import regression
+from civicmart.operators import regression, search as searching
 from civicmart.operators.regression import (
     feature_stages,
     hash_split,
@@ -18,7 +18,7 @@ from civicmart.operators.regression import (
     model_chain,
     regression_metrics,
 )
-from civicmart.operators.search import SearchSpace, search
+from civicmart.operators.search import SearchSpace, search, shared_fits
 from civicmart.operators.sinks import write_predictions
 from civicmart.plans.zones import train_stage
 from civicmart.operators.sinks import read_runs
@@ -159,6 +159,32 @@ def test_a_repeated_row_is_dealt_over_all_parts(spark):
     assert len(sizes) == 4 and max(r["count"] for r in sizes) < 400
 
 
+def test_rows_lie_in_as_many_parts_as_they_need(spark):
+    def parts(rows, rows_a_part):
+        dealt = dealt_rows(spark.range(rows).select(F.col("id").cast("double").alias("x")), rows_a_part=rows_a_part)
+        assert dealt.distinct().count() == rows
+        return dealt.rdd.getNumPartitions()
+
+    assert (parts(1, 50), parts(50, 50), parts(101, 50)) == (1, 1, 3)
+    # No more than the session's shuffles have.
+    assert parts(1000, 50) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_trials_learn_from_few_parts_where_there_are_few_rows(data, monkeypatch):
+    seen = []
+
+    def watched(params, label, *rest):
+        model = make_model(params, label, *rest)
+        fit = model.fit
+        model.fit = lambda rows: seen.append(rows.rdd.getNumPartitions()) or fit(rows)
+        return model
+
+    monkeypatch.setattr(searching, "make_model", watched)
+    space = SearchSpace(families=("rf",), rf_numTrees=(2, 3), rf_maxDepth=(2, 3))
+    search(data, FEATURES, "y", ["code"], space, trials=2)
+    assert seen == [1, 1]
+
+
 def test_unknown_model_is_refused():
     with pytest.raises(ValueError):
         make_model({"model_type": "svm"}, "y")
@@ -185,6 +211,34 @@ def test_search_finds_the_family_that_fits(data):
     assert [p for p, _ in again.trials] == [p for p, _ in result.trials]
 
 
+def test_boosted_trials_of_equal_depth_share_a_fit():
+    gbt = [{"model_type": "gbt", "gbt_maxIter": n, "gbt_maxDepth": d} for n, d in ((3, 2), (9, 2), (2, 5))]
+    forest = {"model_type": "rf", "rf_numTrees": 4, "rf_maxDepth": 4}
+    line = {"model_type": "lr", "lr_regParam": 1.0, "lr_elasticNetParam": 0.5}
+    assert shared_fits([line, gbt[0], forest, gbt[1], gbt[2], line]) == [[1, 3], [4], [2], [0], [5]]
+
+
+def test_a_shared_fit_gives_every_trial_its_own_error(data, monkeypatch):
+    space = SearchSpace(families=("gbt",), gbt_maxIter=(2, 6), gbt_maxDepth=(2, 2))
+    logged, fitted = {}, []
+    monkeypatch.setattr(searching, "make_model", lambda params, label: fitted.append(params) or make_model(params, label))
+    log = lambda trial, params, rmse: logged.update({trial: (params, rmse)})
+    result = search(data, FEATURES, "y", ["code"], space, trials=4, log=log)
+    assert len({p["gbt_maxIter"] for p, _ in result.trials}) > 1 and len(fitted) == 1
+    assert [logged[trial] for trial in range(4)] == result.trials
+    fit_part, check_part = hash_split(data, ["code"], 7, "validation")
+    for params, rmse in result.trials:
+        alone = model_chain(params, FEATURES, "y").fit(dealt_rows(fit_part.select("y", *FEATURES), 1))
+        assert rmse == pytest.approx(regression_metrics(alone.transform(check_part), "y").first().rmse, rel=1e-9)
+
+
+def test_boosted_trials_without_validation_rows_say_so(data):
+    space = SearchSpace(families=("gbt",), gbt_maxIter=(2, 6), gbt_maxDepth=(2, 2))
+    kept = hash_split(data, ["code"], 7, "validation")[0]
+    with pytest.raises(ValueError, match="validation"):
+        search(kept, FEATURES, "y", ["code"], space, trials=3)
+
+
 def test_search_without_validation_rows_says_so(data):
     with pytest.raises(ValueError, match="validation"):
         search(data.limit(1), FEATURES, "y", ["code"], SearchSpace(families=("lr",)), trials=1)
