@@ -60,7 +60,7 @@ class SearchSpace:
 
 # Rows of a part that a trial learns from. A fit runs a job for every level of its trees, and each
 # part of it sends sums for every node: more parts than the rows need cost more than they save.
-PART_ROWS = 20_000
+PART_ROWS = 50_000
 
 
 def passes(params: Mapping[str, object]) -> int:
