@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import math
 import random
-from collections.abc import Callable, Mapping, Sequence
-from contextlib import ExitStack
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import ExitStack, contextmanager
 from dataclasses import dataclass, field
 from functools import cache
 from threading import Lock
@@ -14,6 +14,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame
 
 from ..session import in_parallel
+from .cells import Cells, cells_of
 from .linear_path import Moments, elastic_net, linear_rmse, moments
 from .regression import (
     FEATURES,
@@ -85,6 +86,21 @@ def shared_fits(drawn: Sequence[Mapping[str, object]]) -> list[list[int]]:
     return sorted(fits.values(), key=lambda of: -max(passes(drawn[trial]) for trial in of))
 
 
+@contextmanager
+def tree_cells(
+    dealt: DataFrame, features: Sequence[str], label: str, drawn: Sequence[Mapping[str, object]]
+) -> Iterator[Cells | None]:
+    """The cells that serve all trials with trees; None if there is no such trial, or little to sum up."""
+    if not any(passes(params) for params in drawn):
+        yield None
+        return
+    trees = max(params.get("rf_numTrees", 0) for params in drawn)
+    with ExitStack() as kept:
+        with kept_rows(dealt) as rows:
+            cells = kept.enter_context(cells_of(rows, features, label, trees))
+        yield cells
+
+
 @dataclass
 class SearchResult:
     best_params: dict[str, object]
@@ -108,9 +124,11 @@ def search(
     """Fit ``trials`` parameter sets on 70 % of ``train``, keep the lowest RMSE on the
     other 30 %, and refit that set on all of it.
 
-    All trials share one split, so their errors are comparable, and one scaled copy of
-    it: the assembler and scaler run once, and the trials read label and feature vector
-    only, from executor storage that spills to disk. ``parallelism`` trials submit their
+    All trials share one split, so their errors are comparable. Trials with trees share its cells
+    (``cells``): the rows are read once, and a fit then costs the same however many there are.
+    Where cells would hold few rows, they share one scaled copy of the rows: the assembler and scaler
+    run once, and the trials read label and feature vector only, from executor storage that spills
+    to disk. ``parallelism`` trials submit their
     jobs at the same time, those with most jobs in a row first, so the tail of one fit does not
     leave the cluster idle. Rows lie in as many parts as they need (``PART_ROWS``), or in
     ``partitions``.
@@ -120,12 +138,17 @@ def search(
     """
     fit_part, check_part = hash_split(train, keys, 7, "validation")
     drawn = [space.draw(trial, seed) for trial in range(trials)]
-    scaling = Pipeline(stages=feature_stages(features)).fit(fit_part)
+    dealt = dealt_rows(fit_part.select(label, *features), partitions, PART_ROWS)
     with ExitStack() as kept:
-        fit_rows, check_rows = [
-            kept.enter_context(kept_rows(scaling.transform(rows).select(label, FEATURES)))
-            for rows in (dealt_rows(fit_part.select(label, *features), partitions, PART_ROWS), check_part)
-        ]
+        cells = kept.enter_context(tree_cells(dealt, features, label, drawn))
+        if cells is not None:
+            check_cells = kept.enter_context(cells.checked(check_part.select(label, *features)))
+        else:
+            scaling = Pipeline(stages=feature_stages(features)).fit(fit_part)
+            fit_rows, check_rows = [
+                kept.enter_context(kept_rows(scaling.transform(rows).select(label, FEATURES)))
+                for rows in (dealt, check_part)
+            ]
 
         # Penalties are on features at unit deviation, so the scaler's part is no different here.
         one_at_a_time = Lock()
@@ -141,6 +164,12 @@ def search(
                     learned, checked = linear_moments()
                 fit = elastic_net(learned, longest["lr_regParam"], longest["lr_elasticNetParam"])
                 return [linear_rmse(checked, fit)]
+            if cells is not None:
+                model = cells.fit(longest)
+                if len(of_fit) == 1:
+                    return [check_cells.rmse(model)]
+                by_round = check_cells.rmse_by_round(model)
+                return [by_round[drawn[trial]["gbt_maxIter"] - 1] for trial in of_fit]
             model = make_model(longest, label).fit(fit_rows)
             if len(of_fit) == 1:
                 return [regression_metrics(model.transform(check_rows), label).first()["rmse"]]
@@ -166,6 +195,11 @@ def search(
     if not finite:
         raise ValueError("no trial gave a finite error")
     best_params, best_rmse = min(finite, key=lambda pair: pair[1])
-    with kept_rows(dealt_rows(train.select(label, *features), partitions, PART_ROWS)) as rows:
-        model = model_chain(best_params, features, label).fit(rows)
+    dealt = dealt_rows(train.select(label, *features), partitions, PART_ROWS)
+    with tree_cells(dealt, features, label, [best_params]) as cells:
+        if cells is not None:
+            model = PipelineModel([*cells.scaling.stages, cells.fit(best_params)])
+        else:
+            with kept_rows(dealt) as rows:
+                model = model_chain(best_params, features, label).fit(rows)
     return SearchResult(best_params, best_rmse, model, list(zip(drawn, scores)))

@@ -1,0 +1,189 @@
+import math
+
+import numpy as np
+import pytest
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import functions as F
+
+from civicmart.operators import search as searching
+from civicmart.operators.cells import BAGS, bagged, bin_names, binning, cells_of, cuts, poisson, value_counts
+from civicmart.operators.regression import (
+    dealt_rows,
+    feature_stages,
+    hash_split,
+    kept_rows,
+    make_model,
+    model_chain,
+    regression_metrics,
+)
+from civicmart.operators.search import SearchSpace, search
+
+FEATURES = ["a", "b"]
+SMALL = SearchSpace(rf_numTrees=(5, 9), rf_maxDepth=(3, 6), gbt_maxIter=(3, 6), gbt_maxDepth=(2, 4))
+
+
+@pytest.fixture(scope="module")
+def data(spark):
+    """6,000 rows, no two alike: 40 values of a and 12 of b, so some 370 cells."""
+    rng = np.random.default_rng(5)
+    a, b = rng.integers(0, 40, 6000) ** 1.5, rng.integers(0, 12, 6000) / 7
+    y = np.sin(a / 40) * 50 + b * 20 + (a > 100) * (b < 1) * 30 + rng.normal(0, 5, 6000)
+    rows = [(i, *map(float, of)) for i, of in enumerate(zip(a, b, y))]
+    return spark.createDataFrame(rows, "code bigint, a double, b double, y double").cache()
+
+
+def learned(data, trees=0):
+    return cells_of(dealt_rows(data.select("y", *FEATURES), 3), FEATURES, "y", trees)
+
+
+def test_boosting_from_cells_is_boosting_from_rows(data):
+    params = {"model_type": "gbt", "gbt_maxIter": 6, "gbt_maxDepth": 4}
+    train, test = data.filter("code % 3 > 0"), data.filter("code % 3 = 0")
+    rows = model_chain(params, FEATURES, "y").fit(train)
+    with learned(train) as cells:
+        assert cells.table.count() < train.count() / 8
+        model = cells.fit(params)
+        with cells.checked(test.select("y", *FEATURES)) as checked:
+            rmse, by_round = checked.rmse(model), checked.rmse_by_round(model)
+        chain = PipelineModel([*cells.scaling.stages, model])
+    assert [t.toDebugString.count("Predict") for t in model.trees] == [
+        t.toDebugString.count("Predict") for t in rows.stages[-1].trees
+    ]
+    expected = [r.prediction for r in rows.transform(data).orderBy("code").collect()]
+    assert [r.prediction for r in chain.transform(data).orderBy("code").collect()] == pytest.approx(expected, rel=1e-9)
+    assert rmse == by_round[-1] == pytest.approx(regression_metrics(rows.transform(test), "y").first().rmse, rel=1e-9)
+    scaled = Pipeline(stages=feature_stages(FEATURES)).fit(train).transform(test)
+    squared = rows.stages[-1].evaluateEachIteration(scaled, "squared")
+    assert by_round == pytest.approx([math.sqrt(s) for s in squared], rel=1e-9)
+
+
+def test_a_tree_without_draws_is_that_of_the_rows(data):
+    """One tree of all features, from bags that hold every row once."""
+    params = {"model_type": "rf", "rf_numTrees": 1, "rf_maxDepth": 7}
+    rows = model_chain({**params, "rf_bootstrap": False}, FEATURES, "y").fit(data)
+    with learned(data) as cells:
+        bag = F.struct(F.col("_rows").alias("rows"), F.col("y").alias("mean"))
+        cells.bags = cells.table.select("features", F.create_map(F.lit(0), bag).alias(BAGS))
+        chain = PipelineModel([*cells.scaling.stages, cells.fit(params)])
+    expected = [r.prediction for r in rows.transform(data).orderBy("code").collect()]
+    assert [r.prediction for r in chain.transform(data).orderBy("code").collect()] == pytest.approx(expected, rel=1e-9)
+
+
+def test_every_row_is_drawn_by_itself(spark, data):
+    """The draws of a cell scatter as those of its rows do, not as one draw for all of them would."""
+    dealt = dealt_rows(data.select("y", *FEATURES), 3)
+    bins = binning(dealt, FEATURES)
+    with kept_rows(dealt) as rows:
+        bags = bagged(bins.transform(rows), bin_names(FEATURES), "y", 50).select(*bin_names(FEATURES), F.explode(BAGS))
+        drawn = bags.select(*bin_names(FEATURES), "key", "value.*").collect()
+        sizes = {tuple(r)[:2]: r["count"] for r in bins.transform(rows).groupBy(*bin_names(FEATURES)).count().collect()}
+    by_cell = {cell: [0] * 50 for cell in sizes}
+    for row in drawn:
+        by_cell[tuple(row)[:2]][row.key] = row.rows
+    assert sum(map(sum, by_cell.values())) == pytest.approx(50 * 6000, rel=0.01)
+    ratio = [np.var(by_cell[cell]) / n for cell, n in sizes.items()]
+    assert np.mean(ratio) == pytest.approx(1, abs=0.1)
+    trees = np.array(list(by_cell.values()))
+    assert len({tuple(t) for t in trees.T}) == 50
+
+
+def test_draws_are_poisson(spark):
+    of = spark.range(200_000).select(poisson(F.xxhash64("id")).alias("n")).groupBy("n").count().collect()
+    shares = {r.n: r["count"] / 200_000 for r in of}
+    for k in range(5):
+        assert shares[k] == pytest.approx(math.exp(-1) / math.factorial(k), abs=0.005)
+    # The least and the largest hash there is.
+    ends = spark.createDataFrame([(-(2**63),), (2**63 - 1,)], "h bigint").coalesce(1)
+    assert [r[0] for r in ends.select(poisson(F.col("h"))).collect()] == [0, 18]
+
+
+def test_a_forest_from_cells_is_one_forest_and_as_good(spark, data, tmp_path):
+    params = {"model_type": "rf", "rf_numTrees": 20, "rf_maxDepth": 8}
+    train, test = data.filter("code % 3 > 0"), data.filter("code % 3 = 0")
+    rows = model_chain(params, FEATURES, "y").fit(train)
+    with learned(train, 20) as cells:
+        model = cells.fit(params)
+        chain = PipelineModel([*cells.scaling.stages, model])
+        with cells.checked(test.select("y", *FEATURES)) as checked:
+            rmse = checked.rmse(model)
+    assert model.getNumTrees == 20 and len({t.toDebugString for t in model.trees}) == 20
+    chain.write().save(str(tmp_path / "model"))
+    again = PipelineModel.load(str(tmp_path / "model"))
+    assert again.stages[-1].getNumTrees == 20
+    assert regression_metrics(again.transform(test), "y").first().rmse == pytest.approx(rmse, rel=1e-9)
+    assert rmse == pytest.approx(regression_metrics(rows.transform(test), "y").first().rmse, rel=0.1)
+
+
+def test_trials_of_a_search_read_cells_not_rows(data, monkeypatch):
+    """However many rows: before, every level of every tree read them all."""
+    seen = []
+
+    def watched(params, label, *rest):
+        model = make_model(params, label, *rest)
+        fit = model.fit
+        model.fit = lambda rows: seen.append(rows.count()) or fit(rows)
+        return model
+
+    from civicmart.operators import cells
+
+    for module in (searching, cells):
+        monkeypatch.setattr(module, "make_model", watched)
+    space = SearchSpace(families=("rf", "gbt"), rf_numTrees=(2, 3), rf_maxDepth=(2, 3), gbt_maxIter=(2, 3))
+    result = search(data, FEATURES, "y", ["code"], space, trials=3)
+    assert seen and max(seen) <= 400
+    assert result.best_rmse == min(rmse for _, rmse in result.trials)
+    spread = data.agg(F.stddev("y")).first()[0]
+    assert regression_metrics(result.model.transform(data), "y").first().rmse < spread
+
+
+def test_a_search_on_cells_repeats_itself(data):
+    first, again = [search(d, FEATURES, "y", ["code"], SMALL, 5, seed=3) for d in (data, data.repartition(5))]
+    assert [rmse for _, rmse in first.trials] == pytest.approx([rmse for _, rmse in again.trials], rel=1e-9)
+
+
+def test_few_rows_a_cell_are_left_as_rows(data):
+    with learned(data.limit(300)) as cells:
+        assert cells is None
+
+
+def test_labels_without_a_value_are_refused(data):
+    with pytest.raises(Exception, match="(?i)label"):
+        missing = data.withColumn("y", F.when(F.col("code") != 17, F.col("y")))
+        with learned(missing) as cells:
+            cells.fit({"model_type": "gbt", "gbt_maxIter": 1, "gbt_maxDepth": 2})
+
+
+def test_cuts_follow_values_and_shares():
+    assert cuts([(1.0, 5), (2.0, 1), (4.0, 9)]) == [1.5, 3.0]
+    assert cuts([(3.0, 5)]) == [] == cuts([])
+    # Of 4 bins, each of 25 rows: the heavy value is a bin of its own.
+    counts = [(float(v), 1) for v in range(50)] + [(50.0, 50)]
+    assert cuts(counts, 4) == [24.5, 49.5]
+
+
+def test_many_values_are_told_by_quantiles_of_all_rows(spark):
+    df = spark.range(30_000).select((F.col("id") % 5000).cast("double").alias("x"))
+    assert len(value_counts(df, "x", 5000)) == 5000
+    counts = value_counts(df, "x", 100)
+    assert len(counts) == 100 and sum(n for _, n in counts) == 100
+    assert [v for v, _ in counts] == pytest.approx([50 * k + 24.5 for k in range(100)], abs=6)
+
+
+def test_bins_part_values_as_a_tree_does(spark):
+    """A value equal to a cut is below it; constant, infinite and absent values get a bin too."""
+    rows = [(1.0, 7.0, math.inf), (math.nextafter(1.0, 2), 7.0, 2.0), (-3.0, 7.0, -math.inf)]
+    df = spark.createDataFrame(rows, "x double, same double, ends double").coalesce(1)
+    stage = binning(df, ["x", "same", "ends"])
+    assert isinstance(stage, Bucketizer)
+    found = [tuple(r) for r in stage.transform(df).select(*bin_names(["x", "same", "ends"])).collect()]
+    assert [f[0] for f in found] == [1, 2, 0] and {f[1] for f in found} == {0}
+    assert binning(df.limit(0), ["x"]).transform(df).count() == 3
+
+
+@pytest.mark.parametrize("family", ["rf", "gbt"])
+def test_searches_without_validation_rows_say_so(data, family):
+    kept = hash_split(data, ["code"], 7, "validation")[0]
+    space = SearchSpace(families=(family,), rf_numTrees=(2, 2), rf_maxDepth=(2, 2), gbt_maxIter=(2, 3), gbt_maxDepth=(2, 2))
+    with pytest.raises(ValueError, match="validation"):
+        search(kept, FEATURES, "y", ["code"], space, trials=3)
