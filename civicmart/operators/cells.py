@@ -35,6 +35,8 @@ CELL_ROWS = 8
 # Cells of a part, and trees of a forest that are grown at a time.
 CELL_PART = 10_000
 TREES_AT_A_TIME = 6
+# Executors that hold the cells, as one alone would have to run all fits.
+COPIES = 8
 ROWS, WITHIN, TREE, BAGS = "_rows", "_within", "_tree", "_bags"
 
 
@@ -110,12 +112,23 @@ def bagged(binned: DataFrame, names: Sequence[str], label: str, trees: int) -> D
     """A row per cell: for every tree that draws any of its rows, how many it draws and their mean label.
 
     The rows of ``binned`` lie in parts and an order that follow from their values (``dealt_rows``), and
-    so do their numbers. What is summed up on the map side has a row per cell and tree.
+    so do their numbers. What is summed up on the map side has a row per cell and tree. Labels are summed
+    up as whole numbers in two parts, as sums of doubles depend on the order in which parts arrive, and by
+    their last digit a forest may go another way.
     """
+    known = binned.agg(F.count(F.lit(1)).alias("n"), F.max(F.abs(label)).alias("most")).first()
+    if known.most is not None and not math.isfinite(known.most):
+        raise ValueError(f"label {label} has rows without a finite value")
+    # Sums of up to 32 draws of every row stay below 2**62.
+    bits = 56 - known.n.bit_length()
+    scale = math.ldexp(1.0, min(bits - math.frexp(known.most or 0.0)[1], 1000))
     numbered = binned.select(F.monotonically_increasing_id().alias("_id"), label, *names)
     each = numbered.withColumn(TREE, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
     each = each.withColumn("_n", poisson(F.xxhash64("_id", TREE, F.lit(MODEL_SEED)))).filter("_n > 0")
-    mean = F.sum(F.col("_n") * F.col(label)) / F.sum("_n")
+    large = F.floor(F.col(label) * scale)
+    small = F.floor((F.col(label) * scale - large) * 2.0**bits)
+    sums = [F.sum(F.col("_n") * part) for part in (large, small)]
+    mean = (sums[0] + sums[1] / 2.0**bits) / F.sum("_n") / scale
     by_tree = each.groupBy(*names, TREE).agg(F.sum("_n").alias("rows"), mean.alias("mean"))
     bags = F.map_from_entries(F.collect_list(F.struct(TREE, F.struct("rows", "mean"))))
     return by_tree.groupBy(*names).agg(bags.alias(BAGS))
@@ -226,7 +239,9 @@ def cells_of(rows: DataFrame, features: Sequence[str], label: str, trees: int) -
     # Spark looks for bins in max_bins squared rows: none of the cells is left out.
     max_bins = max(BINS, math.isqrt(size.cells) + 1)
     with ExitStack() as kept:
-        table, *bags = [kept.enter_context(kept_rows(scaled(one, scaling, names))) for one in written]
+        table, *bags = [kept.enter_context(kept_rows(scaled(one, scaling, names), COPIES)) for one in written]
+        for one in (table, *bags):
+            one.count()  # Before many fits ask for it at the same time.
         yield Cells(table, bags[0] if bags else None, scaling, names, label, max_bins)
     discard(*written)
 

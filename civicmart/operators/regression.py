@@ -60,10 +60,11 @@ def dealt_rows(df: DataFrame, partitions: int | None = None, rows_a_part: int |
 
 
 @contextmanager
-def kept_rows(df: DataFrame) -> Iterator[DataFrame]:
+def kept_rows(df: DataFrame, copies: int = 1) -> Iterator[DataFrame]:
     """Rows for a fit, which reads them once per tree level or iteration: kept in executor
-    memory, then disk; lost blocks are recomputed."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    memory, then disk; lost blocks are recomputed. Tasks go where a block lies: of a small table
+    that many fits read at the same time, ``copies`` executors hold one each, as far as there are."""
+    kept = df.persist(StorageLevel(True, True, False, False, copies))
     try:
         yield kept
     finally:

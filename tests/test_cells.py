@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from civicmart.operators import search as searching
 from civicmart.operators.cells import BAGS, bagged, bin_names, binning, cells_of, cuts, poisson, value_counts
 from civicmart.operators.regression import (
+    MODEL_SEED,
     dealt_rows,
     feature_stages,
     hash_split,
@@ -88,6 +89,34 @@ def test_every_row_is_drawn_by_itself(spark, data):
     assert len({tuple(t) for t in trees.T}) == 50
 
 
+def test_draws_have_the_mean_of_their_labels(spark):
+    """Small labels beside a huge one; the cell of the latter has another bin."""
+    labels = [1e12] + [0.1 * k - 3 for k in range(60)]
+    df = spark.createDataFrame([(float(k == 0), y) for k, y in enumerate(labels)], "x_bin double, y double").coalesce(1)
+    bags = bagged(df, ["x_bin"], "y", 30)
+    for cell, own in ((1.0, labels[:1]), (0.0, labels[1:])):
+        found = bags.filter(F.col("x_bin") == cell).select(F.explode(BAGS)).select("key", "value.*").collect()
+        for row in found:
+            drawn = [
+                n * y
+                for y, n in zip(own, draws(spark, row.key, len(labels), range(1) if cell else range(1, len(labels))))
+            ]
+            assert row["mean"] == pytest.approx(sum(drawn) / row.rows, rel=1e-12, abs=1e-12)
+
+
+def draws(spark, tree, n, of):
+    ids = spark.range(n).coalesce(1).select(poisson(F.xxhash64("id", F.lit(tree), F.lit(MODEL_SEED))))
+    found = [r[0] for r in ids.collect()]
+    return [found[i] for i in of]
+
+
+def test_forests_refuse_labels_without_a_value(data):
+    missing = data.withColumn("y", F.when(F.col("code") != 17, F.col("y")))
+    with pytest.raises(ValueError, match="label"):
+        with learned(missing, 3):
+            pass
+
+
 def test_draws_are_poisson(spark):
     of = spark.range(200_000).select(poisson(F.xxhash64("id")).alias("n")).groupBy("n").count().collect()
     shares = {r.n: r["count"] / 200_000 for r in of}
